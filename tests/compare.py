@@ -1,0 +1,84 @@
+"""Runs queries beside their SQL and reports differences; also usable as a script."""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+import duckdb
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    return con
+
+
+def _sortable(row):
+    return tuple((v is None, str(type(v)), v if v is not None else 0) for v in row)
+
+
+def _plain(v):
+    return None if isinstance(v, float) and math.isnan(v) else v
+
+
+def spark_rows(df):
+    names = sorted(df.columns)
+    rows = [tuple(_plain(r[n]) for n in names) for r in df.collect()]
+    return names, sorted(rows, key=_sortable)
+
+
+def oracle_rows(con, sql):
+    cur = con.execute(sql)
+    cols = [c[0] for c in cur.description]
+    names = sorted(cols)
+    at = [cols.index(n) for n in names]
+    rows = [tuple(_plain(r[i]) for i in at) for r in cur.fetchall()]
+    return names, sorted(rows, key=_sortable)
+
+
+def difference(df, con, sql) -> str | None:
+    """None when names, types of values, and all rows are equal, to the last bit."""
+    names, mine = spark_rows(df)
+    other_names, other = oracle_rows(con, sql)
+    if names != other_names:
+        return f"columns {names} != {other_names}"
+    if len(mine) != len(other):
+        return f"rows {len(mine)} != {len(other)}"
+    for a, b in zip(mine, other):
+        if a != b or [type(x) for x in a] != [type(x) for x in b]:
+            return f"{dict(zip(names, a))}\n   != {dict(zip(names, b))}"
+    return None
+
+
+def main(sf_dir: str, wanted: list[str]) -> int:
+    import __spark_entry__ as entry
+    from jobuse.session import local_session
+    spark, con = local_session(), connect(sf_dir)
+    queries, sql = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for name in wanted or queries:
+        start = time.time()
+        try:
+            df = queries[name](spark, sf_dir)
+            if name in sql:
+                found = difference(df, con, sql[name])
+            else:
+                found = f"(no SQL) {df.count()} rows"
+        except Exception as e:      # report and go on
+            found = f"{type(e).__name__}: {str(e)[:600]}"
+        if found:
+            bad += 1
+        print(f"{time.time() - start:6.2f}s {name}: {found or 'ok'}", flush=True)
+    return bad
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]))
