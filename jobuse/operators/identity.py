@@ -59,8 +59,8 @@ def exe_use(facts: DataFrame) -> DataFrame:
 def significant_exes(by_exe: DataFrame, dictionary: Dictionary, cfg: UsageConfig) -> DataFrame:
     """Unidentified executables above the threshold share of all use.
 
-    ``by_exe`` holds (exe_name, use_s, rows). Uses are not negative, so at most
-    1/threshold executables qualify.
+    ``by_exe`` holds (exe_name, use_s, rows) and is read twice. Uses are not
+    negative, so at most 1/threshold executables qualify.
     """
     total = by_exe.agg(F.struct(F.sum("use_s").alias("use_s"), F.sum("rows").alias("rows")).alias("t"))
     tagged = with_classes(by_exe, dictionary, cfg.family)
@@ -74,7 +74,7 @@ def significant_exes(by_exe: DataFrame, dictionary: Dictionary, cfg: UsageConfig
 
 def unidentified_report(facts: DataFrame, dictionary: Dictionary, cfg: UsageConfig) -> DataFrame:
     """Executable, use and count of significant unidentified executables."""
-    return significant_exes(exe_use(facts), dictionary, cfg).select(
+    return significant_exes(cut(exe_use(facts)), dictionary, cfg).select(
         F.col("exe_name").alias("ExeName"),
         (F.col("use_s") / cfg.use_divisor).alias("Nodeh" if cfg.family == "energy" else "Usage"),
         F.col("rows").alias("Count"),

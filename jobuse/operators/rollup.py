@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from jobuse.operators.stats import OVERALL_LABEL
+from jobuse.session import cut
 
 
 def combine_summaries(summaries: DataFrame, key: str = "key") -> DataFrame:
@@ -13,14 +14,13 @@ def combine_summaries(summaries: DataFrame, key: str = "key") -> DataFrame:
     Distinct counts of different periods cannot be added, hence minimum and
     maximum. Shares are of the ``Overall`` key; without one they are NULL.
     """
-    combined = summaries.filter(F.col(key).isNotNull()).groupBy(key).agg(
+    combined = cut(summaries.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.coalesce(F.sum("kWh"), F.lit(0.0)).alias("kWh"),
         F.coalesce(F.sum("Nodeh"), F.lit(0.0)).alias("Nodeh"),
         F.min("Users").alias("Users_min"), F.max("Users").alias("Users_max"),
-        F.min("Projects").alias("Projects_min"), F.max("Projects").alias("Projects_max"))
-    # Only the Overall rows are read for the denominator: one key.
-    overall = summaries.filter(F.col(key) == OVERALL_LABEL).agg(
-        F.struct(F.sum("kWh").alias("kWh"), F.sum("Nodeh").alias("Nodeh")).alias("t"))
+        F.min("Projects").alias("Projects_min"), F.max("Projects").alias("Projects_max")))
+    overall = combined.filter(F.col(key) == OVERALL_LABEL).agg(
+        F.struct(F.max("kWh").alias("kWh"), F.max("Nodeh").alias("Nodeh")).alias("t"))
     return combined.withColumn("_t", overall.scalar()).select(
         "*", F.try_divide(F.col("kWh") * 100, F.col("_t.kWh")).alias("PercentEnergy"),
         F.try_divide(F.col("Nodeh") * 100, F.col("_t.Nodeh")).alias("PercentUse"),

@@ -5,8 +5,8 @@ value), plus the distinct users and projects of each label. All statistics come
 from the cells, so no task ever sees the rows of a category, not even those of
 ``Overall``:
 
-* ``GROUPING SETS`` gives the value histogram and the distinct user and project
-  pairs in one pass with map-side combining;
+* ``GROUPING SETS`` gives the value histogram and the distinct members (user,
+  project) in one pass with map-side combining;
 * labels are attached to the grouped rows - a row may have several labels, and
   ``Overall`` is one of them - and the grouped rows are combined again;
 * quartiles are read off running sums over the cells of a label.
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from jobuse.session import cut
+from jobuse.session import cut, held
 
 CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
@@ -31,8 +31,8 @@ OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
 GRID = 65_536
 QUARTERS = (1, 2, 3)
 
-# grouping_id() of the three sets: the aggregated-out columns among (cell, user, project)
-BY_CELL, BY_USER, BY_PROJECT = 0b011, 0b101, 0b110
+# Kinds of grouped rows, by grouping_id() over (cell, user, project).
+BY_CELL, BY_MEMBER = 0b011, 0b100
 
 LABELS = T.ArrayType(T.StructType([
     T.StructField("grp", T.IntegerType()),
@@ -94,39 +94,48 @@ def _base(facts: DataFrame, source: dict[str, Column], measure: Measure,
         kept(measure.column).cast("double").alias("_v"),
         kept("user_name").alias("_user"), kept("project_id").alias("_project"),
         F.col("use_s").cast("double").alias("_w"), F.col("energy_j").cast("double").alias("_e"),
-    )
+    ).withColumn("cell", measure.cell)
 
 
-def grouped_rows(facts: DataFrame, source: dict[str, Column], measure: Measure,
-                 keep: Column | None = None) -> DataFrame:
-    """The single pass over the facts, by category source instead of label."""
-    base = _base(facts, source, measure, keep).withColumn("cell", measure.cell)
+def grouped_rows(base: DataFrame, source: list[str], continuous: bool) -> DataFrame:
+    """The pass over all rows, by category source instead of label."""
     common = [F.col(name) for name in source] + [F.col("_in")]
-    sets = [common + [F.col(c)] for c in ("cell", "_user", "_project")]
-    members = ["cell", "_user", "_project"]
-    return base.groupingSets(sets, *common, *[F.col(m) for m in members]).agg(
+    members = [F.col("_user"), F.col("_project")]
+    sets = [common + [F.col("cell")], common + members]
+    # A cell of a discrete measure is its own extreme.
+    rows = base.groupingSets(sets, *common, F.col("cell"), *members).agg(
         F.grouping_id().bitwiseAND(F.lit(7)).alias("gid"), F.count("*").alias("n"),
         F.sum("_w").alias("w"), F.sum("_e").alias("e"),
-        F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        *([F.min("_v").alias("lo"), F.max("_v").alias("hi")] if continuous else []))
+    return rows if continuous else rows.withColumns({"lo": F.col("cell"), "hi": F.col("cell")})
 
 
 def cells_of(grouped: DataFrame, labeller: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Label the grouped rows and combine them into cells."""
-    pairs = _exploded(labeller(grouped)).groupBy(
-        "grp", "label", "_in", "gid", "cell", "_user", "_project",
+    """Label the grouped rows and combine them into cells.
+
+    A member row stands for a user and for a project; each is made distinct
+    within its label before it is counted.
+    """
+    by_cell = F.col("gid") == BY_CELL
+    nobody = F.lit(None).cast("string")
+    entries = F.when(by_cell, F.array(F.struct(nobody.alias("user"), nobody.alias("project")))).otherwise(
+        F.array(F.struct(F.col("_user").alias("user"), nobody.alias("project")),
+                F.struct(nobody.alias("user"), F.col("_project").alias("project"))))
+    exploded = _exploded(labeller(grouped)).withColumn("m", F.explode(entries))
+    pairs = exploded.groupBy(
+        "grp", "label", "_in", "gid", "cell", F.col("m.user").alias("user"),
+        F.col("m.project").alias("project"),
     ).agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("e").alias("e"),
           F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("own").alias("own"))
-    in_cell = F.col("gid") == BY_CELL
-    counted = in_cell & F.col("_in")
+    counted = by_cell & F.col("_in")
     return pairs.groupBy("grp", "label", "cell").agg(
         F.coalesce(F.sum(F.when(counted, F.col("n"))), F.lit(0)).alias("n"),
         F.sum(F.when(counted, F.col("w"))).alias("w"),
         F.sum(F.when(counted, F.col("e"))).alias("e"),
-        F.sum(F.when(in_cell, F.col("w"))).alias("all_w"),
-        F.sum(F.when(in_cell, F.col("e"))).alias("all_e"),
+        F.sum(F.when(by_cell, F.col("w"))).alias("all_w"),
+        F.sum(F.when(by_cell, F.col("e"))).alias("all_e"),
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-        F.count(F.when(F.col("gid") == BY_USER, F.col("_user"))).alias("users"),
-        F.count(F.when(F.col("gid") == BY_PROJECT, F.col("_project"))).alias("projects"),
+        F.count("user").alias("users"), F.count("project").alias("projects"),
         F.max("own").alias("own"))
 
 
@@ -135,10 +144,9 @@ def cells_of(grouped: DataFrame, labeller: Callable[[DataFrame], DataFrame]) ->
 _LABEL = ["grp", "label"]
 
 
-def _rank(k: int, up: bool) -> Column:
+def _rank(k: int, up: bool) -> str:
     """0-based rank below or above quartile k of ``tn`` ordered values."""
-    position = (F.col("tn") - 1) * (k / 4)
-    return F.ceil(position) if up else F.floor(position)
+    return f"{'ceil' if up else 'floor'}((tn - 1) * {k / 4}D)"
 
 
 def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str = "w") -> DataFrame:
@@ -150,8 +158,8 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
     ordered = (Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     whole = Window.partitionBy(*keys)
-    ranked = F.when(F.col(value).isNotNull(), F.col(n)).otherwise(0)
-    weight = F.coalesce(F.col(w), F.lit(0.0))
+    ranked = F.expr(f"if({value} IS NOT NULL, {n}, 0)")
+    weight = F.expr(f"coalesce({w}, 0D)")
     return cells.select(
         "*", F.sum(ranked).over(ordered).alias("cn"), F.sum(weight).over(ordered).alias("cw"),
         F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).alias("tw"))
@@ -159,26 +167,22 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
 
 def rank_picks(value: str) -> list[Column]:
     """Order statistics around each quartile (linear interpolation)."""
-    has = F.col(value).isNotNull()
-    picks = [F.max("tn").alias("tn")]
-    for k in QUARTERS:
-        for up in (False, True):
-            picks.append(F.min(F.when(has & (F.col("cn") > _rank(k, up)), F.col(value)))
-                         .alias(f"{'hi' if up else 'lo'}{k}"))
-    return picks
+    return [F.expr("max(tn) AS tn")] + [
+        F.expr(f"min(CASE WHEN {value} IS NOT NULL AND cn > {_rank(k, up)} THEN {value} END) "
+               f"AS {'hi' if up else 'lo'}{k}")
+        for k in QUARTERS for up in (False, True)]
 
 
 def weight_picks(value: str, w: str = "w") -> list[Column]:
     """Weighted quartiles: the first value whose running weight reaches k/4 of all."""
-    can = F.col(value).isNotNull() & F.col(w).isNotNull()
-    return [F.min(F.when(can & (F.col("cw") * 4 >= F.col("tw") * k), F.col(value))).alias(f"wq{k}")
-            for k in QUARTERS]
+    return [F.expr(f"min(CASE WHEN {value} IS NOT NULL AND {w} IS NOT NULL AND cw * 4 >= tw * {k} "
+                   f"THEN {value} END) AS wq{k}") for k in QUARTERS]
 
 
 def interpolated(k: int) -> Column:
-    position = (F.col("tn") - 1) * (k / 4)
-    part = position - F.floor(position)
-    return F.col(f"lo{k}") * (1 - part) + F.col(f"hi{k}") * part
+    position = f"((tn - 1) * {k / 4}D)"
+    part = f"({position} - floor({position}))"
+    return F.expr(f"lo{k} * (1 - {part}) + hi{k} * {part}")
 
 
 def _quartile_columns() -> list[Column]:
@@ -186,11 +190,19 @@ def _quartile_columns() -> list[Column]:
             + [F.col(f"wq{k}") for k in QUARTERS])
 
 
+def _sums() -> list[Column]:
+    """What is added up over the cells of a label."""
+    return [
+        F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("jobs"),
+        F.coalesce(F.sum("w"), F.lit(0.0)).alias("w"), F.coalesce(F.sum("e"), F.lit(0.0)).alias("e"),
+        F.sum("users").alias("users"), F.sum("projects").alias("projects"), F.max("own").alias("own")]
+
+
 def _exact_quartiles(cells: DataFrame) -> DataFrame:
-    """Quartiles when a cell is a single value."""
+    """Sums and quartiles when a cell is a single value."""
     picked = running(cells, "cell", _LABEL).groupBy(*_LABEL).agg(
-        *rank_picks("cell"), *weight_picks("cell"))
-    return picked.select(*_LABEL, *_quartile_columns())
+        *_sums(), *rank_picks("cell"), *weight_picks("cell"))
+    return picked.select("*", *[interpolated(k).alias(f"q{k}") for k in QUARTERS])
 
 
 def _crossed_cells(cells: DataFrame) -> DataFrame:
@@ -204,29 +216,21 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
                .rowsBetween(Window.unboundedPreceding, -1))
     # -1 where no weighted row comes first, so that a zero total is crossed at once.
     before = F.coalesce(F.max(F.when(F.col("w").isNotNull(), F.col("cw"))).over(earlier), F.lit(-1.0))
-    crossed = F.lit(False)
-    for k in QUARTERS:
-        for up in (False, True):
-            rank = _rank(k, up)
-            crossed = crossed | ((F.col("cn") > rank) & (F.col("cn") - F.col("n") <= rank))
-        crossed = crossed | (F.col("w").isNotNull() & (F.col("cw") * 4 >= F.col("tw") * k)
-                             & (F.col("_before") * 4 < F.col("tw") * k))
+    ranks = [f"(cn > {_rank(k, up)} AND cn - n <= {_rank(k, up)})" for k in QUARTERS for up in (False, True)]
+    weights = [f"(w IS NOT NULL AND cw * 4 >= tw * {k} AND _before * 4 < tw * {k})" for k in QUARTERS]
+    crossed = F.expr(" OR ".join(ranks + weights))
     return run.withColumn("_before", before).filter(F.col("cell").isNotNull() & crossed).select(
         *_LABEL, "cell", (F.col("cn") - F.col("n")).alias("n0"),
         (F.col("cw") - weight).alias("w0"), "tn", "tw")
 
 
-def _refined_quartiles(cells: DataFrame, facts: DataFrame, source: dict[str, Column],
-                       measure: Measure, keep: Column | None,
+def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
                        labeller: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Quartiles of a continuous measure: a second pass over the crossed slices."""
     crossed = _crossed_cells(cells)
     # At most GRID distinct slices exist, whatever the data: safe to broadcast.
     slices = F.broadcast(crossed.select("cell").distinct())
-    names = list(source)
-    base = _base(facts, source, measure, keep).filter(F.col("_v").isNotNull())
-    rows = (base.withColumn("cell", measure.cell).join(slices, "cell", "left_semi")
-            .groupBy(*names, "cell", "_v")
+    rows = (base.join(slices, "cell").groupBy(*source, "cell", "_v")
             .agg(F.count("*").alias("n"), F.sum("_w").alias("w")))
     values = (_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
               .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
@@ -252,19 +256,21 @@ def distribution(facts: DataFrame, source: dict[str, Column], measure: Measure,
     array to rows that carry them. ``keep`` restricts the statistics, but not the
     totals that shares refer to.
     """
-    cells = cut(cells_of(grouped_rows(facts, source, measure, keep), labeller))
-    quartiles = (_exact_quartiles(cells) if measure.upper is None else
-                 _refined_quartiles(cells, facts, source, measure, keep, labeller))
+    base, names = _base(facts, source, measure, keep), list(source)
+    if measure.upper is None:
+        cells = cut(cells_of(grouped_rows(base, names, False), labeller))
+        rows = _exact_quartiles(cells)
+    else:
+        with held(base) as held_base:
+            cells = cut(cells_of(grouped_rows(held_base, names, True), labeller))
+            quartiles = cut(_refined_quartiles(cells, held_base, names, labeller))
+        rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
         F.coalesce(F.sum("all_w"), F.lit(0.0)).alias("w"),
         F.coalesce(F.sum("all_e"), F.lit(0.0)).alias("e")).alias("t"))
-    rows = cells.groupBy(*_LABEL).agg(
-        F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("jobs"),
-        F.coalesce(F.sum("w"), F.lit(0.0)).alias("w"), F.coalesce(F.sum("e"), F.lit(0.0)).alias("e"),
-        F.sum("users").alias("users"), F.sum("projects").alias("projects"), F.max("own").alias("own"))
     # A category is reported when it is some row's own label and has rows.
     shown = (F.col("grp") == OVERALL) | (F.col("own") & (F.col("jobs") > 0))
-    return (rows.filter(shown).join(quartiles, _LABEL, "left")
+    return (rows.filter(shown)
             .withColumn("_t", overall.scalar())
             .select(*_LABEL, "min", "q1", "q2", "q3", "max", "wq1", "wq2", "wq3", "jobs",
                     (F.col("w") / F.lit(divisor)).alias("use"),

@@ -13,8 +13,8 @@ from jobuse.operators.assemble import lookup
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
-from jobuse.operators.identity import anonymous_users, significant_exes, split_by_user
-from jobuse.session import cut
+from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
+from jobuse.session import cut, held
 from jobuse.sources.definitions import Dictionary
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -73,12 +73,9 @@ def _unidentified() -> Column:
     return F.array(stats.label(stats.UNIDENTIFIED, F.lit(stats.UNIDENTIFIED_LABEL)))
 
 
-def _by_definition(dictionary: Dictionary, arrays: list[Column], default: Column) -> Labeller:
-    """Labels that follow from the matched definition alone."""
-    def labeller(rows: DataFrame) -> DataFrame:
-        tagged = rows.withColumn("_def", definition_index(F.col("exe_name"), dictionary))
-        return tagged.withColumn("labels", pick(F.col("_def"), arrays, default)).drop("_def")
-    return labeller
+def _by_definition(arrays: list[Column], default: Column) -> Labeller:
+    """Labels that follow from the matched definition (column ``code``) alone."""
+    return lambda rows: rows.withColumn("labels", pick(F.col("code"), arrays, default))
 
 
 def software_labels(dictionary: Dictionary, analysis: Analysis, cfg: UsageConfig) -> Labeller:
@@ -91,14 +88,14 @@ def software_labels(dictionary: Dictionary, analysis: Analysis, cfg: UsageConfig
         default = _unidentified() if analysis.unidentified else stats.no_labels()
     else:
         default = _label_array(UNKNOWN, [UNKNOWN], [UNKNOWN])
-    return _by_definition(dictionary, arrays, default)
+    return _by_definition(arrays, default)
 
 
 def motif_labels(dictionary: Dictionary) -> Labeller:
     motifs = [d.motif for d in dictionary.definitions]
     words = [t for m in [*motifs, UNKNOWN] for t in m.split()]
     arrays = [_label_array(m, words, m.split()) for m in motifs]
-    return _by_definition(dictionary, arrays, _label_array(UNKNOWN, words, [UNKNOWN]))
+    return _by_definition(arrays, _label_array(UNKNOWN, words, [UNKNOWN]))
 
 
 def language_labels(dictionary: Dictionary) -> Labeller:
@@ -106,7 +103,7 @@ def language_labels(dictionary: Dictionary) -> Labeller:
     words = {t for d in dictionary.definitions for t in d.language.split()} | {UNKNOWN}
     arrays = [_label_array(d.language, [d.language] if d.language in words else [], [d.language])
               for d in dictionary.definitions]
-    return _by_definition(dictionary, arrays, _label_array(UNKNOWN, [UNKNOWN], [UNKNOWN]))
+    return _by_definition(arrays, _label_array(UNKNOWN, [UNKNOWN], [UNKNOWN]))
 
 
 def column_labels(column: str) -> Labeller:
@@ -136,37 +133,41 @@ def _who(rows: DataFrame, users: DataFrame | None, cfg: UsageConfig) -> DataFram
     return rows.join(named, F.col("user_name").eqNullSafe(F.col("_u")), "left").drop("_u")
 
 
-def split_software(rows: DataFrame, by_exe: DataFrame, dictionary: Dictionary,
-                   users: DataFrame | None, cfg: UsageConfig) -> DataFrame:
-    """Add ``split``: the application label with generic and significant
-    unidentified executables split by user. ``rows`` carry exe and user names."""
-    big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.lit(True).alias("_big"))
-    if cfg.unknown_thresh > 1e-4:
+def with_significant_exe(facts: DataFrame, by_exe: DataFrame, dictionary: Dictionary,
+                         cfg: UsageConfig) -> DataFrame:
+    """Add ``big``: the executable's name where it is unidentified with significant use."""
+    big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
+    if cfg.unknown_thresh >= 1e-4:
         big = F.broadcast(big)      # at most 1/threshold executables
-    tagged = with_classes(_who(rows, users, cfg), dictionary, cfg.family).join(big, "exe_name", "left")
-    label = (F.when(F.col("_big"), F.concat(F.col("exe_name"), F.lit("_"), F.col("who")))
-             .otherwise(split_by_user(F.col("software"), F.col("who"))))
-    # An unidentified row stays unidentified; a row whose user is missing has no label.
-    return tagged.withColumn("split", label).withColumn(
-        "_plain", F.col("software").isNull() & F.col("_big").isNull()).drop("_big", "who", "motif", "language")
+    return facts.join(big, "exe_name", "left")
+
 
+def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
+    """Application label of rows with ``code``, ``big`` and ``who``: generic and
+    significant unidentified executables carry the user."""
+    default = F.lit(None).cast("string") if cfg.family == "energy" else F.lit(UNKNOWN)
+    software = pick(F.col("code"), dictionary.names, default)
+    return F.when(F.col("big").isNotNull(), F.concat(F.col("big"), F.lit("_"), F.col("who"))).otherwise(
+        split_by_user(software, F.col("who")))
 
-def split_labels(by_exe: DataFrame, dictionary: Dictionary, users: DataFrame | None,
-                 analysis: Analysis, cfg: UsageConfig) -> Labeller:
+
+def split_labels(dictionary: Dictionary, users: DataFrame | None, analysis: Analysis,
+                 cfg: UsageConfig) -> Labeller:
     def labeller(rows: DataFrame) -> DataFrame:
-        named = split_software(rows, by_exe, dictionary, users, cfg)
+        named = _who(rows, users, cfg).withColumn("split", split_label(dictionary, cfg))
         if analysis.match == "substring":
             named = cut(named)      # read twice below
             inside = contained_values(named, "split").groupBy("split").agg(F.collect_set(
-                stats.label(stats.CATEGORY, F.col("inner"))).alias("labels"))
+                stats.label(stats.CATEGORY, F.col("inner"), F.col("inner") == F.col("split"))).alias("labels"))
             named = named.join(inside, "split", "left").withColumn(
                 "labels", F.coalesce("labels", stats.no_labels()))
         else:
             named = named.withColumn("labels", stats.only_label(F.col("split")))
         if analysis.unidentified:
-            named = named.withColumn("labels", F.when(
-                F.col("_plain"), _unidentified()).otherwise(F.col("labels")))
-        return named.drop("split", "_plain", "software")
+            # A row whose user is missing has no label; it is not unidentified.
+            plain = F.col("code").isNull() & F.col("big").isNull()
+            named = named.withColumn("labels", F.when(plain, _unidentified()).otherwise(F.col("labels")))
+        return named.drop("split", "who")
     return labeller
 
 
@@ -182,15 +183,19 @@ def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
                     dictionary: Dictionary | None = None, areas: DataFrame | None = None,
                     users: DataFrame | None = None) -> DataFrame:
     """Both distributions of one analysis in one frame (see ``stats.distribution``)."""
-    source = {"exe_name": F.col("exe_name")}
+    source = {"code": definition_index(F.col("exe_name"), dictionary)} if dictionary else {}
     if analysis.category == "Software" and cfg.user_split:
-        source["user_name"] = F.col("user_name")
-        if users is None and cfg.anonymise:
-            users = anonymous_users(facts)
-        by_exe = cut(facts.groupBy("exe_name").agg(
-            F.coalesce(F.sum("use_s"), F.lit(0.0)).alias("use_s"), F.count("*").alias("rows")))
-        labeller = split_labels(by_exe, dictionary, users, analysis, cfg)
-    elif analysis.category == "Software":
+        columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
+                   "energy_j", _measure(analysis, cfg).column]
+        columns += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
+        source |= {"user_name": F.col("user_name"), "big": F.col("big")}
+        with held(facts.select(*dict.fromkeys(columns))) as rows:
+            if users is None and cfg.anonymise:
+                users = anonymous_users(rows)
+            rows = with_significant_exe(rows, cut(exe_use(rows)), dictionary, cfg)
+            labeller = split_labels(dictionary, users, analysis, cfg)
+            return _distribution(rows, source, analysis, labeller, cfg)
+    if analysis.category == "Software":
         labeller = software_labels(dictionary, analysis, cfg)
     elif analysis.category == "Motif":
         labeller = motif_labels(dictionary)
@@ -204,6 +209,10 @@ def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         source, labeller = {"cpu_freq": F.col("cpu_freq")}, column_labels("cpu_freq")
     else:
         raise ValueError(f"unknown category {analysis.category!r}")
+    return _distribution(facts, source, analysis, labeller, cfg)
+
+
+def _distribution(facts, source, analysis: Analysis, labeller: Labeller, cfg: UsageConfig) -> DataFrame:
     keep = is_full_node(cfg) if analysis.full_node(cfg) else None
     return stats.distribution(facts, source, _measure(analysis, cfg), labeller, cfg.use_divisor, keep)
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time re-planning: merges small shuffle partitions, splits skewed join keys.
@@ -58,3 +61,17 @@ def cut(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep ``df`` on the executors, spilling to disk, while several passes read it.
+
+    Lost blocks are computed again. Whatever is to outlive the block must have
+    been written (``cut``) inside it.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()

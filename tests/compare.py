@@ -11,7 +11,7 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+from catalog.fixtures import TABLES  # noqa: E402
 
 
 def connect(sf_dir: str):
