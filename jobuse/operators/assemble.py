@@ -56,12 +56,14 @@ def drop_last_of_repeated(rows: DataFrame) -> DataFrame:
     last = counted.groupBy("job_id").agg(
         F.max(F.struct(*order)).alias("_last"), F.sum("_n").alias("_total"))
     last = last.filter("_total > 1").select(
-        F.col("job_id").alias("_job"), *[F.col(f"_last.{c}").alias(f"_{c}") for c in order])
-    same = F.col("job_id") == F.col("_job")
-    for c in order:
+        F.lit(1).alias("_hit"), F.col("job_id").alias("_job_id"),
+        *[F.col(f"_last.{c}").alias(f"_{c}") for c in order])
+    # Null-safe on every column: both sides then read the same shuffle of counted rows.
+    same = F.lit(True)
+    for c in ["job_id", *order]:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
     left = counted.join(last, same, "left").withColumn(
-        "_n", F.col("_n") - F.when(F.col("_job").isNotNull(), 1).otherwise(0))
+        "_n", F.col("_n") - F.coalesce(F.col("_hit"), F.lit(0)))
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))
     return left.filter("_n > 0").select(*rows.columns, copies.alias("_copy")).drop("_copy")
 
