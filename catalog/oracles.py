@@ -210,6 +210,15 @@ ORACLES |= {
     "scan_usage": q(RAW, f"SELECT CAST(job_id AS VARCHAR) AS job_id, {_STR}, '1M' AS max_rss, cpu_freq, "
                          "CAST(ngpus AS VARCHAR) AS ngpus, sub_job_id FROM u"),
     "sink_merged": q(RAW, f"SELECT {COLS}, '1M' AS max_rss FROM u"),
+    "usage_records": q(f"""{FX}, s AS (SELECT *, 0 AS src FROM fx_steps WHERE state NOT IN {BAD} AND sub_job_id <> '5'),
+ j AS (SELECT *, 1 AS src FROM fx_jobs WHERE state NOT IN {BAD}),
+ u AS (SELECT * FROM s UNION ALL SELECT * FROM j WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.job_id = j.job_id)),
+ g AS (SELECT job_id, sub_job_id, max(ngpus) AS n FROM fx_steps GROUP BY job_id, sub_job_id)""",
+        """SELECT u.job_id, u.sub_job_id, u.exe_name, u.user_name, u.account, CAST(u.nodes AS VARCHAR) AS nodes,
+ CAST(u.runtime AS VARCHAR) AS runtime, CAST(CASE WHEN u.src = 0 THEN g.n ELSE u.ngpus END AS DOUBLE) AS ngpus
+ FROM u LEFT JOIN g ON g.job_id = u.job_id AND g.sub_job_id = u.sub_job_id"""),
+    "energy_records": q(f"{RAW}, {FIRST}", "SELECT job_id, exe_name, user_name, CAST(nodes AS VARCHAR) AS nodes, "
+                        "CAST(runtime AS VARCHAR) AS runtime, CAST(energy_j AS VARCHAR) AS energy_j FROM ej"),
     "scan_energy_jobs": q(FX, f"SELECT {_STR.replace('CAST(ntasks AS VARCHAR) AS ntasks, ', '')}, job_id FROM fx_jobs"),
     "scan_step_exe": q(f"{RAW}, {FIRST}", "SELECT job_id, exe AS exe_name FROM first_exe"),
     "scan_code_defs": "WITH e AS (SELECT replace(p_name, ' ', '_') AS exe, min(p_type) AS type, min(p_brand) AS brand "

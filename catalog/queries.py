@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import fixtures as fx
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
-from jobuse.operators import assemble, classify, filters, identity, matrix, quality, rollup, stats
-from jobuse.plans import analyses as reports
+from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats
+from jobuse.plans import analyses as reports, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
 from jobuse.session import shared_dir
 from jobuse.sources import definitions, dumps, report as report_source, sinks
@@ -100,9 +100,8 @@ def _(spark, d):
 @query("scan_user_map")
 def _(spark, d):
     path = scratch(spark)
-    fx.jobs(spark, d).select(
-        F.col("job_id").alias("JobID"), F.concat(F.lit(" "), "user_name").alias("User"),
-    ).write.option("header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
+    fx.jobs(spark, d).select("job_id", F.concat(F.lit(" "), "user_name").alias("user_name")).write.option(
+        "header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
     return dumps.read_user_map(spark, path)
 
 
@@ -139,6 +138,38 @@ def _(spark, d):
     return spark.read.parquet(path).drop("mean_rss")
 
 
+@query("usage_records")
+def _(spark, d):
+    """The whole way from dump files: steps with batch entries, jobs, users, GPUs."""
+    tail = F.when(F.col("sub_job_id") == "5", "batch").otherwise(F.col("sub_job_id"))
+    step_rows = _allocations(fx.steps(spark, d)).withColumn("job_id_raw", F.concat_ws(".", "job_id", tail))
+    job_rows = _allocations(fx.jobs(spark, d)).withColumn("job_id_raw", F.col("job_id"))
+    gpu = ["job_id_raw", "state", "allocation"]
+    users = fx.jobs(spark, d).select("job_id", "user_name")
+    return runs.usage_records(
+        dumps.read_steps(spark, _step_dump(spark, step_rows.withColumn("user_name", F.lit("")))),
+        dumps.read_jobs(spark, _step_dump(spark, job_rows.withColumn("user_name", F.lit("")))),
+        dumps.read_user_map(spark, _csv(users, scratch(spark))), NODEH,
+        dumps.read_gpu_alloc(spark, _dump(step_rows, gpu, ",", scratch(spark))),
+        dumps.read_gpu_alloc(spark, _dump(job_rows, gpu, ",", scratch(spark))),
+    ).select("job_id", "sub_job_id", "exe_name", "user_name", "account", "nodes", "runtime", "ngpus")
+
+
+def _csv(rows: DataFrame, folder: str) -> str:
+    rows.write.option("header", True).csv(folder)
+    return folder
+
+
+@query("energy_records")
+def _(spark, d):
+    """The whole way from dump files: jobs, and step names from which step 0 is taken."""
+    job_rows = fx.jobs(spark, d).withColumn("job_id_raw", F.col("job_id"))
+    step_rows = fx.steps(spark, d).withColumn("job_id_raw", F.concat_ws(".", "job_id", "sub_job_id"))
+    jobs = dumps.read_energy_jobs(spark, _dump(job_rows, dumps.ENERGY_COLUMNS, "::", scratch(spark)))
+    return runs.energy_records(jobs, step_rows.select("job_id_raw", "exe_name"), ENERGY).select(
+        "job_id", "exe_name", "user_name", "nodes", "runtime", "energy_j")
+
+
 @query("scan_energy_jobs")
 def _(spark, d):
     raw = fx.jobs(spark, d).withColumn("job_id_raw", F.col("job_id"))
@@ -345,7 +376,7 @@ def _(spark, d):
 
 @query("filter_attrs")
 def _(spark, d):
-    rows = filters.with_attributes(fx.jobs(spark, d, extra=True), partition_name=["standard", "highmem"],
+    rows = filters.with_attributes(fx.jobs(spark, d, extra=True), partition_name=filters.ENERGY_PARTITIONS,
                                    cpu_freq="1-URGENT")
     return rows.select("job_id", "user_name", "partition_name", "cpu_freq")
 
@@ -498,7 +529,7 @@ def _(spark, d):
 
 @query("join_area")
 def _(spark, d):
-    return assemble.lookup(facts(spark, d), fx.areas(spark, d), "project_id").select(
+    return joins.lookup(facts(spark, d), fx.areas(spark, d), "project_id").select(
         *ID, "project_id", "area")
 
 

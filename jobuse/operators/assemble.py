@@ -12,11 +12,6 @@ from jobuse.sources.dumps import with_job_ids
 NO_STEP_EXE = "no_srun"
 NO_STEP_ID = "0"
 
-# Broadcast a lookup only when it is known to hold at most this many rows.
-BROADCAST_ROWS = 200_000
-# Copies of a lookup that is too large to broadcast, one per slice of a hot key.
-SALT = 16
-
 
 def tag_steps(steps: DataFrame) -> DataFrame:
     return steps.withColumn("src", F.lit(0))
@@ -93,17 +88,3 @@ def join_gpu(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """GPU counts by job and step; steps and step-less jobs are kept apart by ``src``."""
     return rows.drop("ngpus").join(counts, ["src", "job_id", "sub_job_id"], "left").select(
         *[c for c in rows.columns if c != "ngpus"], "ngpus")
-
-
-def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join to a lookup table with unique keys.
-
-    The table is broadcast when a bounded count shows that it is small. Otherwise
-    it is copied once per salt value and the rows of each key are spread over the
-    copies, so a key holding a third of the rows is not one task.
-    """
-    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(table), key, "left")
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALT)).cast("int")
-    return rows.withColumn("_salt", spread).join(copies, [key, "_salt"], "left").drop("_salt")

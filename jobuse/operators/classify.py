@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobuse.operators.joins import is_small
 from jobuse.sources.definitions import Dictionary
 
 UNKNOWN = "Unknown"
@@ -96,4 +97,5 @@ def contained_values(values: DataFrame, column: str) -> DataFrame:
     """
     distinct = values.select(column).filter(F.col(column).isNotNull() & (F.col(column) != "")).distinct()
     pieces = distinct.select(column, F.explode(substrings(F.col(column))).alias("inner"))
-    return pieces.join(distinct.select(F.col(column).alias("inner")), "inner", "inner")
+    wanted = distinct.select(F.col(column).alias("inner"))
+    return pieces.join(F.broadcast(wanted) if is_small(wanted) else wanted, "inner", "inner")

@@ -24,6 +24,10 @@ def kept_states(df: DataFrame, cfg: UsageConfig = UsageConfig()) -> DataFrame:
     return df.filter(~F.coalesce(F.col("state").rlike(cfg.exclude_states), F.lit(False)))
 
 
+# The partitions energy reports look at by default.
+ENERGY_PARTITIONS = ["standard", "highmem"]
+
+
 def in_period(df: DataFrame, time: str, start=None, end=None) -> DataFrame:
     """Rows with ``start <= time < end``; the comparison reaches the parquet scan."""
     if start is not None:

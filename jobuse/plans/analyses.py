@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.operators import stats
-from jobuse.operators.assemble import lookup
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
 from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
+from jobuse.operators.joins import lookup
 from jobuse.session import cut, held
 from jobuse.sources.definitions import Dictionary
 
@@ -91,11 +91,27 @@ def software_labels(dictionary: Dictionary, analysis: Analysis, cfg: UsageConfig
     return _by_definition(arrays, default)
 
 
-def motif_labels(dictionary: Dictionary) -> Labeller:
+def motif_labels(dictionary: Dictionary, occurring: set[str] | None = None) -> Labeller:
+    """Motif words that occur in the data and lie inside a row's motif.
+
+    Without ``occurring`` a word counts as occurring when the reported rows have it.
+    """
     motifs = [d.motif for d in dictionary.definitions]
     words = [t for m in [*motifs, UNKNOWN] for t in m.split()]
-    arrays = [_label_array(m, words, m.split()) for m in motifs]
-    return _by_definition(arrays, _label_array(UNKNOWN, words, [UNKNOWN]))
+    if occurring is not None:
+        words = [t for t in words if t in occurring]
+
+    def labels(motif: str) -> Column:
+        return _label_array(motif, words, words if occurring is not None else motif.split())
+
+    return _by_definition([labels(m) for m in motifs], labels(UNKNOWN))
+
+
+def motif_words(facts: DataFrame, dictionary: Dictionary) -> set[str]:
+    """Motif words of all rows; at most one row per definition reaches the driver."""
+    found = facts.select(definition_index(F.col("exe_name"), dictionary).alias("code")).distinct()
+    motifs = [UNKNOWN if r["code"] is None else dictionary.definitions[r["code"]].motif for r in found.collect()]
+    return {t for m in motifs for t in m.split()}
 
 
 def language_labels(dictionary: Dictionary) -> Labeller:
@@ -181,8 +197,12 @@ def _measure(analysis: Analysis, cfg: UsageConfig) -> stats.Measure:
 
 def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
                     dictionary: Dictionary | None = None, areas: DataFrame | None = None,
-                    users: DataFrame | None = None) -> DataFrame:
-    """Both distributions of one analysis in one frame (see ``stats.distribution``)."""
+                    users: DataFrame | None = None, all_facts: DataFrame | None = None) -> DataFrame:
+    """Both distributions of one analysis in one frame (see ``stats.distribution``).
+
+    User labels and motif words are taken before the restriction to a project:
+    ``all_facts`` are the facts without it (by default the facts themselves).
+    """
     source = {"code": definition_index(F.col("exe_name"), dictionary)} if dictionary else {}
     if analysis.category == "Software" and cfg.user_split:
         columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
@@ -191,14 +211,14 @@ def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         source |= {"user_name": F.col("user_name"), "big": F.col("big")}
         with held(facts.select(*dict.fromkeys(columns))) as rows:
             if users is None and cfg.anonymise:
-                users = anonymous_users(rows)
+                users = anonymous_users(rows if all_facts is None else all_facts)
             rows = with_significant_exe(rows, cut(exe_use(rows)), dictionary, cfg)
             labeller = split_labels(dictionary, users, analysis, cfg)
             return _distribution(rows, source, analysis, labeller, cfg)
     if analysis.category == "Software":
         labeller = software_labels(dictionary, analysis, cfg)
     elif analysis.category == "Motif":
-        labeller = motif_labels(dictionary)
+        labeller = motif_labels(dictionary, None if all_facts is None else motif_words(all_facts, dictionary))
     elif analysis.category == "Language":
         labeller = language_labels(dictionary)
     elif analysis.category == "Area":

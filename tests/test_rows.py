@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
-from jobuse.operators import assemble, classify, filters, identity, matrix, rollup
+from jobuse.operators import assemble, classify, filters, identity, joins, matrix, rollup
 from jobuse.plans import analyses
 from jobuse.plans.facts import energy_facts, usage_facts
 from jobuse.sources.definitions import Dictionary
@@ -155,9 +155,9 @@ def test_assembly_modes(spark):
 def test_lookup_joins_agree(spark, monkeypatch):
     rows = spark.range(200).select((F.col("id") % 3).cast("string").alias("k"), "id")
     table = spark.createDataFrame([("0", "zero"), ("1", "one")], "k string, v string")
-    small = sorted(map(tuple, assemble.lookup(rows, table, "k").collect()), key=str)
-    monkeypatch.setattr(assemble, "BROADCAST_ROWS", 1)
-    assert sorted(map(tuple, assemble.lookup(rows, table, "k").collect()), key=str) == small
+    small = sorted(map(tuple, joins.lookup(rows, table, "k").collect()), key=str)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    assert sorted(map(tuple, joins.lookup(rows, table, "k").collect()), key=str) == small
 
 
 def test_gpu_join_keeps_steps_and_jobs_apart(spark):
