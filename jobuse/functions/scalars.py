@@ -32,8 +32,10 @@ def normalise_na(df: DataFrame) -> DataFrame:
 
 def to_number(col: Column, dtype: T.DataType | None = None) -> Column:
     """Lenient conversion to double; anything that is not a number gives NULL."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(col), col.cast("double"))
     if dtype is not None and not isinstance(dtype, T.StringType):
-        return F.when(~F.isnan(col.cast("double")), col.cast("double"))
+        return col.cast("double")
     return F.when(col.rlike(NUMBER), col.try_cast("double"))
 
 

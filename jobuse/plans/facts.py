@@ -44,13 +44,17 @@ def usage_facts(raw: DataFrame, cfg: UsageConfig, for_account: bool = True) -> D
         "node_power": s.mean_node_power(energy, runtime, nodes)})
     cores = F.col("cores")
     ngpus = F.col("ngpus") if "ngpus" in df.columns else F.lit(None).cast("double")
-    use = s.clamp(s.unit_seconds(nodes, cores, ngpus, runtime, cfg))
+    # Each measure is a column of its own before it is cleaned, not a repeated expression.
+    df = df.withColumns({
+        "ngpus": ngpus, "use_s": s.unit_seconds(nodes, cores, ngpus, runtime, cfg),
+        "energy_j": s.prorate(energy, cores, cfg),
+        "node_power": s.prorate(F.col("node_power"), cores, cfg)})
     facts = df.select(*[c.alias(n) for n, c in _shared(df).items()], *_present(df, ["cpu_freq"]).values(),
                       s.finite(nodes).alias("nodes"), s.finite(cores).alias("cores"),
-                      s.finite(ngpus).alias("ngpus"), s.finite(runtime).alias("runtime"),
-                      s.finite(use).alias("use_s"),
-                      s.finite(s.prorate(energy, cores, cfg)).alias("energy_j"),
-                      s.plausible_power(s.prorate(F.col("node_power"), cores, cfg), cfg).alias("node_power"))
+                      s.finite(F.col("ngpus")).alias("ngpus"), s.finite(runtime).alias("runtime"),
+                      s.finite(s.clamp(F.col("use_s"))).alias("use_s"),
+                      s.finite(F.col("energy_j")).alias("energy_j"),
+                      s.plausible_power(F.col("node_power"), cfg).alias("node_power"))
     return of_project(facts, cfg.account) if for_account else facts
 
 
@@ -61,12 +65,15 @@ def energy_facts(raw: DataFrame, cfg: UsageConfig, for_account: bool = True) ->
         df = complete_rows(df, [c for c in raw.columns if c != "src"])
     nodes, runtime, energy = F.col("nodes"), F.col("runtime"), F.col("energy_j")
     null = F.lit(None).cast("double")
+    df = df.withColumns({
+        "use_s": s.unit_seconds(nodes, null, null, runtime, cfg),
+        "node_power": s.mean_node_power(energy, runtime, nodes)})
     shared = _shared(df) | {"exe_name": F.coalesce(F.col("exe_name"), F.lit("Unknown"))}
     facts = df.select(*[c.alias(n) for n, c in shared.items()],
                       s.finite(nodes).alias("nodes"), s.finite(runtime).alias("runtime"),
-                      s.finite(s.unit_seconds(nodes, null, null, runtime, cfg)).alias("use_s"),
+                      s.finite(F.col("use_s")).alias("use_s"),
                       s.finite(energy).alias("energy_j"),
-                      s.plausible_power(s.mean_node_power(energy, runtime, nodes), cfg).alias("node_power"))
+                      s.plausible_power(F.col("node_power"), cfg).alias("node_power"))
     return of_project(facts, cfg.account) if for_account else facts
 
 
