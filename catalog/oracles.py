@@ -347,10 +347,10 @@ ORACLES |= {
  ex AS (SELECT software, cores, unnest(range(CAST(floor(use_s / 460800.0) AS BIGINT))) AS i FROM d WHERE software IN (SELECT software FROM top)),
  bx AS (SELECT software, quantile_cont(cores, 0.25) AS q1, quantile_cont(cores, 0.5) AS median, quantile_cont(cores, 0.75) AS q3,
    sum(cores) / count(*) AS mean, count(*) AS copies FROM ex GROUP BY software)""",
-        """SELECT bx.software, max(bx.q1) AS q1, max(median) AS median, max(q3) AS q3, max(mean) AS mean, max(copies) AS copies,
+        """SELECT top.software, max(bx.q1) AS q1, max(median) AS median, max(q3) AS q3, max(mean) AS mean, max(copies) AS copies,
   least(min(CASE WHEN cores >= q1 - (q3 - q1) * 1.5 THEN cores END), max(q1)) AS whisker_low,
   greatest(max(CASE WHEN cores <= q3 + (q3 - q1) * 1.5 THEN cores END), max(q3)) AS whisker_high,
-  max(total) / 460800.0 AS use FROM ex JOIN bx USING (software) JOIN top USING (software) GROUP BY bx.software"""),
+  max(total) / 460800.0 AS use FROM top LEFT JOIN ex USING (software) LEFT JOIN bx USING (software) GROUP BY top.software"""),
     "report_projection": report_sql("ProjSize", NODEH, False, energy_columns=False),
     "energy_report_projection": report_sql("AreaSize", ENERGY, False, use_columns=False, absolute_energy=False),
 }

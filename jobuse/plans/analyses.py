@@ -13,7 +13,7 @@ from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
 from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
-from jobuse.operators.joins import lookup
+from jobuse.operators.joins import is_small, lookup
 from jobuse.session import cut, held
 from jobuse.sources.definitions import Dictionary
 
@@ -153,9 +153,7 @@ def with_significant_exe(facts: DataFrame, by_exe: DataFrame, dictionary: Dictio
                          cfg: UsageConfig) -> DataFrame:
     """Add ``big``: the executable's name where it is unidentified with significant use."""
     big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
-    if cfg.unknown_thresh >= 1e-4:
-        big = F.broadcast(big)      # at most 1/threshold executables
-    return facts.join(big, "exe_name", "left")
+    return facts.join(F.broadcast(big) if is_small(big) else big, "exe_name", "left")
 
 
 def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
@@ -302,22 +300,24 @@ def top_code_boxes(facts: DataFrame, cfg: UsageConfig, dictionary: Dictionary) -
     are read off the counts of each size."""
     sizes = cut(code_sizes(facts, cfg, dictionary))
     best = top_codes(sizes).select("software", F.col("use_s").alias("_total"))
-    rows = sizes.filter("copies > 0").join(F.broadcast(best), "software")
+    rows = sizes.filter("copies > 0").join(F.broadcast(best), "software", "left_semi")
     run = stats.running(rows, "value", ["software"], n="copies", w="use_s")
     ranks = run.groupBy("software").agg(
-        *stats.rank_picks("value"), F.max("_total").alias("_total"),
+        *stats.rank_picks("value"),
         F.sum(F.col("value") * F.when(F.col("value").isNotNull(), F.col("copies"))).alias("_sum"))
-    box = ranks.select("software", "_total", "tn", (F.col("_sum") / F.col("tn")).alias("mean"),
+    box = ranks.select("software", "tn", F.try_divide("_sum", "tn").alias("mean"),
                        *[stats.interpolated(k).alias(f"q{k}") for k in stats.QUARTERS])
     reach = (F.col("q3") - F.col("q1")) * 1.5
     low = F.min(F.when(F.col("value") >= F.col("q1") - reach, F.col("value")))
     high = F.max(F.when(F.col("value") <= F.col("q3") + reach, F.col("value")))
-    return rows.drop("_total").join(F.broadcast(box), "software").groupBy("software").agg(
+    boxes = rows.join(F.broadcast(box), "software").groupBy("software").agg(
         F.max("q1").alias("q1"), F.max("q2").alias("median"), F.max("q3").alias("q3"),
         F.max("mean").alias("mean"), F.max("tn").alias("copies"),
         F.least(low, F.max("q1")).alias("whisker_low"),
-        F.greatest(high, F.max("q3")).alias("whisker_high"),
-        (F.max("_total") / cfg.use_divisor).alias("use"),
+        F.greatest(high, F.max("q3")).alias("whisker_high"))
+    # An application without a whole hour in any row keeps its place, without a box.
+    return best.join(boxes, "software", "left").select(
+        *boxes.columns, (F.col("_total") / cfg.use_divisor).alias("use"),
     ).orderBy(F.desc("use"), F.asc("software"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -45,14 +46,17 @@ def energy_records(jobs: DataFrame, step_exes: DataFrame, cfg: UsageConfig) -> D
 
 
 def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, folder: str,
-                  prefix: str, **inputs) -> dict[str, str]:
+                  prefix: str, keep: bool = False, **inputs) -> dict[str, str]:
     """Write both tables of each named report; returns their paths.
 
-    The facts are kept while the reports are made, and the statistics of a report
-    are computed once for its two tables. Nothing is written without records.
+    The statistics of a report are computed once for its two tables. Each report
+    reads the columns it needs from ``records``; with ``keep`` the facts are held
+    between reports, which pays when records are not a stored table. Nothing is
+    written without records.
     """
     paths = {}
-    with held(facts_of(records, cfg, for_account=False)) as everyone:
+    derived = facts_of(records, cfg, for_account=False)
+    with held(derived) if keep else nullcontext(derived) as everyone:
         facts = of_project(everyone, cfg.account)
         if not has_rows(facts):
             return paths

@@ -296,6 +296,16 @@ def test_report_columns(spark):
     assert "Nodeh" not in web and "kWh" not in web and "PercentEnergy" in web
 
 
+def test_boxes_of_top_applications(spark):
+    rows = [("casino", "u", 1.5), ("casino", "u", 3.0), ("vampire", "u", .5), ("zzz", "u", .25)]
+    facts = facts_of(spark, rows).withColumn("cores", F.when(F.col("use_s") > 6000, 64.0).otherwise(16.0))
+    got = [(r.software, r.use, r.copies, r.q1, r["median"], r["mean"], r.whisker_low)
+           for r in analyses.top_code_boxes(facts, SHARED, DICT).collect()]
+    # One copy of 16 and three of 64; applications below one hour keep their place without a box.
+    assert got == [("Casino", 4.5, 4, 52.0, 64.0, 52.0, 52.0), ("Vampire", .5, None, None, None, None, None),
+                   ("Unknown", .25, None, None, None, None, None)]
+
+
 # ---- roll-up and matrix ------------------------------------------------------------
 
 def test_roll_up(spark):

@@ -42,7 +42,7 @@ def test_records_from_dumps(spark, tmp_path):
 def test_written_reports(spark, tmp_path):
     cfg = UsageConfig(report_energy=True)
     paths = runs.write_reports(records(spark, tmp_path), ["CodeSize", "CodePower"], cfg, str(tmp_path / "out"), "use",
-                               dictionary=DICT)
+                               keep=True, dictionary=DICT)
     assert set(paths) == {"CodeSize", "CodeSize_weighted", "CodePower", "CodePower_weighted"}
     rows = {r.Software: r for r in spark.read.csv(paths["CodeSize"], header=True).collect()}
     assert set(rows) == {"App", "Python", "Other", "Unknown", "Overall"}
