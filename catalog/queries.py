@@ -14,7 +14,7 @@ from jobuse.functions import scalars as s
 from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats
 from jobuse.plans import analyses as reports, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
-from jobuse.session import shared_dir
+from jobuse.session import cut, shared_dir
 from jobuse.sources import definitions, dumps, report as report_source, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -640,7 +640,7 @@ def _(spark, d):
 @query("running_usage")
 def _(spark, d):
     """Running use by size within each application."""
-    sizes = reports.code_sizes(facts(spark, d), NODEH, fx.dictionary())
+    sizes = cut(reports.code_sizes(facts(spark, d), NODEH, fx.dictionary()))
     return stats.running(sizes, "value", ["software"], n="copies", w="use_s").select(
         "software", "value", (F.col("cw") / NODEH.use_divisor).alias("running_use"),
         (F.col("tw") / NODEH.use_divisor).alias("total_use"))

@@ -11,8 +11,8 @@ from the cells, so no task ever sees the rows of a category, not even those of
   ``Overall`` is one of them - and the grouped rows are combined again;
 * quartiles are read off running sums over the cells of a label.
 
-Sizes have few distinct values: a cell is one value. Node power is continuous: a
-cell is one of ``GRID`` equal slices of the plausible range, and a second pass
+Sizes have few distinct values: a cell is one value (should there be very many,
+running sums are taken part by part). Node power is continuous: a cell is one of ``GRID`` equal slices of the plausible range, and a second pass
 looks only at the slices in which a quartile falls.
 """
 
@@ -29,6 +29,8 @@ CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
 
 GRID = 65_536
+# Running sums over more cells than this are taken part by part.
+WINDOW_ROWS = 1_000_000
 QUARTERS = (1, 2, 3)
 
 # Kinds of grouped rows, by grouping_id() over (cell, user, project).
@@ -149,20 +151,43 @@ def _rank(k: int, up: bool) -> str:
     return f"{'ceil' if up else 'floor'}((tn - 1) * {k / 4}D)"
 
 
-def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str = "w") -> DataFrame:
+def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str = "w",
+            bounded: bool = False) -> DataFrame:
     """Running counts and weights in value order; missing values come last.
 
     ``cn``/``cw`` run up to and including the row, ``tn``/``tw`` are the totals.
-    Rows with a missing value keep their weight but have no rank.
+    Rows with a missing value keep their weight but have no rank. ``cells`` is
+    read more than once. Unless their number is known to be ``bounded`` it is
+    checked, and beyond ``WINDOW_ROWS`` no key is handled by a single task.
     """
-    ordered = (Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    whole = Window.partitionBy(*keys)
     ranked = F.expr(f"if({value} IS NOT NULL, {n}, 0)")
     weight = F.expr(f"coalesce({w}, 0D)")
-    return cells.select(
-        "*", F.sum(ranked).over(ordered).alias("cn"), F.sum(weight).over(ordered).alias("cw"),
-        F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).alias("tw"))
+    ordered = F.col(value).asc_nulls_last()
+    if bounded or cells.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS:
+        so_far, whole = _up_to_row(keys, ordered), Window.partitionBy(*keys)
+        return cells.select(
+            "*", F.sum(ranked).over(so_far).alias("cn"), F.sum(weight).over(so_far).alias("cw"),
+            F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).alias("tw"))
+    # Sort by range, add up inside each sorted part, then add the sums of the parts before.
+    parts = cut(cells.orderBy(*keys, ordered).withColumn("_part", F.spark_partition_id()))
+    sums = parts.groupBy(*keys, "_part").agg(F.sum(ranked).alias("_n"), F.sum(weight).alias("_w"))
+    earlier = (Window.partitionBy(*keys).orderBy("_part")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    whole = Window.partitionBy(*keys)
+    before = sums.select(
+        *keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
+        F.coalesce(F.sum("_w").over(earlier), F.lit(0.0)).alias("_w0"),
+        F.sum("_n").over(whole).alias("tn"), F.sum("_w").over(whole).alias("tw"))
+    so_far = _up_to_row([*keys, "_part"], ordered)
+    inside = parts.select("*", F.sum(ranked).over(so_far).alias("_cn"), F.sum(weight).over(so_far).alias("_cw"))
+    return inside.join(before, [*keys, "_part"]).select(
+        *cells.columns, (F.col("_n0") + F.col("_cn")).alias("cn"), (F.col("_w0") + F.col("_cw")).alias("cw"),
+        "tn", "tw")
+
+
+def _up_to_row(keys: list[str], order: Column):
+    return (Window.partitionBy(*keys).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
 def rank_picks(value: str) -> list[Column]:
@@ -210,7 +235,7 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
 
     At most nine cells per label: two ranks and one weight for each quartile.
     """
-    run = running(cells, "cell", _LABEL)
+    run = running(cells, "cell", _LABEL, bounded=True)      # GRID cells per label
     weight = F.coalesce(F.col("w"), F.lit(0.0))
     earlier = (Window.partitionBy(*_LABEL).orderBy(F.col("cell").asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -221,26 +246,27 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
     crossed = F.expr(" OR ".join(ranks + weights))
     return run.withColumn("_before", before).filter(F.col("cell").isNotNull() & crossed).select(
         *_LABEL, "cell", (F.col("cn") - F.col("n")).alias("n0"),
-        (F.col("cw") - weight).alias("w0"), "tn", "tw")
+        (F.col("cw") - weight).alias("w0"), F.col("tn").alias("all_n"), F.col("tw").alias("all_w"))
 
 
 def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
                        labeller: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Quartiles of a continuous measure: a second pass over the crossed slices."""
+    """Quartiles of a continuous measure: a second pass over the crossed slices.
+
+    The result no longer reads ``base``.
+    """
     crossed = _crossed_cells(cells)
     # At most GRID distinct slices exist, whatever the data: safe to broadcast.
     slices = F.broadcast(crossed.select("cell").distinct())
     rows = (base.join(slices, "cell").groupBy(*source, "cell", "_v")
             .agg(F.count("*").alias("n"), F.sum("_w").alias("w")))
-    values = (_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
-              .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
-              .join(crossed, [*_LABEL, "cell"], "inner"))
-    inside = (Window.partitionBy(*_LABEL, "cell").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = values.select(
-        *_LABEL, "_v", "w", "tn", "tw",
-        (F.col("n0") + F.sum("n").over(inside)).alias("cn"),
-        (F.col("w0") + F.sum(F.coalesce(F.col("w"), F.lit(0.0))).over(inside)).alias("cw"))
+    values = cut(_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
+                 .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+                 .join(crossed, [*_LABEL, "cell"], "inner"))
+    # A slice may be crowded: running sums check the size of what they are given.
+    run = running(values, "_v", [*_LABEL, "cell"]).select(
+        *_LABEL, "_v", "w", F.col("all_n").alias("tn"), F.col("all_w").alias("tw"),
+        (F.col("n0") + F.col("cn")).alias("cn"), (F.col("w0") + F.col("cw")).alias("cw"))
     picked = run.groupBy(*_LABEL).agg(*rank_picks("_v"), *weight_picks("_v"))
     return picked.select(*_LABEL, *_quartile_columns())
 
@@ -263,7 +289,7 @@ def distribution(facts: DataFrame, source: dict[str, Column], measure: Measure,
     else:
         with held(base) as held_base:
             cells = cut(cells_of(grouped_rows(held_base, names, True), labeller))
-            quartiles = cut(_refined_quartiles(cells, held_base, names, labeller))
+            quartiles = _refined_quartiles(cells, held_base, names, labeller)
         rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
         F.coalesce(F.sum("all_w"), F.lit(0.0)).alias("w"),

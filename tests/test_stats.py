@@ -103,6 +103,14 @@ def test_random(spark, kind, seed):
     check(actual(spark, rows, upper), expected(rows))
 
 
+@pytest.mark.parametrize("kind", ["sizes", "power", "ties"])
+def test_running_sums_part_by_part(spark, kind, monkeypatch):
+    monkeypatch.setattr(stats, "WINDOW_ROWS", 5)
+    rows = random_rows(5, 700, DRAWS[kind][1])
+    check(actual(spark, rows), expected(rows))
+    check(actual(spark, rows, 850.0), expected(rows))
+
+
 @pytest.mark.parametrize("upper", [None, 850.0])
 def test_restricted_rows_count_for_totals_only(spark, upper):
     rows = random_rows(3, 400, lambda r: r.integers(1, 40))
