@@ -227,7 +227,7 @@ def _(spark, d):
     path = scratch(spark)
     _period_summaries(spark, d).repartition("period").write.partitionBy("period").option(
         "header", True).csv(path)
-    return dumps.read_summaries(spark, path, "")
+    return dumps.read_summaries(spark, f"{path}/*", "")
 
 
 @query("combine_summaries")

@@ -116,9 +116,11 @@ def read_gpu_alloc(spark: SparkSession, path) -> DataFrame:
 
 
 def read_summaries(spark: SparkSession, folder: str, pattern: str, key: str = "key") -> DataFrame:
-    """All ``*<pattern>.csv`` tables under a folder, by the names in their headers."""
-    rows = spark.read.csv(folder, header=True, pathGlobFilter=f"*{pattern.strip()}.csv",
-                          recursiveFileLookup=True)
+    """All tables ``<folder>/*<pattern>.csv``, whether single files or written results.
+
+    Their headers must agree; a table with other columns is an error.
+    """
+    rows = spark.read.csv(f"{folder}/*{pattern.strip()}.csv", header=True, enforceSchema=False)
     numbers = [c for c in SUMMARY_COLUMNS[1:] if c in rows.columns]
     return rows.select(F.col(f"`{key}`"), *[F.col(c).try_cast("double").alias(c) for c in numbers])
 

@@ -5,6 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from jobuse.config import UsageConfig
+from jobuse.operators.rollup import combine_summaries
 from jobuse.plans import analyses, runs
 from jobuse.plans.facts import usage_facts
 from jobuse.sources import dumps
@@ -50,6 +51,17 @@ def test_written_reports(spark, tmp_path):
     assert spark.read.csv(paths["CodePower"], header=True).filter("Software = 'Python'").count() == 0
 
 
+def test_written_periods_roll_up(spark, tmp_path):
+    cfg = UsageConfig(report_energy=True)
+    raw = records(spark, tmp_path)
+    for period, part in (("2023", raw), ("2024", raw.filter("job_id <> 4"))):
+        runs.write_reports(part, ["CodeSize"], cfg, str(tmp_path / "out"), period, dictionary=DICT)
+    summaries = dumps.read_summaries(spark, str(tmp_path / "out"), "CodeSize", key="Software")
+    got = {r.Software: r for r in combine_summaries(summaries, "Software").collect()}
+    assert (got["App"].Nodeh, got["Other"].Nodeh, got["Overall"].Nodeh) == (4.0, 2.0, 10.4)
+    assert (got["Overall"].Users_min, got["Overall"].Users_max, got["Other"].Users_min) == (2, 3, 1)
+
+
 def test_nothing_is_written_without_records(spark, tmp_path):
     cfg = UsageConfig(account="nobody")
     assert runs.write_reports(records(spark, tmp_path), ["CodeSize"], cfg, str(tmp_path / "out"), "use",
