@@ -29,7 +29,7 @@ CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
 
 GRID = 65_536
-# Running sums over more cells than this are taken part by part.
+# Running sums over more cells of a label than this are taken part by part.
 WINDOW_ROWS = 1_000_000
 QUARTERS = (1, 2, 3)
 
@@ -163,7 +163,7 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
     ranked = F.expr(f"if({value} IS NOT NULL, {n}, 0)")
     weight = F.expr(f"coalesce({w}, 0D)")
     ordered = F.col(value).asc_nulls_last()
-    if bounded or cells.limit(WINDOW_ROWS + 1).count() <= WINDOW_ROWS:
+    if bounded or _fits_window(cells, keys):
         so_far, whole = _up_to_row(keys, ordered), Window.partitionBy(*keys)
         return cells.select(
             "*", F.sum(ranked).over(so_far).alias("cn"), F.sum(weight).over(so_far).alias("cw"),
@@ -185,6 +185,12 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
         "tn", "tw")
 
 
+def _fits_window(cells: DataFrame, keys: list[str]) -> bool:
+    """Whether every key has few enough cells to be handled by one task."""
+    return (cells.count() <= WINDOW_ROWS
+            or cells.groupBy(*keys).count().agg(F.max("count")).first()[0] <= WINDOW_ROWS)
+
+
 def _up_to_row(keys: list[str], order: Column):
     return (Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -1,7 +1,6 @@
 """Readers and writers on hand-written files."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from jobuse.session import shared_dir
 from jobuse.sources import definitions, dumps, report, sinks
