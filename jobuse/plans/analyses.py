@@ -193,19 +193,40 @@ def _measure(analysis: Analysis, cfg: UsageConfig) -> stats.Measure:
     return stats.Measure(cfg.size_measure)
 
 
+TAGGED = ("Software", "Motif", "Language")     # categories that follow from the executable
+
+
+def tag_table(facts: DataFrame, dictionary: Dictionary) -> DataFrame | None:
+    """(exe_name, code) of all executables, or None where there are too many to
+    broadcast: then tagging in place is cheaper than shuffling the facts.
+
+    A long dictionary is searched once per name instead of once per row.
+    """
+    table = cut(facts.select("exe_name").distinct().withColumn(
+        "code", definition_index(F.col("exe_name"), dictionary)))
+    return table if is_small(table) else None
+
+
 def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
                     dictionary: Dictionary | None = None, areas: DataFrame | None = None,
-                    users: DataFrame | None = None, all_facts: DataFrame | None = None) -> DataFrame:
+                    users: DataFrame | None = None, all_facts: DataFrame | None = None,
+                    tags: DataFrame | None = None) -> DataFrame:
     """Both distributions of one analysis in one frame (see ``stats.distribution``).
 
     User labels and motif words are taken before the restriction to a project:
     ``all_facts`` are the facts without it (by default the facts themselves).
+    ``tags`` is a table made by ``tag_table``; without it names are tagged in place.
     """
-    source = {"code": definition_index(F.col("exe_name"), dictionary)} if dictionary else {}
+    source = {}
+    if tags is not None and analysis.category in TAGGED:
+        facts, source = lookup(facts, tags, "exe_name"), {"code": F.col("code")}
+    elif dictionary is not None:
+        source = {"code": definition_index(F.col("exe_name"), dictionary)}
     if analysis.category == "Software" and cfg.user_split:
         columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
                    "energy_j", _measure(analysis, cfg).column]
         columns += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
+        columns += ["code"] if tags is not None else []
         source |= {"user_name": F.col("user_name"), "big": F.col("big")}
         with held(facts.select(*dict.fromkeys(columns))) as rows:
             if users is None and cfg.anonymise:

@@ -12,13 +12,17 @@ from jobuse.functions.scalars import job_id_of
 from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
 from jobuse.operators.identity import anonymous_users
-from jobuse.plans.analyses import analyses_of, distribution_of, report_table
+from jobuse.plans.analyses import TAGGED, analyses_of, distribution_of, report_table, tag_table
 from jobuse.plans.facts import facts_of
 from jobuse.session import held
 from jobuse.sources.dumps import with_job_ids
 from jobuse.sources.sinks import has_rows, write_result
 
 
+# Dictionaries up to this length are searched row by row; longer ones once per name.
+TAG_IN_PLACE = 20
+
+
 def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: UsageConfig,
                   gpu_steps: DataFrame | None = None, gpu_jobs: DataFrame | None = None,
                   mode: str = "anti") -> DataFrame:
@@ -64,6 +68,11 @@ def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, fo
             inputs["users"] = anonymous_users(everyone)
         if cfg.account:
             inputs["all_facts"] = everyone
+        names = list(names)
+        dictionary = inputs.get("dictionary")
+        if (dictionary and len(dictionary.definitions) > TAG_IN_PLACE
+                and any(analyses_of(cfg)[n].category in TAGGED for n in names)):
+            inputs["tags"] = tag_table(everyone, dictionary)
         for name in names:
             analysis = analyses_of(cfg)[name]
             both = distribution_of(facts, analysis, cfg, **inputs)

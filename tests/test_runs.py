@@ -62,6 +62,17 @@ def test_written_periods_roll_up(spark, tmp_path):
     assert (got["Overall"].Users_min, got["Overall"].Users_max, got["Other"].Users_min) == (2, 3, 1)
 
 
+def test_tagging_by_table_gives_the_same_reports(spark, tmp_path, monkeypatch):
+    raw = records(spark, tmp_path)
+    names, found = ["CodeSize", "MotifSize", "LangSize", "ProjSize"], []
+    for cfg in (UsageConfig(), UsageConfig(user_split=True)):
+        for limit in (20, 0):
+            monkeypatch.setattr(runs, "TAG_IN_PLACE", limit)
+            paths = runs.write_reports(raw, names, cfg, str(tmp_path / f"{limit}{cfg.user_split}"), "use", dictionary=DICT)
+            found.append({n: sorted(map(tuple, spark.read.csv(p, header=True).collect())) for n, p in paths.items()})
+    assert found[0] == found[1] and found[2] == found[3] and found[0] != found[2]
+
+
 def test_nothing_is_written_without_records(spark, tmp_path):
     cfg = UsageConfig(account="nobody")
     assert runs.write_reports(records(spark, tmp_path), ["CodeSize"], cfg, str(tmp_path / "out"), "use",
