@@ -50,14 +50,14 @@ class Recent:
         return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
 
 
-def text_slices(texts: pa.Array):
-    """Slices of a string array of about ``SLICE_BYTES`` each (a long text stands alone)."""
+def text_slices(texts: pa.Array, size: int = SLICE_BYTES):
+    """Slices of a string array of about ``size`` bytes each (a long text stands alone)."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     ends = np.cumsum(np.asarray(pc.binary_length(texts)))
     at = 0
     while at < len(texts):
         done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
         yield texts.slice(at, to - at)
         at = to
 

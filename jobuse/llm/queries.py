@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobuse.llm import bpe, flat_tokens, orc_tokens
+from jobuse.llm import bpe, flat_tokens, orc_tokens, simhash, substring_dedup
 from jobuse.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,22 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           bpe.ids_sha256("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.deduplicate(documents(spark, sf_dir), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     orc_tokens.write(documents(spark, sf_dir), path, TOKENIZER, public_tokenizers.PATTERN, end_id=0)
     return orc_tokens.positions(spark, path)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, counted from flat files; the end id is not counted."""
     folder = scratch(spark, "flat")
@@ -40,7 +50,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_orc_tokens": op4_orc_tokens,
+    "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
 }
 ORACLES: dict[str, str] = {}
