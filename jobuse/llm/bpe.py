@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import regex
 import sentencepiece
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from jobuse.llm.common import small_batches, worker_state
-from jobuse.llm.pieces import Recent, encode_array, flat_lists, gathered
+from jobuse.llm.pieces import Known, encode_array, flat_lists, gathered
 
 FIRST_CHAR = 0x100
 UNKNOWN, BPE_MODEL = 2, 2       # enum values of the sentencepiece model format
@@ -79,16 +79,21 @@ class Codec:
     def __init__(self, model: bytes, pattern: str):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find_all = regex.compile(pattern).findall
-        self.encode_tokens = Recent(self.encode_new)
+        self.known = Known()
 
     def encode_new(self, tokens: list[str]) -> list[list[int]]:
         return self.processor.encode([t.encode().decode("latin-1").translate(_TO_CHARS) for t in tokens], num_threads=1)
 
-    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all pieces, flat, and the length of each."""
-        all_bytes = [bytes(ord(c) - FIRST_CHAR for c in self.processor.id_to_piece(i))
-                     for i in range(self.processor.get_piece_size() - 1)]
-        return np.frombuffer(b"".join(all_bytes), np.uint8), np.array([len(b) for b in all_bytes], np.int64)
+
+def _inverse(model: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all pieces of a model, flat, and the length of each; worked out once by a worker."""
+    state, key = worker_state(), hashlib.sha256(model).digest()
+    if getattr(state, "inverse_key", None) != key:
+        processor = sentencepiece.SentencePieceProcessor(model_proto=model)
+        pieces = [bytes(ord(c) - FIRST_CHAR for c in processor.id_to_piece(i)) for i in range(processor.get_piece_size() - 1)]
+        state.inverse = np.frombuffer(b"".join(pieces), np.uint8), np.array([len(b) for b in pieces], np.int64)
+        state.inverse_key = key
+    return state.inverse
 
 
 def _codec(model: bytes, pattern: str) -> Codec:
@@ -99,42 +104,54 @@ def _codec(model: bytes, pattern: str) -> Codec:
     return state.bpe
 
 
-def encode(docs: DataFrame, pieces: list[bytes], pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text as ``array<int>``.
+def encoder(spark: SparkSession, pieces: list[bytes], pattern: str):
+    """A function from a column of texts to one of ids (``array<int>``).
 
     The model (about 1 MB for 50,000 pieces) is broadcast: its size depends on
     the vocabulary alone.
     """
-    small_batches(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(serialise(pieces))
+    small_batches(spark)
+    model = spark.sparkContext.broadcast(serialise(pieces))
 
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(model.value, pattern)
         for texts in batches:
-            yield encode_array(texts, codec.find_all, codec.encode_tokens)
+            yield encode_array(texts, codec)
 
-    return docs.withColumn(ids_col, F.arrow_udf(ids, T.ArrayType(T.IntegerType()))(F.col(f"`{text_col}`")))
+    return F.arrow_udf(ids, T.ArrayType(T.IntegerType()))
 
 
-def decode(encoded: DataFrame, pieces: list[bytes], pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes that the ids stand for."""
-    small_batches(encoded.sparkSession)
-    model = encoded.sparkSession.sparkContext.broadcast(serialise(pieces))
+def decoder(spark: SparkSession, pieces: list[bytes]):
+    """A function from a column of ids to the bytes they stand for."""
+    small_batches(spark)
+    model = spark.sparkContext.broadcast(serialise(pieces))
 
-    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        flat, sizes = _codec(model.value, pattern).pieces()
-        for lists in batches:
-            ids, lengths = flat_lists(lists)
-            data = gathered(flat, sizes, ids)
-            ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(lengths)])]
-            yield pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+    def decoded(lists: pa.Array) -> pa.Array:
+        flat, sizes = _inverse(model.value)
+        ids, lengths = flat_lists(lists)
+        data = gathered(flat, sizes, ids)
+        ends = np.concatenate([[0], np.cumsum(sizes[ids])])[np.concatenate([[0], np.cumsum(lengths)])]
+        return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
 
-    return encoded.withColumn(bytes_col, F.arrow_udf(decoded, T.BinaryType())(F.col(f"`{ids_col}`")))
+    return F.arrow_udf(decoded, T.BinaryType())
 
 
-@F.arrow_udf(T.StringType())
-def ids_sha256(lists: pa.Array) -> pa.Array:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers, in hex."""
+def encode(docs: DataFrame, pieces: list[bytes], pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """``docs`` with the ids of each text."""
+    return docs.withColumn(ids_col, encoder(docs.sparkSession, pieces, pattern)(F.col(f"`{text_col}`")))
+
+
+def decode(encoded: DataFrame, pieces: list[bytes], ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """``encoded`` with the bytes that the ids stand for."""
+    return encoded.withColumn(bytes_col, decoder(encoded.sparkSession, pieces)(F.col(f"`{ids_col}`")))
+
+
+def _sha256(lists: pa.Array) -> pa.Array:
     ids, lengths = flat_lists(lists)
     data, ends = memoryview(ids.astype("<u4").tobytes()), np.concatenate([[0], np.cumsum(lengths)]) * 4
     return pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string())
+
+
+def ids_sha256(ids_col: str = "ids") -> Column:
+    """SHA-256 of the ids as little-endian unsigned 32-bit integers, in hex."""
+    return F.arrow_udf(_sha256, T.StringType())(F.col(ids_col))

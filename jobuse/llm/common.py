@@ -19,8 +19,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Hand rows to Python in batches of bounded bytes, so long texts don't pile up."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
 
 def scratch(spark: SparkSession, name: str) -> str:

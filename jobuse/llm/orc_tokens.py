@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tokenizers import Tokenizer
 
 from jobuse.llm.common import small_batches, worker_state
-from jobuse.llm.pieces import Recent, encode_array, flat_lists
+from jobuse.llm.pieces import Known, encode_array, flat_lists
 
 SCHEMA = "seq long, doc_id long, n_tokens int, tokens array<int>"
 
@@ -41,11 +41,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.find_all = regex.compile(pattern).findall
         self.alphabet = byte_alphabet()
-        self.encode_tokens = Recent(self.encode_new)
+        self.known = Known()
 
     def encode_new(self, tokens: list[str]) -> list[list[int]]:
-        encode, alphabet = self.tokenizer.model.tokenize, self.alphabet
-        return [[x.id for x in encode(t.encode().decode("latin-1").translate(alphabet))] for t in tokens]
+        encode, space = self.tokenizer.model.tokenize, chr(self.alphabet[0x20])
+        plain = (t.replace(" ", space) if t.isascii() and t.isprintable() else t.encode().decode("latin-1").translate(self.alphabet)
+                 for t in tokens)
+        return [[x.id for x in encode(t)] for t in plain]
 
 
 def _encoder(definition: str, pattern: str) -> Encoder:
@@ -64,7 +66,7 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(definition.value, pattern)
         for texts in batches:
-            lists = encode_array(texts, encoder.find_all, encoder.encode_tokens)
+            lists = encode_array(texts, encoder)
             values, ends = np.asarray(lists.values), np.asarray(lists.offsets)
             values = np.insert(values, ends[1:], end_id)
             yield pa.ListArray.from_arrays(pa.array((ends + np.arange(len(ends))).astype(np.int32)), pa.array(values, pa.int32()))

@@ -2,52 +2,57 @@
 
 Byte-level BPE never merges across a single space that stands between two
 non-space characters: the space opens the next pre-token. Texts are cut there
-and the pieces of a slice made distinct; their pre-tokens are made distinct
-again, and only those are encoded. Ids are gathered back with array arithmetic.
+and the pieces of a slice made distinct; pieces met lately have their ids, and
+the distinct pre-tokens of the others are encoded. Ids are gathered back with
+array arithmetic.
 """
 
 import re
-import struct
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8 << 20       # text handled at a time
+from jobuse.llm.words import LONG_WORD, string_hashes
+
+SLICE_BYTES = 4 << 20       # text handled at a time
 
 # Two white-space characters in a row, or one at the end, by the widest reading of white space.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _DOUBLE_SPACE = _SPACE + "{2}"
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
-FindAll = Callable[[str], list[str]]                                    # the pre-tokens of a text
-EncodeNew = Callable[[list[str]], list[list[int]]]                      # the ids of each pre-token
+FindAll = Callable[[str], list[str]]        # the pre-tokens of a text
+
 
+class Known:
+    """Ids of the pieces met lately, as sorted arrays: two hashes of a piece lead to its run of ids."""
 
-class Recent:
-    """Ids of pre-tokens met lately: at most two generations of ``SIZE``, the older dropped whole."""
+    LIMIT = 600_000         # pieces; then it starts anew
 
-    SIZE, CHARS = 150_000, 48
+    def __init__(self):
+        self.key = self.check = np.zeros(0, np.uint64)
+        self.start = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
-    def __init__(self, encode_new: EncodeNew):
-        self.encode_new, self.young, self.old = encode_new, {}, {}
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The place of each piece, or -1."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (self.check[at] == check), at, -1)
 
-    def __call__(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct pre-tokens, flat, and how many each has."""
-        tokens = tokens.to_pylist()
-        young, old = self.young, self.old
-        found = [young.get(t) or old.get(t) for t in tokens]
-        new = [k for k, x in enumerate(found) if x is None]
-        if new:
-            for k, ids in zip(new, self.encode_new([tokens[k] for k in new])):
-                found[k] = struct.pack(f"<{len(ids)}I", *ids)
-        for k in range(len(tokens)):
-            if len(tokens[k]) <= self.CHARS:
-                young[tokens[k]] = found[k]
-        if len(young) > self.SIZE:
-            self.young, self.old = {}, young
-        return np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // 4
+    def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        if len(self.key) + len(key) > self.LIMIT:
+            self.__init__()
+        order = np.argsort(key)
+        start = len(self.ids) + np.cumsum(size) - size
+        at = np.searchsorted(self.key, key[order])
+        for name, new in (("key", key), ("check", check), ("start", start), ("size", size)):
+            setattr(self, name, np.insert(getattr(self, name), at, new[order]))
+        self.ids = np.concatenate([self.ids, ids])
 
 
 def text_slices(texts: pa.Array, size: int = SLICE_BYTES):
@@ -78,9 +83,8 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pc.binary_join_element_wise(space, flat, pa.scalar("", pa.large_string())), counts
 
 
-def gathered(flat: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The runs of ``flat`` (``lengths`` long) laid out in ``order``, one after another."""
-    starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
+def _runs(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of ``flat``, one after another."""
     if not sizes.sum():
         return flat[:0]
     at = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
@@ -88,49 +92,79 @@ def gathered(flat: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.nda
     return flat[at]
 
 
-def _pre_tokens(words: pa.Array, find_all: FindAll) -> tuple[pa.Array, np.ndarray]:
-    """The pre-tokens of distinct pieces, and how many each has.
+def gathered(flat: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` (``lengths`` long) laid out in ``order``, one after another."""
+    return _runs(flat, (np.cumsum(lengths) - lengths)[order], lengths[order])
+
+
+def _joined(words: pa.Array) -> str:
+    """All strings of a ``large_string`` array in one."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)
+    return str(memoryview(words.buffers()[2])[ends[words.offset]: ends[words.offset + len(words)]], "utf-8") if len(words) else ""
+
+
+def _pre_tokens(words: pa.Array, find_all: FindAll) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The pre-tokens of distinct pieces, how many each has, and the order that pieces are taken in.
 
     Pieces that open with a space and have none at the end can stand one after
     another without changing each other's pre-tokens; the rest are cut alone.
     """
-    joins = pc.and_(pc.starts_with(words, " "), pc.invert(pc.match_substring_regex(words, f"{_DOUBLE_SPACE}|{_SPACE}$")))
-    order = pc.sort_indices(joins, sort_keys=[("", "descending")])
-    words, n_joined = words.take(order), pc.sum(joins).as_py() or 0
-    joined = words.slice(0, n_joined)
-    tokens = find_all("".join(joined.to_pylist()))
-    others = [find_all(w) for w in words.slice(n_joined).to_pylist()]
-    counts = np.zeros(len(words), np.int64)
-    found = pa.array(tokens, pa.large_string())
-    ends = np.searchsorted(np.cumsum(pc.binary_length(found)), np.cumsum(pc.binary_length(joined)), "left") + 1
-    counts[:n_joined] = np.diff(ends, prepend=0)
-    counts[n_joined:] = [len(x) for x in others]
+    joins = np.asarray(pc.and_(pc.starts_with(words, " "), pc.invert(pc.match_substring_regex(words, f"{_DOUBLE_SPACE}|{_SPACE}$"))))
+    joined = words.filter(pa.array(joins))
+    tokens = find_all(_joined(joined))
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))
+    ends = np.searchsorted(ends, np.cumsum(pc.utf8_length(joined)), "left") + 1
+    others = [find_all(w) for w in words.filter(pa.array(~joins)).to_pylist()]
     for x in others:
         tokens += x
-    back = np.empty(len(words), np.int64)
-    back[np.asarray(order)] = np.arange(len(words))
-    position = gathered(np.arange(len(tokens)), counts, back)
-    return pa.array(tokens, pa.large_string()).take(pa.array(position)), counts[back]
+    counts = np.concatenate([np.diff(ends, prepend=0), [len(x) for x in others]]).astype(np.int64)
+    return tokens, counts, np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+
+
+def _encode_pieces(words: pa.Array, coder) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct pieces, flat, and how many each has."""
+    tokens, per_piece, order = _pre_tokens(words, coder.find_all)
+    tokens = pc.dictionary_encode(pa.array(tokens, pa.large_string()))
+    found = coder.encode_new(tokens.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    ids = np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum())
+    kinds = np.asarray(tokens.indices)
+    ends = np.concatenate([[0], np.cumsum(lengths[kinds])])[np.concatenate([[0], np.cumsum(per_piece)])]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return gathered(gathered(ids, lengths, kinds), np.diff(ends), place), np.diff(ends)[place]
 
 
-def encode_slice(texts: pa.Array, find_all: FindAll, encode_tokens: Recent) -> tuple[np.ndarray, np.ndarray]:
+def encode_slice(texts: pa.Array, coder) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all texts (unsigned 32-bit, flat), and how many each text has."""
     flat, counts = _pieces(texts)
     pieces = pc.dictionary_encode(flat)
-    tokens, per_piece = _pre_tokens(pieces.dictionary, find_all)
-    tokens = pc.dictionary_encode(tokens)
-    ids, lengths = encode_tokens(tokens.dictionary)
-    kinds = np.asarray(tokens.indices)
-    ids = gathered(ids, lengths, kinds)
-    ends = np.concatenate([[0], np.cumsum(lengths[kinds])])[np.concatenate([[0], np.cumsum(per_piece)])]
-    lengths, codes = np.diff(ends), np.asarray(pieces.indices)
+    words, known = pieces.dictionary, coder.known
+    key, check = string_hashes(words)
+    short = np.asarray(pc.binary_length(words)) <= LONG_WORD
+    at = np.where(short, known.find(key, check), -1)
+    new = np.flatnonzero(at < 0)
+    ids, sizes = _encode_pieces(words.take(pa.array(new)), coder)
+    # The runs of all pieces: those known, then the new ones.
+    starts, lengths = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+    hit = at >= 0
+    starts[hit], lengths[hit] = known.start[at[hit]], known.size[at[hit]]
+    starts[new], lengths[new] = len(known.ids) + np.cumsum(sizes) - sizes, sizes
+    codes = np.asarray(pieces.indices)
     ends = np.cumsum(lengths[codes])[np.cumsum(counts) - 1] if len(counts) else np.zeros(0, np.int64)
-    return gathered(ids, lengths, codes), np.diff(ends, prepend=0)
+    out = _runs(np.concatenate([known.ids, ids]), starts[codes], lengths[codes])
+    keep = short[new]
+    known.add(key[new][keep], check[new][keep], ids[np.repeat(keep, sizes)], sizes[keep])
+    return out, np.diff(ends, prepend=0)
 
 
-def encode_array(texts: pa.Array, find_all: FindAll, encode_tokens: Recent) -> pa.Array:
-    """Token ids of each text as ``list<int32>``; a null text has none."""
-    parts = [encode_slice(t, find_all, encode_tokens) for t in text_slices(texts)]
+def encode_array(texts: pa.Array, coder) -> pa.Array:
+    """Token ids of each text as ``list<int32>``; a null text has none.
+
+    ``coder`` has ``find_all`` (the pre-tokens of a text), ``encode_new`` (the
+    ids of distinct pre-tokens) and ``known``, a ``Known``.
+    """
+    parts = [encode_slice(t, coder) for t in text_slices(texts)]
     ids = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)])
     lengths = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int64)])
     offsets = np.concatenate([[0], np.cumsum(lengths)])

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobuse.llm import bpe, flat_tokens, orc_tokens, simhash, substring_dedup
+from jobuse.llm import bpe, decontaminate, flat_tokens, orc_tokens, pii, rules, sharding, simhash, substring_dedup
 from jobuse.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,13 +15,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_OF_TEXT = 50_256
 
 
+def op1_qgram_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bpe.read_ranks(RANKS)
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe.encode(docs, pieces, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded, pieces, public_tokenizers.PATTERN)
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                          bpe.ids_sha256("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), pieces, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256().alias("ids_sha256"),
+                          F.sha2(bpe.decoder(spark, pieces)("ids"), 256).alias("decoded_sha256"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,14 +47,37 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "flat")
     ledger = flat_tokens.write(documents(spark, sf_dir), folder, bpe.read_ranks(RANKS), public_tokenizers.PATTERN, END_OF_TEXT)
     counts = flat_tokens.count_tokens(spark, folder, "<u2", END_OF_TEXT)
-    return ledger.join(counts, ["file", "ord"], "left").select("doc_id", (F.col("n_tokens") - 1).alias("n_tokens"))
+    return ledger.join(counts.hint("merge"), ["file", "ord"], "left").select("doc_id", (F.col("n_tokens") - 1).alias("n_tokens"))
+
+
+def op7_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(documents(spark, sf_dir), sharding.Tree.even(regions=5, racks=2, shards=4))
+
+
+def op8_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op9_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir))
+    counts = (F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4]))
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+                        pii.written(F.col("spans")).alias("spans"))
+
+
+def _of_kind(kind: int):
+    return lambda span: span["kind"] == kind
 
 
 QUERIES: dict[str, Query] = {
+    "op1_qgram_bands": op1_qgram_bands,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_orc_tokens": op4_orc_tokens,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
+    "op7_hash_tree": op7_hash_tree,
+    "op8_decision_list": op8_decision_list,
+    "op9_weak_pii": op9_weak_pii,
 }
 ORACLES: dict[str, str] = {}

@@ -46,19 +46,34 @@ class Sums:
         return mixed((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64))
 
 
+def _buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a ``large_string`` array, and where each string begins (and the last ends)."""
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset: strings.offset + len(strings) + 1]
+    buffer = strings.buffers()[2]
+    data = (np.frombuffer(buffer, np.uint8) if buffer else np.zeros(0, np.uint8))[offsets[0]: offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def _byte_table() -> np.ndarray:
+    return mixed(np.arange(1, 257, dtype=np.uint64) * BYTE_STEP)
+
+
+def string_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each string; for strings of no more than ``LONG_WORD`` bytes."""
+    data, offsets = _buffers(strings)
+    values = _byte_table()[data]
+    return tuple(Sums(values, step).runs(offsets[:-1], offsets[1:]) for step in (BYTE_STEP, WORD_STEP))
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts (``large_string``), flat, and the number of words of each."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset: texts.offset + len(texts) + 1]
-    buffer = texts.buffers()[2]
-    data = (np.frombuffer(buffer, np.uint8) if buffer else np.zeros(0, np.uint8))[offsets[0]: offsets[-1]]
-    offsets = offsets - offsets[0]
+    data, offsets = _buffers(texts)
     inside = np.concatenate([[False], (data != 32) & ((data < 9) | (data > 13)), [False]])
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True                                             # a word ends with its text
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | cut[:-1]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | cut[1:])) + 1
-    table = mixed(np.arange(1, 257, dtype=np.uint64) * BYTE_STEP)
-    hashes = Sums(table[data], BYTE_STEP).runs(start, end)
+    hashes = Sums(_byte_table()[data], BYTE_STEP).runs(start, end)
     for k in np.flatnonzero(end - start > LONG_WORD):
         hashes[k] = xxhash.xxh64_intdigest(data[start[k]: end[k]].tobytes(), 1)
     return hashes, np.diff(np.searchsorted(start, offsets))
