@@ -28,6 +28,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: for rows too many for ``cut``, in compressed columns."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or a variant of it that ``df`` has no column of."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,8 @@ factored against its block:
 Windows found are then joined per document into factors: a factor goes on as long
 as its source does, and at each factor boundary the parse starts again from the
 first window the factor did not hold, so no window that straddles a boundary is
-missed. Each factor is a duplicate span with its source.
+missed. Each factor is a duplicate span with its source; the least occurrence of a
+passage is its own source.
 
 Blocks are keys of shuffled aggregates and joins, never groups held by a task, so
 an anchor in a third of all documents only makes a skewed join side, which
@@ -31,12 +32,12 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from jobuse.llm.common import row_key, small_batches
+from jobuse.llm.common import row_key, small_batches, written
 from jobuse.llm.pieces import text_slices
 from jobuse.llm.words import SLICE_BYTES, WORD_STEP, Sums, sliding_min, word_hashes
-from jobuse.session import cut
 
 ANCHOR_WORDS = 8
 INDEX_BITS = np.uint64((1 << 28) - 1)
@@ -96,12 +97,26 @@ def segments(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("key", "text").mapInArrow(cut_up, "anchor long, whole long, key long, at int, size int")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``key, doc_id, packed``: texts are compressed for the one shuffle that moves them."""
+    def of(texts: pa.Array) -> pa.Array:
+        press = zstandard.ZstdCompressor(level=3)
+        return pa.array([None if t is None else press.compress(t.encode()) for t in texts.to_pylist()], pa.binary())
+
+    return docs.select("key", "doc_id", F.arrow_udf(of, T.BinaryType())("text").alias("packed"))
+
+
+def unpacked(texts: pa.Array) -> pa.Array:
+    press = zstandard.ZstdDecompressor()
+    return pa.array([None if t is None else press.decompress(t) for t in texts.to_pylist()], pa.binary()).cast(pa.string())
+
+
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
     """``anchor, hash, key, at`` of every window of the segments that begin at ``wanted`` in each document."""
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, wanted, done = np.asarray(batch.column("key")), batch.column("wanted").to_numpy(zero_copy_only=False), 0
-            for texts in text_slices(batch.column("text"), SLICE_BYTES):
+            for texts in text_slices(unpacked(batch.column("packed")), SLICE_BYTES):
                 s = Segments(texts, window)
                 pairs = np.concatenate([np.stack([np.full(len(w), d), w]) for d, w in enumerate(wanted[done: done + len(texts)])], axis=1)
                 chosen = np.flatnonzero(np.isin(s.doc << 32 | s.at, pairs[0].astype(np.int64) << 32 | pairs[1].astype(np.int64)))
@@ -112,28 +127,30 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
                     "at": pa.array((s.at[of] + within).astype(np.int32))})
                 done += len(texts)
 
-    return docs.select("key", "text", "wanted").mapInArrow(look_up, "anchor long, hash long, key long, at int")
+    return docs.select("key", "doc_id", "packed", "wanted").mapInArrow(look_up, "anchor long, hash long, key long, at int")
 
 
-def _source(of: str = "place"):
-    """Some other place with the same words: the least, or for the least itself the greatest."""
-    return F.when(F.col(of) == F.col("least"), F.col("greatest")).otherwise(F.col("least")).alias("source")
+def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFrame:
+    """``key, at, size, source`` of runs of windows that also start elsewhere.
 
-
-def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``key, at, size, source`` of runs of windows that also start elsewhere (``source``: key and place)."""
-    place = F.struct("key", "at").alias("place")
+    ``source`` is the key and place of the least occurrence, null for itself.
+    ``texts`` are the packed texts by key.
+    """
+    place = F.struct("key", "at")
+    source = F.when(place != F.col("least"), F.col("least")).alias("source")
     all_segments = segments(docs, window)
     blocks = all_segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = cut(all_segments.join(blocks, "anchor"))
-    equal = shared.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(place).alias("least"), F.max(place).alias("greatest"))
+    shared = written(all_segments.join(blocks, "anchor"), "segments")
+    equal = shared.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(place).alias("least"))
     kinds = equal.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    known = shared.join(equal.join(kinds, "anchor"), ["anchor", "whole"]).withColumn("place", place)
-    whole = known.where("n > 1").select("key", "at", "size", _source())
-    open_ = known.where("kinds > 1 and (n = 1 or place = least)").groupBy("key").agg(F.collect_list("at").alias("wanted"))
-    rows = window_rows(docs.join(open_, "key"), window)
-    index = rows.groupBy("anchor", "hash").agg(F.count("*").alias("n"), F.min(place).alias("least"), F.max(place).alias("greatest")).where("n > 1")
-    parts = rows.withColumn("place", place).join(index, ["anchor", "hash"]).select("key", "at", F.lit(1).alias("size"), _source())
+    known = shared.join(equal.join(kinds, "anchor"), ["anchor", "whole"])
+    known = written(known.select("key", "at", "size", source, (F.col("n") > 1).alias("repeated"), (F.col("kinds") > 1).alias("open"),
+                                 (place == F.col("least")).alias("first")), "known")
+    whole = known.where("repeated").select("key", "at", "size", "source")
+    wanted = known.where("open and (first or not repeated)").groupBy("key").agg(F.collect_list("at").alias("wanted"))
+    rows = window_rows(texts.join(wanted, "key"), window)
+    index = rows.groupBy("anchor", "hash").agg(F.count("*").alias("n"), F.min(place).alias("least")).where("n > 1")
+    parts = rows.join(index, ["anchor", "hash"]).select("key", "at", F.lit(1).alias("size"), source)
     return whole.unionByName(parts)
 
 
@@ -141,7 +158,8 @@ def _factors(windows: list[dict], window: int) -> list[tuple]:
     """The greedy parse: ``start, end, source key, source start`` of a document's factors, in words."""
     out = []
     for w in sorted(windows, key=lambda w: (w["at"], -w["size"])):
-        at, size, key, begin = w["at"], w["size"], w["source"]["key"], w["source"]["at"]
+        source = w["source"] or {"key": None, "at": w["at"]}        # the least occurrence is its own source
+        at, size, key, begin = w["at"], w["size"], source["key"], source["at"]
         if out:
             start, end, k, b = out[-1]
             if k == key and begin - b == at - start and at + window - 1 <= end:    # the same source goes on
@@ -166,14 +184,15 @@ def deduplicate(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
     small_batches(docs.sparkSession)
     ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     docs = docs.select(row_key(ident, text).alias("key"), ident.alias("doc_id"), text.alias("text"))
-    found = (repeated_windows(docs, window).groupBy("key")
+    texts = packed(docs)
+    found = (repeated_windows(docs, texts, window).groupBy("key")
              .agg(F.array_distinct(F.collect_list(F.struct("at", "size", "source"))).alias("windows")))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))
         for batch in batches:
             n_words, n_removed, kept, spans = [], [], [], []
-            for text, windows in zip(batch.column("text").to_pylist(), batch.column("windows").to_pylist()):
+            for text, windows in zip(unpacked(batch.column("packed")).to_pylist(), batch.column("windows").to_pylist()):
                 words = (text or "").encode().split()
                 factors = _factors(windows or [], window)
                 left = np.ones(len(words), bool)
@@ -188,6 +207,6 @@ def deduplicate(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
                 "kept": pa.array(kept, pa.string()), "factors": pa.array(spans, kind)})
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.join(found, "key", "left").select("doc_id", "text", "windows").mapInArrow(
+    return texts.join(found, "key", "left").select("key", "doc_id", "packed", "windows").mapInArrow(
         parse, f"doc_id {id_type}, n_words long, n_removed long, kept string, "
                "factors array<struct<start:int,end:int,source:long,source_start:int>>")
