@@ -25,6 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobuse.llm.common import let, unused
+from jobuse.llm.weak_labels import estimate
 from jobuse.session import cut
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -125,8 +126,8 @@ def _vote(yes: Column, no: Column) -> Column:
 
 # For each labeler, what it takes for a secret and what it takes for none; it abstains on the rest.
 LABELERS: dict[str, Callable[[Column], Column]] = {
-    # regex: hexadecimal or mixed-case keys; a word with a short number behind it
-    "key_shape": lambda c: _vote(c["value"].rlike(r"^(?=.*[A-Za-z])(?:[0-9a-f]{20,}|[0-9A-F]{20,}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]{24,})$"),
+    # regex: hexadecimal, cloud-access and mixed-case keys; a word with a short number behind it
+    "key_shape": lambda c: _vote(c["value"].rlike(r"^(?=.*[A-Za-z])(?:[0-9a-f]{16,}|[0-9A-F]{16,}|AKIA[0-9A-Z]{16}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]{24,})$"),
                                  c["value"].rlike(r"^[A-Za-z_-]+[0-9]{1,4}$|^[0-9-]+$")),
     # gazetteer: names that secrets or other numbers go by, among the words before
     "named": lambda c: _vote(F.lower(c["before"]).rlike(rf"(?<![a-z])(?:{NAMES_SECRET})(?![a-z])[^a-z]*$"),
@@ -159,7 +160,7 @@ FEATURES: dict[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Model:
-    """A prior and, for each feature value, log odds. ``reliability``: P(vote | secret), P(vote | none) by labeler."""
+    """A prior and, for each feature value, log odds; ``reliability``: how likely each labeler's votes are on secrets, on the rest."""
 
     prior: float
     weights: dict[str, float]
@@ -175,37 +176,6 @@ class Model:
         return score > 0.0
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[list[float], dict[str, dict[int, tuple[float, float]]], float]:
-    """Expectation-maximisation over vote patterns and their counts.
-
-    Labelers are independent given the truth. Returns each pattern's posterior,
-    each labeler's vote probabilities and the prior. Starts from the balance of
-    votes, so a secret is what most labelers call one.
-    """
-    posterior = [1 / (1 + math.exp(-2.0 * sum(votes) - 1.0 * (sum(votes) > 0) + 1.0 * (sum(votes) <= 0))) for votes, _ in patterns]
-    reliability, prior = {}, 0.5
-    for _ in range(rounds):
-        total = sum(n for _, n in patterns)
-        ones = sum(p * n for p, (_, n) in zip(posterior, patterns))
-        prior = (ones + 1) / (total + 2)
-        for k, name in enumerate(LABELERS):
-            counts = {v: [0.5, 0.5] for v in (-1, 0, 1)}
-            for p, (votes, n) in zip(posterior, patterns):
-                counts[votes[k]][0] += p * n
-                counts[votes[k]][1] += (1 - p) * n
-            reliability[name] = {v: (a / (ones + 1.5), b / (total - ones + 1.5)) for v, (a, b) in counts.items()}
-        new = []
-        for votes, _ in patterns:
-            odds = math.log(prior / (1 - prior)) + sum(
-                math.log(reliability[name][v][0] / reliability[name][v][1]) for name, v in zip(LABELERS, votes))
-            new.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
-        done = max(map(abs, (a - b for a, b in zip(new, posterior))), default=0.0) < 1e-9
-        posterior = new
-        if done:
-            break
-    return posterior, reliability, prior
-
-
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
     """The span classifier, from the candidates of all documents."""
     text = F.col(f"`{text_col}`")
@@ -216,7 +186,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     patterns = [(tuple(r["votes"]), r["n"]) for r in seen.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()]
     if not patterns:
         return Model(0.0, {}, {})
-    posterior, reliability, prior = estimate(patterns)
+    posterior, reliability, prior = estimate(patterns, list(LABELERS), silence_tells=False)
     given = F.map_from_arrays(F.array(*(F.lit("".join(f"{v:+d}" for v in votes)) for votes, _ in patterns)), F.array(*map(F.lit, posterior)))
     key = F.array_join(F.transform("votes", lambda v: F.format_string("%+d", v)), "")
     counts = (seen.withColumn("p", F.element_at(given, key)).select("p", F.explode("features").alias("feature"))

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobuse.llm import bpe, decontaminate, flat_tokens, orc_tokens, pii, rules, sharding, simhash, substring_dedup
+from jobuse.llm import bpe, decontaminate, flat_tokens, orc_tokens, pii, quality, rules, sharding, simhash, substring_dedup
 from jobuse.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,12 @@ def _of_kind(kind: int):
     return lambda span: span["kind"] == kind
 
 
+def op10_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs))
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).alias("kept"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_qgram_bands": op1_qgram_bands,
     "op2_byte_bpe": op2_byte_bpe,
@@ -79,5 +85,6 @@ QUERIES: dict[str, Query] = {
     "op7_hash_tree": op7_hash_tree,
     "op8_decision_list": op8_decision_list,
     "op9_weak_pii": op9_weak_pii,
+    "op10_weak_quality": op10_weak_quality,
 }
 ORACLES: dict[str, str] = {}

@@ -20,9 +20,9 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from jobuse.llm.common import small_batches
+from jobuse.llm.common import row_key, small_batches, unused
 from jobuse.llm.components import components
 from jobuse.session import cut
 
@@ -86,14 +86,36 @@ def close_pairs(prints: DataFrame, max_bits: int) -> DataFrame:
     return met.mapInArrow(verify, "a long, b long").distinct()
 
 
+def _components(prints: DataFrame, max_bits: int) -> DataFrame:
+    """``fingerprint, first``: of its component's rows, the least by id (null last), then key."""
+    row = F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id"), F.col("key"))
+    nodes = prints.groupBy("fingerprint").agg(F.min(row).alias("first"))
+    linked = components(close_pairs(prints, max_bits)).withColumnRenamed("node", "fingerprint")
+    nodes = cut(nodes.join(linked, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint")))
+    firsts = nodes.groupBy("label").agg(F.min("first").alias("first"))
+    return nodes.select("fingerprint", "label").join(firsts, "label").select("fingerprint", "first")
+
+
+def _prints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    ident, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.select(ident.alias("doc_id"), row_key(ident, text).alias("key"), text.alias("text"))
+    return cut(fingerprints(rows, shingle).select("doc_id", "key", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id``: the smallest id reachable over links of at most ``max_bits`` bits."""
-    docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    prints = cut(fingerprints(docs, shingle).select("doc_id", "fingerprint"))
-    nodes = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    linked = components(close_pairs(prints, max_bits)).withColumnRenamed("node", "fingerprint")
-    nodes = nodes.join(linked, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
-    nodes = cut(nodes)
-    firsts = nodes.groupBy("label").agg(F.min("first").alias("component_id"))
-    nodes = nodes.join(firsts, "label").select("fingerprint", "component_id")
+    prints = _prints(docs, shingle, id_col, text_col)
+    nodes = _components(prints, max_bits).select("fingerprint", F.col("first.doc_id").alias("component_id"))
     return prints.join(nodes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns: the one of smallest id.
+
+    Of rows alike in id and text, one stays.
+    """
+    key, place = unused(docs, "key"), unused(docs, "place")
+    kept = _components(_prints(docs, shingle, id_col, text_col), max_bits).select(F.col("first.key").alias(key)).distinct()
+    rows = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))).join(kept, key, "left_semi")
+    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return rows.where(F.col(place) == 1).drop(key, place)
