@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from jobuse.sources.definitions import Dictionary
+from jobuse.sources.report import SIZES
 
 # Columns of the given tables; a declared schema spares reading footers up front.
 TABLES = {
@@ -66,20 +67,25 @@ FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
  JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
-FX_AREAS = """
+FX_ALL_AREAS = """
 SELECT concat('p', n.n_nationkey) AS project_id, r.r_name AS area
-FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey WHERE n.n_nationkey % 12 <> 11
+FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey
 """
 
-# Scheduling report cells: five reports, six runtime classes, sixteen size slots (two unused).
+# For joins: projects of two nations have no area.
+FX_AREAS = f"SELECT * FROM ({FX_ALL_AREAS}) a WHERE project_id NOT IN ('p11', 'p23')"
+
+# Scheduling report cells: five reports, six runtime classes with rows, fifteen sizes (the last is not listed).
 FX_SCHED = """
-SELECT CAST(substr(o.o_orderpriority, 1, 1) AS INT) AS report, o.o_custkey % 6 AS block, o.o_orderkey % 16 AS slot,
+SELECT CAST(substr(o.o_orderpriority, 1, 1) AS INT) AS report, o.o_custkey % 6 AS block, o.o_orderkey % 15 AS slot,
  count(*) AS submitted,
- count(CASE WHEN (o.o_custkey % 6 + o.o_orderkey % 16) % 5 <> 0 THEN 1 END) AS ran,
+ count(CASE WHEN (o.o_custkey % 6 + o.o_orderkey % 15) % 5 <> 0 THEN 1 END) AS ran,
  CAST(sum(CAST(floor(o.o_totalprice/10) AS BIGINT)) AS BIGINT) AS usage_s
-FROM {orders} o WHERE o.o_orderkey % 16 < 14
-GROUP BY CAST(substr(o.o_orderpriority, 1, 1) AS INT), o.o_custkey % 6, o.o_orderkey % 16
+FROM {orders} o
+GROUP BY CAST(substr(o.o_orderpriority, 1, 1) AS INT), o.o_custkey % 6, o.o_orderkey % 15
 """
+SCHED_SIZES = [*SIZES, "8193-16384"]
+SCHED_EMPTY_BLOCK = 6      # a runtime class without rows
 
 
 def dictionary() -> Dictionary:
@@ -113,5 +119,9 @@ def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, FX_AREAS)
 
 
+def all_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, FX_ALL_AREAS)
+
+
 def sched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, FX_SCHED)

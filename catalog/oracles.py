@@ -9,7 +9,7 @@ from jobuse.functions.scalars import NA_TOKENS
 from jobuse.sources.report import SIZES
 
 FX = fx.oracle_text(f"""fx_codes AS ({fx.FX_CODES}), fx_jobs AS ({fx.FX_JOBS}),
-fx_steps AS ({fx.FX_STEPS}), fx_areas AS ({fx.FX_AREAS}), fx_sched AS ({fx.FX_SCHED})""")
+fx_steps AS ({fx.FX_STEPS}), fx_all_areas AS ({fx.FX_ALL_AREAS}), fx_areas AS ({fx.FX_AREAS}), fx_sched AS ({fx.FX_SCHED})""")
 
 BAD = "('RUNNING', 'PENDING', 'REQUEUED')"
 
@@ -168,8 +168,9 @@ _CELLS = """cells AS (SELECT report, block, slot, CAST(submitted AS BIGINT) AS s
   CAST(usage_s AS DOUBLE) / 3600 AS usage, concat(slot, ':00:00') AS wait,
   CAST(ran AS DOUBLE) / submitted AS coefficient FROM fx_sched)"""
 _SIZES = "sizes AS (SELECT * FROM (VALUES " + ", ".join(
-    f"({i}, '{s}')" for i, s in enumerate(SIZES)) + ") AS t(size_index, size))"
-_GRID = f"""{FX}, {_CELLS}, {_SIZES}, blocks AS (SELECT DISTINCT report, block FROM cells),
+    f"({i}, '{s}')" for i, s in enumerate(fx.SCHED_SIZES)) + ") AS t(size_index, size))"
+_GRID = f"""{FX}, {_CELLS}, {_SIZES}, blocks AS (SELECT DISTINCT report, block FROM cells
+  UNION ALL SELECT DISTINCT report, {fx.SCHED_EMPTY_BLOCK} AS block FROM cells),
 grid AS (SELECT b.report, b.block, concat(b.block + 1, 'h') AS runtime, z.size_index, z.size,
   coalesce(c.submitted, 0) AS submitted, coalesce(c.ran, 0) AS ran,
   CASE WHEN c.ran > 0 THEN c.usage END AS usage, coalesce(c.wait, '0:0:0') AS wait,
@@ -204,7 +205,8 @@ ORACLES |= {
     # scans and sinks
     "scan_steps": q(FX, f"SELECT job_id, sub_job_id, {_STR}, '0' AS mean_rss, cpu_freq FROM fx_steps"),
     "scan_jobs": q(FX, f"SELECT job_id, {_STR}, '0' AS mean_rss, cpu_freq FROM fx_jobs"),
-    "scan_user_map": q(FX, "SELECT job_id, user_name FROM fx_jobs"),
+    "scan_user_map": q(FX, "SELECT job_id, CASE WHEN job_id % 11 <> 0 AND job_id % 13 <> 0 AND job_id % 19 <> 0 THEN user_name END "
+                           "AS user_name FROM fx_jobs"),
     "scan_gpu_alloc": q(FX, "SELECT concat(job_id, '.', sub_job_id) AS job_id_raw, state, concat('cpu=', ntasks, "
                             "',gres/gpu=', ngpus, ',mem=', nodes * 256, 'G,node=', nodes) AS allocation FROM fx_steps"),
     "scan_usage": q(RAW, f"SELECT CAST(job_id AS VARCHAR) AS job_id, {_STR}, '1M' AS max_rss, cpu_freq, "
@@ -220,21 +222,21 @@ ORACLES |= {
     "energy_records": q(f"{RAW}, {FIRST}", "SELECT job_id, exe_name, user_name, CAST(nodes AS VARCHAR) AS nodes, "
                         "CAST(runtime AS VARCHAR) AS runtime, CAST(energy_j AS VARCHAR) AS energy_j FROM ej"),
     "scan_energy_jobs": q(FX, f"SELECT {_STR.replace('CAST(ntasks AS VARCHAR) AS ntasks, ', '')}, job_id FROM fx_jobs"),
-    "scan_step_exe": q(f"{RAW}, {FIRST}", "SELECT job_id, exe AS exe_name FROM first_exe"),
+    "scan_step_exe": q(f"{RAW}, {FIRST}", "SELECT job_id, CASE WHEN job_id % 11 <> 0 THEN exe END AS exe_name FROM first_exe"),
     "scan_code_defs": "WITH e AS (SELECT replace(p_name, ' ', '_') AS exe, min(p_type) AS type, min(p_brand) AS brand "
                       "FROM part GROUP BY replace(p_name, ' ', '_')) "
                       "SELECT CAST(row_number() OVER (ORDER BY exe) - 1 AS INT) AS ord, exe AS name, concat('^', exe, '$') AS "
                       "pattern, brand AS language, '95' AS version, 'Free' AS academic_license, 'Fee' AS commercial_license, "
                       "type AS motif, '' AS area FROM e",
-    "scan_areas": q(FX, "SELECT project_id, area FROM fx_areas"),
+    "scan_areas": q(FX, "SELECT project_id, area FROM fx_all_areas"),
     "scan_summaries": q(_PERIODS, 'SELECT key, nodeh AS "Nodeh", kwh AS "kWh", CAST(users AS DOUBLE) AS "Users", '
                                   'CAST(projects AS DOUBLE) AS "Projects" FROM ps'),
-    "combine_summaries": q(f"""{_PERIODS}, cb AS (SELECT key, sum(kwh ORDER BY period) AS kwh, sum(nodeh ORDER BY period) AS nodeh,
+    "combine_summaries": q(f"""{_PERIODS}, cb AS (SELECT key, list_sum(list_sort(list(kwh))) AS kwh, list_sum(list_sort(list(nodeh))) AS nodeh,
   min(users) AS u1, max(users) AS u2, min(projects) AS p1, max(projects) AS p2 FROM ps GROUP BY key),
  o AS (SELECT kwh AS k, nodeh AS n FROM cb WHERE key = 'Overall')""",
-        'SELECT key, round(kwh, 6) AS "kWh", round(nodeh, 6) AS "Nodeh", u1 AS "Users_min", u2 AS "Users_max", '
-        'p1 AS "Projects_min", p2 AS "Projects_max", round(100 * kwh / k, 9) AS "PercentEnergy", '
-        'round(100 * nodeh / n, 9) AS "PercentUse" FROM cb CROSS JOIN o'),
+        'SELECT key, kwh AS "kWh", nodeh AS "Nodeh", u1 AS "Users_min", u2 AS "Users_max", '
+        'p1 AS "Projects_min", p2 AS "Projects_max", 100 * kwh / k AS "PercentEnergy", '
+        '100 * nodeh / n AS "PercentUse" FROM cb CROSS JOIN o'),
     "sched_report_rows": q(f"{FX}, {_CELLS}, {_SIZES}", "SELECT report, CAST(block AS INT) AS block, concat(block + 1, 'h') "
                            "AS runtime, size, submitted, ran, usage, wait, coefficient FROM cells JOIN sizes ON slot = size_index"),
     "sched_matrix_dense": q(_GRID, "SELECT * REPLACE (CAST(block AS INT) AS block) FROM grid"),
@@ -297,8 +299,8 @@ ORACLES |= {
                                                 "THEN CAST(ngpus AS DOUBLE) END AS ngpus FROM alloc"),
     # assembly and joins
     "assemble_usage": q(RAW, f"SELECT {COLS} FROM u"),
-    "assemble_usage_keep_last": q(f"""{RAW}, a AS (SELECT * FROM s UNION ALL SELECT * FROM j),
- k AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY src DESC, sub_job_id DESC, exe_name DESC, user_name DESC,
+    "assemble_usage_keep_last": q(f"""{RAW}, a AS (SELECT * REPLACE (CAST(CAST(sub_job_id AS BIGINT) * 2 AS VARCHAR) AS sub_job_id) FROM s UNION ALL SELECT * FROM j),
+ k AS (SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY src DESC, CAST(sub_job_id AS BIGINT) DESC, exe_name DESC, user_name DESC,
    account DESC, nodes DESC, ntasks DESC, runtime DESC, state DESC, energy_j DESC NULLS LAST, cpu_freq DESC, ngpus DESC) AS rn,
    count(*) OVER (PARTITION BY job_id) AS n FROM a)""", f"SELECT {COLS} FROM k WHERE rn > 1 OR n = 1"),
     "join_user": q(RAW, "SELECT u.job_id, u.sub_job_id, upper(x.user_name) AS user_name, u.exe_name FROM u "

@@ -97,12 +97,24 @@ def _(spark, d):
     return dumps.with_job_ids(dumps.read_jobs(spark, _step_dump(spark, raw))).drop("max_rss", "sub_job_id")
 
 
+def _map_file(entries: DataFrame, columns: list[str], folder: str, header: bool) -> str:
+    """Entries (``id``, ``k``, ``value``) in order of ``k``; a NULL value gives a row without one."""
+    line = F.concat_ws(", ", F.col("id").cast("string"), "value")
+    rows = entries.repartition("job_id").sortWithinPartitions("job_id", "id", "k", "value").select(line.alias(",".join(columns)))
+    rows.write.option("header", header).option("sep", "\u0001").option("quote", "").csv(folder)
+    return folder
+
+
 @query("scan_user_map")
 def _(spark, d):
-    path = scratch(spark)
-    fx.jobs(spark, d).select("job_id", F.concat(F.lit(" "), "user_name").alias("user_name")).write.option(
-        "header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
-    return dumps.read_user_map(spark, path)
+    """Jobs with an earlier entry, with missing tokens, and with a row that ends after the id."""
+    jobs = fx.jobs(spark, d).select("job_id", F.col("job_id").alias("id"), "user_name")
+    user = (F.when(F.col("job_id") % 11 == 0, F.lit("None")).when(F.col("job_id") % 13 == 0, F.lit("nan"))
+            .when(F.col("job_id") % 19 == 0, F.lit("")).otherwise(F.col("user_name")))
+    entries = (jobs.filter("job_id % 4 = 0").select("job_id", "id", F.lit(0).alias("k"), F.lit("zz earlier").alias("value"))
+               .unionByName(jobs.select("job_id", "id", F.lit(1).alias("k"), user.alias("value")))
+               .unionByName(jobs.filter("job_id % 17 = 0").select("job_id", "id", F.lit(2).alias("k"), F.lit(None).cast("string").alias("value"))))
+    return dumps.read_user_map(spark, _map_file(entries, ["job_id", "user_name"], scratch(spark), True))
 
 
 def _allocations(rows: DataFrame) -> DataFrame:
@@ -164,9 +176,9 @@ def _csv(rows: DataFrame, folder: str) -> str:
 def _(spark, d):
     """The whole way from dump files: jobs, and step names from which step 0 is taken."""
     job_rows = fx.jobs(spark, d).withColumn("job_id_raw", F.col("job_id"))
-    step_rows = fx.steps(spark, d).withColumn("job_id_raw", F.concat_ws(".", "job_id", "sub_job_id"))
     jobs = dumps.read_energy_jobs(spark, _dump(job_rows, dumps.ENERGY_COLUMNS, "::", scratch(spark)))
-    return runs.energy_records(jobs, step_rows.select("job_id_raw", "exe_name"), ENERGY).select(
+    path = _map_file(_step_entries(spark, d), ["job_id", "exe_name"], scratch(spark), False)
+    return runs.energy_records(jobs, dumps.read_step_exe_rows(spark, path), ENERGY).select(
         "job_id", "exe_name", "user_name", "nodes", "runtime", "energy_j")
 
 
@@ -176,11 +188,19 @@ def _(spark, d):
     return dumps.read_energy_jobs(spark, _dump(raw, dumps.ENERGY_COLUMNS, "::", scratch(spark)))
 
 
+def _step_entries(spark, d) -> DataFrame:
+    """Steps by job and step id; some first steps have an earlier entry of another name."""
+    steps = fx.steps(spark, d).select("job_id", F.concat_ws(".", "job_id", "sub_job_id").alias("id"), "sub_job_id", "exe_name")
+    return (steps.filter("sub_job_id = '0' AND job_id % 4 = 0")
+            .select("job_id", "id", F.lit(0).alias("k"), F.lit("zz_earlier").alias("value"))
+            .unionByName(steps.select("job_id", "id", F.lit(1).alias("k"), F.col("exe_name").alias("value"))))
+
+
 @query("scan_step_exe")
 def _(spark, d):
-    rows = first_step_exes(spark, d).withColumn("job_id_raw", F.concat(F.col("job_id"), F.lit(".0")))
-    path = _dump(rows, ["job_id_raw", "exe_name"], ", ", scratch(spark))
-    return dumps.read_step_exe(spark, path)
+    entries = _step_entries(spark, d).filter("id LIKE '%.0'").withColumn(
+        "value", F.when((F.col("job_id") % 11 == 0) & (F.col("k") == 1), F.lit("None")).otherwise(F.col("value")))
+    return dumps.read_step_exe(spark, _map_file(entries, ["job_id", "exe_name"], scratch(spark), False))
 
 
 @query("scan_code_defs")
@@ -203,7 +223,7 @@ def _(spark, d):
 @query("scan_areas")
 def _(spark, d):
     path = scratch(spark)
-    fx.areas(spark, d).select("project_id", F.concat(F.lit(" "), "area").alias("area")).write.option(
+    fx.all_areas(spark, d).select("project_id", F.concat(F.lit(" "), "area").alias("area")).write.option(
         "header", True).option("ignoreLeadingWhiteSpace", False).csv(path)
     return dumps.read_areas(spark, path)
 
@@ -224,38 +244,43 @@ def _period_summaries(spark, d) -> DataFrame:
 
 @query("scan_summaries")
 def _(spark, d):
-    path = scratch(spark)
-    _period_summaries(spark, d).repartition("period").write.partitionBy("period").option(
-        "header", True).csv(path)
+    """One folder a period; odd ones order their columns otherwise and have one more."""
+    path, table = scratch(spark), _period_summaries(spark, d)
+    even = table.filter("period % 2 = 0").select("period", "key", "kWh", "Nodeh", "Users", "Projects")
+    odd = table.filter("period % 2 = 1").select("period", "Projects", F.lit("x").alias("Remark"), "Nodeh", "key", "Users", "kWh")
+    for part in (even, odd):
+        part.repartition("period").write.mode("append").partitionBy("period").option("header", True).csv(path)
     return dumps.read_summaries(spark, f"{path}/*", "")
 
 
 @query("combine_summaries")
 def _(spark, d):
-    """Sums of fractions depend on their order in the last bits, hence the rounding."""
-    table = rollup.combine_summaries(_period_summaries(spark, d))
-    digits = {"kWh": 6, "Nodeh": 6, "PercentEnergy": 9, "PercentUse": 9}
-    return table.withColumns({c: F.round(c, n) for c, n in digits.items()})
+    """The combined table, written and read back."""
+    path = f"{scratch(spark)}/combined"
+    sinks.write_combined(rollup.combine_summaries(_period_summaries(spark, d)), path)
+    return spark.read.schema("key string, kWh double, Nodeh double, Users_min bigint, Users_max bigint, Projects_min bigint, "
+                             "Projects_max bigint, PercentEnergy double, PercentUse double").csv(path, header=True)
 
 
 def _report_path(spark, d) -> str:
     """Scheduling reports as text files, one per order priority."""
-    sizes = F.array(*[F.lit(x) for x in report_source.SIZES])
+    sizes = F.array(*[F.lit(x) for x in fx.SCHED_SIZES])
     cells = fx.sched(spark, d)
     line = F.concat_ws(
         ",", F.get(sizes, F.col("slot").cast("int")), F.col("submitted"), F.col("ran"),
         F.col("usage_s") / 3600, F.lit("x"), F.concat(F.col("slot"), F.lit(":00:00")),
         F.col("ran") / F.col("submitted"))
-    entries = F.array_sort(F.collect_list(F.struct("slot", line.alias("line"))))     # 14 at most
+    entries = F.array_sort(F.collect_list(F.struct("slot", line.alias("line"))))     # 15 at most
     blocks = cells.groupBy("report", "block").agg(entries.alias("e")).select(
         "report", "block", F.concat_ws(
             "\n", F.concat(F.lit("Runtime: "), F.col("block") + 1, F.lit("h")),
             F.lit("Nodes,Submitted,Ran,Usage,-,Wait,Coefficient"), F.col("e.line"), F.lit(",total")
         ).alias("text"))
     ordered = F.array_sort(F.collect_list(F.struct("block", "text")))                # 6 blocks
+    empty = f"Runtime: {fx.SCHED_EMPTY_BLOCK + 1}h\nNodes,Submitted,Ran,Usage,-,Wait,Coefficient\n,total"
     path = scratch(spark)
     blocks.groupBy("report").agg(ordered.alias("b")).select(
-        "report", F.concat_ws("\n", F.lit("scheduling report"), F.col("b.text")),
+        "report", F.concat_ws("\n", F.lit("scheduling report"), F.col("b.text"), F.lit(empty)),
     ).repartition("report").write.partitionBy("report").text(path)
     return path
 
@@ -264,6 +289,11 @@ def _report_rows(spark, d) -> DataFrame:
     return report_source.read_report(spark, _report_path(spark, d))
 
 
+def _report_grid(spark, d) -> DataFrame:
+    path = _report_path(spark, d)
+    return matrix.dense(report_source.read_report(spark, path), report_source.report_blocks(spark, path))
+
+
 def _report_id() -> object:
     return F.regexp_extract("file_path", r"report=(\d+)", 1).cast("int").alias("report")
 
@@ -276,19 +306,19 @@ def _(spark, d):
 
 @query("sched_matrix_dense")
 def _(spark, d):
-    cells = matrix.dense(_report_rows(spark, d))
+    cells = _report_grid(spark, d)
     return cells.select(_report_id(), *[c for c in cells.columns if c != "file_path"])
 
 
 @query("sched_matrix_hot")
 def _(spark, d):
-    cells = matrix.hot(matrix.dense(_report_rows(spark, d)))
+    cells = matrix.hot(_report_grid(spark, d))
     return cells.select(_report_id(), "block", "size", "usage", "ran", "hot")
 
 
 @query("sched_matrix_pivot")
 def _(spark, d):
-    table = matrix.pivoted(matrix.dense(_report_rows(spark, d)), "coefficient")
+    table = matrix.pivoted(_report_grid(spark, d).filter(F.col("size").isin(report_source.SIZES)), "coefficient")
     return table.select(_report_id(), "block", "runtime", *[f"`{x}`" for x in report_source.SIZES])
 
 
@@ -503,7 +533,9 @@ def _(spark, d):
 
 @query("assemble_usage_keep_last")
 def _(spark, d):
-    return raw_usage(spark, d, "keep_last").select(*ASSEMBLED)
+    """Step ids run to 12, so their order by number is not that by text."""
+    steps = kept_steps(spark, d).withColumn("sub_job_id", (F.col("sub_job_id").cast("int") * 2).cast("string"))
+    return assemble.assemble_usage(steps, kept_jobs(spark, d), "keep_last").select(*ASSEMBLED)
 
 
 @query("join_user")

@@ -54,6 +54,11 @@ def sub_job_id_of(raw: Column) -> Column:
     return F.get(F.split(raw, r"\.", 2), F.lit(1))
 
 
+def step_order(sub_job_id: Column) -> Column:
+    """Sorts step ids by number; those that are none (``batch``) come first, by name."""
+    return F.struct(sub_job_id.try_cast("bigint").alias("number"), sub_job_id.alias("name"))
+
+
 def project_of(account: Column) -> Column:
     return F.split(account, "-", 2).getItem(0)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from jobuse.functions.scalars import gpu_count
+from jobuse.functions.scalars import gpu_count, step_order
 from jobuse.operators.filters import gpu_rows
 from jobuse.sources.dumps import with_job_ids
 
@@ -41,15 +41,15 @@ def assemble_usage(steps: DataFrame, jobs: DataFrame, mode: str = "anti") -> Dat
 
 
 def drop_last_of_repeated(rows: DataFrame) -> DataFrame:
-    """Without the last row (by source, then by all columns) of each repeated job id.
+    """Without the last row (by source, step number, then all columns) of each repeated job id.
 
     Rows are counted by their full contents and the last one per job id is found
     with a combining aggregate, so no task sees all rows of a job.
     """
     order = ["src"] + [c for c in rows.columns if c not in ("src", "job_id")]
     counted = rows.groupBy("job_id", *order).agg(F.count("*").alias("_n"))
-    last = counted.groupBy("job_id").agg(
-        F.max(F.struct(*order)).alias("_last"), F.sum("_n").alias("_total"))
+    place = F.struct("src", step_order(F.col("sub_job_id")).alias("_step"), *order[1:])
+    last = counted.groupBy("job_id").agg(F.max(place).alias("_last"), F.sum("_n").alias("_total"))
     last = last.filter("_total > 1").select(
         F.lit(1).alias("_hit"), F.col("job_id").alias("_job_id"),
         *[F.col(f"_last.{c}").alias(f"_{c}") for c in order])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobuse.config import UsageConfig
+from jobuse.functions.scalars import step_order
 from jobuse.operators.classify import UNKNOWN, with_classes
 from jobuse.session import cut
 from jobuse.sources.definitions import Dictionary
@@ -37,10 +38,10 @@ def anonymous_users(facts: DataFrame) -> DataFrame:
     """(user_name, anon_user): ``user{i}`` by first appearance; a null user counts.
 
     Appearance follows the order of the assembled table: steps before step-less
-    jobs, then job and step id.
+    jobs, then job and step id, both by number.
     """
     first = facts.groupBy("user_name").agg(
-        F.min(F.struct("src", "job_id", "sub_job_id")).alias("_first"))
+        F.min(F.struct("src", "job_id", step_order(F.col("sub_job_id")))).alias("_first"))
     index = dense_index(first, [F.col("_first").asc(), F.col("user_name").asc()], "_index")
     return index.select("user_name", F.concat(F.lit("user"), F.col("_index")).alias("anon_user"))
 

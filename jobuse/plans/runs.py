@@ -41,11 +41,12 @@ def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: Usag
 def energy_records(jobs: DataFrame, step_exes: DataFrame, cfg: UsageConfig) -> DataFrame:
     """Job-level records, named by the executable of each job's first step.
 
-    ``step_exes`` is either a job -> executable map or raw (job.step, executable) rows.
+    ``step_exes`` is either a job -> executable map or raw (job.step, executable,
+    position) rows, of which the last by position counts.
     """
     if "job_id_raw" in step_exes.columns:
         step_exes = first_steps(step_exes).groupBy(job_id_of(F.col("job_id_raw")).alias("job_id")).agg(
-            F.max("exe_name").alias("exe_name"))
+            F.max_by("exe_name", "position").alias("exe_name"))
     return join_by_job(kept_states(jobs, cfg), step_exes, "exe_name")
 
 

@@ -8,6 +8,8 @@ from there: text files cannot prune columns or skip blocks.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from jobuse.functions.scalars import job_id_of, normalise_na, sub_job_id_of
@@ -27,6 +29,9 @@ SUMMARY_COLUMNS = [
 ]
 
 
+RAW = "_raw"
+
+
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
@@ -50,8 +55,18 @@ def _file_position() -> Column:
 
 
 def last_by_key(df: DataFrame, key: str, value: str, order: Column) -> DataFrame:
-    """One row per key, the last one in ``order``; combines before the shuffle."""
-    return df.groupBy(key).agg(F.max_by(F.col(value), order).alias(value))
+    """One row per key, the last one in ``order``; combines before the shuffle.
+
+    Where the last entry is a missing token the value is NULL.
+    """
+    return normalise_na(df.groupBy(key).agg(F.max_by(F.col(value), order).alias(value)))
+
+
+def _entries(spark: SparkSession, path, names: list[str], header: bool) -> DataFrame:
+    """Entries of a map file with their position; short rows are skipped, empty values are not."""
+    rows = _comma(spark, path, [*names, RAW], header=header, ignoreLeadingWhiteSpace=True, columnNameOfCorruptRecord=RAW)
+    # The line itself is kept of rows that are short or long; only a short one has no comma.
+    return rows.withColumn("_at", _file_position()).filter(F.col(RAW).isNull() | F.contains(RAW, F.lit(","))).drop(RAW)
 
 
 def read_steps(spark: SparkSession, path) -> DataFrame:
@@ -79,24 +94,24 @@ def read_usage(spark: SparkSession, path, gpu: bool = False) -> DataFrame:
 
 def read_user_map(spark: SparkSession, path) -> DataFrame:
     """job id -> user; short rows are skipped and the last entry of a job wins."""
-    rows = _comma(spark, path, ["job_id_raw", "user_name"], header=True,
-                  ignoreLeadingWhiteSpace=True)
-    rows = (rows.withColumn("_at", _file_position())
-                .filter(F.col("user_name").isNotNull())
-                .withColumn("job_id", F.col("job_id_raw").try_cast("bigint")))
+    rows = _entries(spark, path, ["job_id_raw", "user_name"], True).withColumn(
+        "job_id", F.col("job_id_raw").try_cast("bigint"))
     return last_by_key(rows.filter(F.col("job_id").isNotNull()), "job_id", "user_name", F.col("_at"))
 
 
 def read_step_exe(spark: SparkSession, path, header: bool = False) -> DataFrame:
     """job id -> executable of a step (``job.step,exe``); the last entry wins."""
-    rows = _comma(spark, path, ["job_id_raw", "exe_name"], header=header,
-                  ignoreLeadingWhiteSpace=True)
-    rows = (rows.withColumn("_at", _file_position())
-                .filter(F.col("exe_name").isNotNull())
-                .withColumn("job_id", job_id_of(F.col("job_id_raw"))))
+    rows = _entries(spark, path, ["job_id_raw", "exe_name"], header).withColumn(
+        "job_id", job_id_of(F.col("job_id_raw")))
     return last_by_key(rows.filter(F.col("job_id").isNotNull()), "job_id", "exe_name", F.col("_at"))
 
 
+def read_step_exe_rows(spark: SparkSession, path, header: bool = False) -> DataFrame:
+    """All (job.step, executable) entries with their ``position`` in the files."""
+    rows = normalise_na(_entries(spark, path, ["job_id_raw", "exe_name"], header))
+    return rows.withColumnRenamed("_at", "position")
+
+
 def read_areas(spark: SparkSession, path) -> DataFrame:
     """project id -> research area; the first line is a header, the last entry wins."""
     rows = _comma(spark, path, ["project_id", "area"], header=True, ignoreLeadingWhiteSpace=True)
@@ -118,11 +133,24 @@ def read_gpu_alloc(spark: SparkSession, path) -> DataFrame:
 def read_summaries(spark: SparkSession, folder: str, pattern: str, key: str = "key") -> DataFrame:
     """All tables ``<folder>/*<pattern>.csv``, whether single files or written results.
 
-    Their headers must agree; a table with other columns is an error.
+    Columns go by name: tables may order them differently, lack some or have
+    others, which are left out. The files of each header are read together.
     """
-    rows = spark.read.csv(f"{folder}/*{pattern.strip()}.csv", header=True, enforceSchema=False)
-    numbers = [c for c in SUMMARY_COLUMNS[1:] if c in rows.columns]
-    return rows.select(F.col(f"`{key}`"), *[F.col(c).try_cast("double").alias(c) for c in numbers])
+    where = f"{folder}/*{pattern.strip()}.csv"
+    headers = spark.read.text(where, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), F.regexp_extract("value", r"\A([^\r\n]*)", 1).alias("header"))
+    # One row a layout; file names are on the driver in any case, to plan the scan.
+    layouts = headers.filter("header <> ''").groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    tables = []
+    for layout in layouts.orderBy("header").collect():
+        rows = spark.read.csv(layout["files"], header=True, enforceSchema=False)
+        if key not in rows.columns:
+            raise ValueError(f"no column {key!r} in {layout['files'][0]}")
+        tables.append(rows.select(F.col(f"`{key}`"), *[
+            F.col(c).try_cast("double").alias(c) for c in SUMMARY_COLUMNS[1:] if c in rows.columns]))
+    if not tables:
+        raise ValueError(f"no tables at {where}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
 def with_job_ids(rows: DataFrame) -> DataFrame:

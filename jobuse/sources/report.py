@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The size classes of the report, in nodes.
 SIZES = [
@@ -11,9 +11,19 @@ SIZES = [
 ]
 
 
+def _checked(cell: Column, kind: str) -> Column:
+    """A number of a data row; a missing or malformed one ends the read, naming its line."""
+    value = cell.try_cast(kind)
+    where = F.concat(F.lit("not a report row: "), "file_path", F.lit(", block "), F.col("block").cast("string"),
+                     F.lit(", line "), F.col("line").cast("string"), F.lit(": "), "text")
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(where).cast(kind))
+
+
 def report_rows(texts: DataFrame) -> DataFrame:
     """Data rows of report texts (columns ``file_path`` and ``value``).
 
+    A short row or one whose numbers are none is an error.
+
     A block starts at a ``Runtime:`` line and ends at a line that starts with a
     comma. Each text is cut into blocks, then into lines, with row-local
     expressions: there is no shuffle, and a task holds one report at a time.
@@ -30,12 +40,12 @@ def report_rows(texts: DataFrame) -> DataFrame:
     cell = F.split(F.rtrim("text"), ",")
     return lines.select(
         "file_path", "block", "line", "runtime",
-        cell.getItem(0).alias("size"),
-        cell.getItem(1).cast("bigint").alias("submitted"),
-        cell.getItem(2).cast("bigint").alias("ran"),
-        cell.getItem(3).cast("double").alias("usage"),
-        cell.getItem(5).alias("wait"),
-        cell.getItem(6).cast("double").alias("coefficient"),
+        F.get(cell, F.lit(0)).alias("size"),
+        _checked(F.get(cell, F.lit(1)), "bigint").alias("submitted"),
+        _checked(F.get(cell, F.lit(2)), "bigint").alias("ran"),
+        _checked(F.get(cell, F.lit(3)), "double").alias("usage"),
+        F.get(cell, F.lit(5)).alias("wait"),
+        _checked(F.get(cell, F.lit(6)), "double").alias("coefficient"),
     )
 
 

@@ -49,6 +49,11 @@ def write_result(df: DataFrame, folder: str, prefix: str, analysis: str,
     return path
 
 
+def write_combined(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The combined table of several periods, largest use first, as comma text with a header and all digits."""
+    df.write.mode(mode).option("header", True).csv(path)
+
+
 def has_rows(df: DataFrame) -> bool:
     """False when there is nothing to analyse ("no jobs found")."""
     return not df.isEmpty()
