@@ -674,8 +674,8 @@ def _(spark, d):
     """Running use by size within each application."""
     sizes = cut(reports.code_sizes(facts(spark, d), NODEH, fx.dictionary()))
     return stats.running(sizes, "value", ["software"], n="copies", w="use_s").select(
-        "software", "value", (F.col("cw") / NODEH.use_divisor).alias("running_use"),
-        (F.col("tw") / NODEH.use_divisor).alias("total_use"))
+        "software", "value", (F.col("cw").cast("double") / NODEH.use_divisor).alias("running_use"),
+        (F.col("tw").cast("double") / NODEH.use_divisor).alias("total_use"))
 
 
 @query("top_codes")

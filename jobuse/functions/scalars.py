@@ -44,6 +44,28 @@ def finite(col: Column) -> Column:
     return F.when(col != F.lit(float("inf")), col)
 
 
+# ---- exact sums -------------------------------------------------------------
+
+# Use is whole unit-seconds and energy 1/128 J where it is prorated, so seven
+# digits hold both, and sums do not depend on how rows are spread.
+EXACT, EXACT_SUM = "decimal(28,7)", "decimal(38,7)"
+
+
+def exact(value: Column) -> Column:
+    """A measure as a decimal that adds up without rounding; missing where it is infinite.
+
+    Whole part and fraction are converted apart, as neither then loses digits.
+    """
+    whole = F.floor(value)
+    parts = whole.cast(EXACT) + (value - whole).cast(EXACT)
+    return F.when(F.abs(value) < 1e18, parts.cast(EXACT)).otherwise(value.try_cast(EXACT))
+
+
+def exact_sum(value: Column) -> Column:
+    """The exact sum of a measure, zero of nothing."""
+    return F.coalesce(F.sum(exact(value)).cast(EXACT_SUM), F.lit(0).cast(EXACT_SUM))
+
+
 # ---- identifiers ------------------------------------------------------------
 
 def job_id_of(raw: Column) -> Column:

@@ -12,7 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from jobuse.operators.joins import is_small
+from jobuse.session import written
 from jobuse.sources.definitions import Dictionary
 
 UNKNOWN = "Unknown"
@@ -79,12 +79,12 @@ def distinct_tokens(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.select(column).distinct().select(F.explode(tokens(F.col(column))).alias(name)).distinct()
 
 
-def substrings(text: Column) -> Column:
-    """All distinct non-empty pieces of a short text."""
+def substrings(text: Column, lengths: Column) -> Column:
+    """The distinct pieces of a text that have one of some lengths."""
     n = F.length(text)
     pieces = F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(text, i, k)),
+        F.filter(lengths, lambda k: (k > 0) & (k <= n)),
+        lambda k: F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(text, i, k)),
     )
     return F.array_distinct(F.flatten(pieces))
 
@@ -92,10 +92,12 @@ def substrings(text: Column) -> Column:
 def contained_values(values: DataFrame, column: str) -> DataFrame:
     """For each distinct value, the distinct values that occur inside it.
 
-    Each value is expanded into its own pieces and joined on equality, so the
-    work is linear in the number of values; no value is compared with all others.
+    Each value is cut into pieces of the lengths that values have, and these are
+    joined on equality, so the work is linear in the number of values and in
+    their length; no value is compared with all others.
     """
-    distinct = values.select(column).filter(F.col(column).isNotNull() & (F.col(column) != "")).distinct()
-    pieces = distinct.select(column, F.explode(substrings(F.col(column))).alias("inner"))
-    wanted = distinct.select(F.col(column).alias("inner"))
-    return pieces.join(F.broadcast(wanted) if is_small(wanted) else wanted, "inner", "inner")
+    distinct = written(values.select(column).filter(F.col(column).isNotNull() & (F.col(column) != "")).distinct())
+    lengths = distinct.agg(F.collect_set(F.length(column)))        # as many as there are different lengths
+    cut_up = distinct.withColumn("_lengths", lengths.scalar())
+    pieces = cut_up.select(column, F.explode(substrings(F.col(column), F.col("_lengths"))).alias("inner"))
+    return pieces.join(distinct.select(F.col(column).alias("inner")), "inner", "inner")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobuse.config import UsageConfig
-from jobuse.functions.scalars import step_order
+from jobuse.functions.scalars import exact_sum, step_order
 from jobuse.operators.classify import UNKNOWN, with_classes
 from jobuse.session import cut
 from jobuse.sources.definitions import Dictionary
@@ -52,9 +52,8 @@ def split_by_user(software: Column, who: Column) -> Column:
 
 
 def exe_use(facts: DataFrame) -> DataFrame:
-    """Use and rows by executable name."""
-    return facts.groupBy("exe_name").agg(
-        F.coalesce(F.sum("use_s"), F.lit(0.0)).alias("use_s"), F.count("*").alias("rows"))
+    """Use (an exact decimal) and rows by executable name."""
+    return facts.groupBy("exe_name").agg(exact_sum(F.col("use_s")).alias("use_s"), F.count("*").alias("rows"))
 
 
 def significant_exes(by_exe: DataFrame, dictionary: Dictionary, cfg: UsageConfig) -> DataFrame:
@@ -63,14 +62,15 @@ def significant_exes(by_exe: DataFrame, dictionary: Dictionary, cfg: UsageConfig
     ``by_exe`` holds (exe_name, use_s, rows) and is read twice. Uses are not
     negative, so at most 1/threshold executables qualify.
     """
-    total = by_exe.agg(F.struct(F.sum("use_s").alias("use_s"), F.sum("rows").alias("rows")).alias("t"))
+    use = F.col("use_s").cast("double")
+    total = by_exe.agg(F.struct(F.sum("use_s").cast("double").alias("use_s"), F.sum("rows").alias("rows")).alias("t"))
     tagged = with_classes(by_exe, dictionary, cfg.family)
     unidentified = (F.col("software").isNull() if cfg.family == "energy"
                     else F.col("software") == UNKNOWN)
     return (tagged.filter(unidentified)
             .withColumn("_t", total.scalar())
-            .filter((F.col("_t.rows") > 0) & (F.col("use_s") >= F.col("_t.use_s") * cfg.unknown_thresh))
-            .select("exe_name", "use_s", "rows"))
+            .filter((F.col("_t.rows") > 0) & (use >= F.col("_t.use_s") * cfg.unknown_thresh))
+            .select("exe_name", use.alias("use_s"), "rows"))
 
 
 def unidentified_report(facts: DataFrame, dictionary: Dictionary, cfg: UsageConfig) -> DataFrame:

@@ -1,29 +1,17 @@
-"""Joins to lookup tables whose size is checked, not assumed."""
+"""Joins to lookup tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-# Broadcast a table only when it is known to hold at most this many rows.
-BROADCAST_ROWS = 200_000
-# Copies of a table that is too large to broadcast, one per slice of a hot key.
-SALT = 16
-
-
-def is_small(table: DataFrame) -> bool:
-    """Whether a table has few enough rows to broadcast; reads no more than that."""
-    return table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+from jobuse.session import written
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Left join to a lookup table with unique keys.
 
-    The table is broadcast when a bounded count shows that it is small. Otherwise
-    it is copied once per salt value and the rows of each key are spread over the
-    copies, so a key holding a third of the rows is not one task.
+    The table is written once, so Spark plans with its bytes: below
+    ``spark.sql.autoBroadcastJoinThreshold`` it is broadcast, beyond that both
+    sides are shuffled and adaptive execution splits a hot key.
     """
-    if is_small(table):
-        return rows.join(F.broadcast(table), key, "left")
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALT)).cast("int")
-    return rows.withColumn("_salt", spread).join(copies, [key, "_salt"], "left").drop("_salt")
+    return rows.join(written(table), key, "left")

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobuse.config import UsageConfig
-from jobuse.functions.scalars import JOULES_PER_KWH
+from jobuse.functions.scalars import JOULES_PER_KWH, exact_sum
 
 
 def _sum(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0.0))
+    return exact_sum(value).cast("double")
 
 
 def _percent(part: Column, whole: Column) -> Column:

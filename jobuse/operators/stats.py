@@ -11,8 +11,8 @@ from the cells, so no task ever sees the rows of a category, not even those of
   ``Overall`` is one of them - and the grouped rows are combined again;
 * quartiles are read off running sums over the cells of a label.
 
-Sizes have few distinct values: a cell is one value (should there be very many,
-running sums are taken part by part). Node power is continuous: a cell is one of ``GRID`` equal slices of the plausible range, and a second pass
+Sizes have few distinct values: a cell is one value, and running sums are taken
+part by part, however many there are. Node power is continuous: a cell is one of ``GRID`` equal slices of the plausible range, and a second pass
 looks only at the slices in which a quartile falls.
 """
 
@@ -23,14 +23,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from jobuse.session import cut, held
+from jobuse.functions.scalars import EXACT_SUM, exact
+from jobuse.session import cut, stored
 
 CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
 
 GRID = 65_536
-# Running sums over more cells of a label than this are taken part by part.
-WINDOW_ROWS = 1_000_000
 QUARTERS = (1, 2, 3)
 
 # Kinds of grouped rows, by grouping_id() over (cell, user, project).
@@ -73,6 +72,15 @@ def only_label(text: Column) -> Column:
     return F.when(text.isNotNull(), F.array(label(CATEGORY, text))).otherwise(no_labels())
 
 
+def _added(value: Column | str) -> Column:
+    """A sum of exact decimals, NULL of nothing."""
+    return F.sum(value).cast(EXACT_SUM)
+
+
+def _zero() -> Column:
+    return F.lit(0).cast(EXACT_SUM)
+
+
 def _exploded(labelled: DataFrame) -> DataFrame:
     every = F.array(label(OVERALL, F.lit(OVERALL_LABEL)))
     return labelled.withColumn("_l", F.explode(F.concat(F.col("labels"), every))).select(
@@ -95,7 +103,7 @@ def _base(facts: DataFrame, source: dict[str, Column], measure: Measure,
         *[c.alias(name) for name, c in source.items()], inside.alias("_in"),
         kept(measure.column).cast("double").alias("_v"),
         kept("user_name").alias("_user"), kept("project_id").alias("_project"),
-        F.col("use_s").cast("double").alias("_w"), F.col("energy_j").cast("double").alias("_e"),
+        exact(F.col("use_s")).alias("_w"), exact(F.col("energy_j")).alias("_e"),
     ).withColumn("cell", measure.cell)
 
 
@@ -107,7 +115,7 @@ def grouped_rows(base: DataFrame, source: list[str], continuous: bool) -> DataFr
     # A cell of a discrete measure is its own extreme.
     rows = base.groupingSets(sets, *common, F.col("cell"), *members).agg(
         F.grouping_id().bitwiseAND(F.lit(7)).alias("gid"), F.count("*").alias("n"),
-        F.sum("_w").alias("w"), F.sum("_e").alias("e"),
+        _added("_w").alias("w"), _added("_e").alias("e"),
         *([F.min("_v").alias("lo"), F.max("_v").alias("hi")] if continuous else []))
     return rows if continuous else rows.withColumns({"lo": F.col("cell"), "hi": F.col("cell")})
 
@@ -127,15 +135,15 @@ def cells_of(grouped: DataFrame, labeller: Callable[[DataFrame], DataFrame]) ->
     pairs = exploded.groupBy(
         "grp", "label", "_in", "gid", "cell", F.col("m.user").alias("user"),
         F.col("m.project").alias("project"),
-    ).agg(F.sum("n").alias("n"), F.sum("w").alias("w"), F.sum("e").alias("e"),
+    ).agg(F.sum("n").alias("n"), _added("w").alias("w"), _added("e").alias("e"),
           F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("own").alias("own"))
     counted = by_cell & F.col("_in")
     return pairs.groupBy("grp", "label", "cell").agg(
         F.coalesce(F.sum(F.when(counted, F.col("n"))), F.lit(0)).alias("n"),
-        F.sum(F.when(counted, F.col("w"))).alias("w"),
-        F.sum(F.when(counted, F.col("e"))).alias("e"),
-        F.sum(F.when(by_cell, F.col("w"))).alias("all_w"),
-        F.sum(F.when(by_cell, F.col("e"))).alias("all_e"),
+        _added(F.when(counted, F.col("w"))).alias("w"),
+        _added(F.when(counted, F.col("e"))).alias("e"),
+        _added(F.when(by_cell, F.col("w"))).alias("all_w"),
+        _added(F.when(by_cell, F.col("e"))).alias("all_e"),
         F.min("lo").alias("lo"), F.max("hi").alias("hi"),
         F.count("user").alias("users"), F.count("project").alias("projects"),
         F.max("own").alias("own"))
@@ -156,41 +164,36 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
     """Running counts and weights in value order; missing values come last.
 
     ``cn``/``cw`` run up to and including the row, ``tn``/``tw`` are the totals.
-    Rows with a missing value keep their weight but have no rank. ``cells`` is
-    read more than once. Unless their number is known to be ``bounded`` it is
-    checked, and beyond ``WINDOW_ROWS`` no key is handled by a single task.
+    Rows with a missing value keep their weight (an exact decimal) but have no
+    rank. Only where the cells of a key are ``bounded`` by construction does one
+    task add them up.
     """
     ranked = F.expr(f"if({value} IS NOT NULL, {n}, 0)")
-    weight = F.expr(f"coalesce({w}, 0D)")
+    weight = F.coalesce(F.col(w), _zero())
     ordered = F.col(value).asc_nulls_last()
-    if bounded or _fits_window(cells, keys):
+    if bounded:
         so_far, whole = _up_to_row(keys, ordered), Window.partitionBy(*keys)
         return cells.select(
-            "*", F.sum(ranked).over(so_far).alias("cn"), F.sum(weight).over(so_far).alias("cw"),
-            F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).alias("tw"))
+            "*", F.sum(ranked).over(so_far).alias("cn"), F.sum(weight).over(so_far).cast(EXACT_SUM).alias("cw"),
+            F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).cast(EXACT_SUM).alias("tw"))
     # Sort by range, add up inside each sorted part, then add the sums of the parts before.
     parts = cut(cells.orderBy(*keys, ordered).withColumn("_part", F.spark_partition_id()))
-    sums = parts.groupBy(*keys, "_part").agg(F.sum(ranked).alias("_n"), F.sum(weight).alias("_w"))
+    sums = parts.groupBy(*keys, "_part").agg(F.sum(ranked).alias("_n"), _added(weight).alias("_w"))
     earlier = (Window.partitionBy(*keys).orderBy("_part")
                .rowsBetween(Window.unboundedPreceding, -1))
     whole = Window.partitionBy(*keys)
     before = sums.select(
         *keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"),
-        F.coalesce(F.sum("_w").over(earlier), F.lit(0.0)).alias("_w0"),
-        F.sum("_n").over(whole).alias("tn"), F.sum("_w").over(whole).alias("tw"))
+        F.coalesce(F.sum("_w").over(earlier).cast(EXACT_SUM), _zero()).alias("_w0"),
+        F.sum("_n").over(whole).alias("tn"), F.sum("_w").over(whole).cast(EXACT_SUM).alias("tw"))
     so_far = _up_to_row([*keys, "_part"], ordered)
-    inside = parts.select("*", F.sum(ranked).over(so_far).alias("_cn"), F.sum(weight).over(so_far).alias("_cw"))
+    inside = parts.select("*", F.sum(ranked).over(so_far).alias("_cn"),
+                          F.sum(weight).over(so_far).cast(EXACT_SUM).alias("_cw"))
     return inside.join(before, [*keys, "_part"]).select(
-        *cells.columns, (F.col("_n0") + F.col("_cn")).alias("cn"), (F.col("_w0") + F.col("_cw")).alias("cw"),
+        *cells.columns, (F.col("_n0") + F.col("_cn")).alias("cn"), (F.col("_w0") + F.col("_cw")).cast(EXACT_SUM).alias("cw"),
         "tn", "tw")
 
 
-def _fits_window(cells: DataFrame, keys: list[str]) -> bool:
-    """Whether every key has few enough cells to be handled by one task."""
-    return (cells.count() <= WINDOW_ROWS
-            or cells.groupBy(*keys).count().agg(F.max("count")).first()[0] <= WINDOW_ROWS)
-
-
 def _up_to_row(keys: list[str], order: Column):
     return (Window.partitionBy(*keys).orderBy(order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -225,7 +228,7 @@ def _sums() -> list[Column]:
     """What is added up over the cells of a label."""
     return [
         F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("jobs"),
-        F.coalesce(F.sum("w"), F.lit(0.0)).alias("w"), F.coalesce(F.sum("e"), F.lit(0.0)).alias("e"),
+        F.coalesce(_added("w"), _zero()).alias("w"), F.coalesce(_added("e"), _zero()).alias("e"),
         F.sum("users").alias("users"), F.sum("projects").alias("projects"), F.max("own").alias("own")]
 
 
@@ -242,17 +245,17 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
     At most nine cells per label: two ranks and one weight for each quartile.
     """
     run = running(cells, "cell", _LABEL, bounded=True)      # GRID cells per label
-    weight = F.coalesce(F.col("w"), F.lit(0.0))
+    weight = F.coalesce(F.col("w"), _zero())
     earlier = (Window.partitionBy(*_LABEL).orderBy(F.col("cell").asc_nulls_last())
                .rowsBetween(Window.unboundedPreceding, -1))
     # -1 where no weighted row comes first, so that a zero total is crossed at once.
-    before = F.coalesce(F.max(F.when(F.col("w").isNotNull(), F.col("cw"))).over(earlier), F.lit(-1.0))
+    before = F.coalesce(F.max(F.when(F.col("w").isNotNull(), F.col("cw"))).over(earlier), F.lit(-1).cast(EXACT_SUM))
     ranks = [f"(cn > {_rank(k, up)} AND cn - n <= {_rank(k, up)})" for k in QUARTERS for up in (False, True)]
     weights = [f"(w IS NOT NULL AND cw * 4 >= tw * {k} AND _before * 4 < tw * {k})" for k in QUARTERS]
     crossed = F.expr(" OR ".join(ranks + weights))
     return run.withColumn("_before", before).filter(F.col("cell").isNotNull() & crossed).select(
         *_LABEL, "cell", (F.col("cn") - F.col("n")).alias("n0"),
-        (F.col("cw") - weight).alias("w0"), F.col("tn").alias("all_n"), F.col("tw").alias("all_w"))
+        (F.col("cw") - weight).cast(EXACT_SUM).alias("w0"), F.col("tn").alias("all_n"), F.col("tw").alias("all_w"))
 
 
 def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
@@ -265,14 +268,14 @@ def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
     # At most GRID distinct slices exist, whatever the data: safe to broadcast.
     slices = F.broadcast(crossed.select("cell").distinct())
     rows = (base.join(slices, "cell").groupBy(*source, "cell", "_v")
-            .agg(F.count("*").alias("n"), F.sum("_w").alias("w")))
+            .agg(F.count("*").alias("n"), _added("_w").alias("w")))
     values = cut(_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
-                 .agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+                 .agg(F.sum("n").alias("n"), _added("w").alias("w"))
                  .join(crossed, [*_LABEL, "cell"], "inner"))
     # A slice may be crowded: running sums check the size of what they are given.
     run = running(values, "_v", [*_LABEL, "cell"]).select(
         *_LABEL, "_v", "w", F.col("all_n").alias("tn"), F.col("all_w").alias("tw"),
-        (F.col("n0") + F.col("cn")).alias("cn"), (F.col("w0") + F.col("cw")).alias("cw"))
+        (F.col("n0") + F.col("cn")).alias("cn"), (F.col("w0") + F.col("cw")).cast(EXACT_SUM).alias("cw"))
     picked = run.groupBy(*_LABEL).agg(*rank_picks("_v"), *weight_picks("_v"))
     return picked.select(*_LABEL, *_quartile_columns())
 
@@ -293,17 +296,17 @@ def distribution(facts: DataFrame, source: dict[str, Column], measure: Measure,
         cells = cut(cells_of(grouped_rows(base, names, False), labeller))
         rows = _exact_quartiles(cells)
     else:
-        with held(base) as held_base:
-            cells = cut(cells_of(grouped_rows(held_base, names, True), labeller))
-            quartiles = _refined_quartiles(cells, held_base, names, labeller)
+        with stored(base) as table:
+            cells = cut(cells_of(grouped_rows(table, names, True), labeller))
+            quartiles = _refined_quartiles(cells, table, names, labeller)
         rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
-        F.coalesce(F.sum("all_w"), F.lit(0.0)).alias("w"),
-        F.coalesce(F.sum("all_e"), F.lit(0.0)).alias("e")).alias("t"))
+        F.coalesce(_added("all_w"), _zero()).cast("double").alias("w"),
+        F.coalesce(_added("all_e"), _zero()).cast("double").alias("e")).alias("t"))
     # A category is reported when it is some row's own label and has rows.
     shown = (F.col("grp") == OVERALL) | (F.col("own") & (F.col("jobs") > 0))
     return (rows.filter(shown)
-            .withColumn("_t", overall.scalar())
+            .withColumns({"_t": overall.scalar(), "w": F.col("w").cast("double"), "e": F.col("e").cast("double")})
             .select(*_LABEL, "min", "q1", "q2", "q3", "max", "wq1", "wq2", "wq3", "jobs",
                     (F.col("w") / F.lit(divisor)).alias("use"),
                     F.try_divide(F.col("w") * 100, F.col("_t.w")).alias("percent_use"),

@@ -8,13 +8,14 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobuse.config import UsageConfig
+from jobuse.functions.scalars import EXACT_SUM, exact_sum
 from jobuse.operators import stats
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
 from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
-from jobuse.operators.joins import is_small, lookup
-from jobuse.session import cut, held
+from jobuse.operators.joins import lookup
+from jobuse.session import cut, stored
 from jobuse.sources.definitions import Dictionary
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -153,7 +154,7 @@ def with_significant_exe(facts: DataFrame, by_exe: DataFrame, dictionary: Dictio
                          cfg: UsageConfig) -> DataFrame:
     """Add ``big``: the executable's name where it is unidentified with significant use."""
     big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
-    return facts.join(F.broadcast(big) if is_small(big) else big, "exe_name", "left")
+    return lookup(facts, big, "exe_name")
 
 
 def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
@@ -193,42 +194,23 @@ def _measure(analysis: Analysis, cfg: UsageConfig) -> stats.Measure:
     return stats.Measure(cfg.size_measure)
 
 
-TAGGED = ("Software", "Motif", "Language")     # categories that follow from the executable
-
-
-def tag_table(facts: DataFrame, dictionary: Dictionary) -> DataFrame | None:
-    """(exe_name, code) of all executables, or None where there are too many to
-    broadcast: then tagging in place is cheaper than shuffling the facts.
-
-    A long dictionary is searched once per name instead of once per row.
-    """
-    table = cut(facts.select("exe_name").distinct().withColumn(
-        "code", definition_index(F.col("exe_name"), dictionary)))
-    return table if is_small(table) else None
-
-
 def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
                     dictionary: Dictionary | None = None, areas: DataFrame | None = None,
-                    users: DataFrame | None = None, all_facts: DataFrame | None = None,
-                    tags: DataFrame | None = None) -> DataFrame:
+                    users: DataFrame | None = None, all_facts: DataFrame | None = None) -> DataFrame:
     """Both distributions of one analysis in one frame (see ``stats.distribution``).
 
     User labels and motif words are taken before the restriction to a project:
     ``all_facts`` are the facts without it (by default the facts themselves).
-    ``tags`` is a table made by ``tag_table``; without it names are tagged in place.
     """
     source = {}
-    if tags is not None and analysis.category in TAGGED:
-        facts, source = lookup(facts, tags, "exe_name"), {"code": F.col("code")}
-    elif dictionary is not None:
+    if dictionary is not None:
         source = {"code": definition_index(F.col("exe_name"), dictionary)}
     if analysis.category == "Software" and cfg.user_split:
         columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
                    "energy_j", _measure(analysis, cfg).column]
         columns += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
-        columns += ["code"] if tags is not None else []
         source |= {"user_name": F.col("user_name"), "big": F.col("big")}
-        with held(facts.select(*dict.fromkeys(columns))) as rows:
+        with stored(facts.select(*dict.fromkeys(columns))) as rows:
             if users is None and cfg.anonymise:
                 users = anonymous_users(rows if all_facts is None else all_facts)
             rows = with_significant_exe(rows, cut(exe_use(rows)), dictionary, cfg)
@@ -302,16 +284,16 @@ def code_sizes(facts: DataFrame, cfg: UsageConfig, dictionary: Dictionary) -> Da
     """(software, value) with use and whole hours of use, grouped before tagging."""
     whole = F.floor(F.coalesce(F.col("use_s"), F.lit(0.0)) / cfg.use_divisor)
     by_exe = facts.groupBy("exe_name", F.col(cfg.size_measure).alias("value")).agg(
-        F.sum("use_s").alias("use_s"), F.sum(whole).alias("copies"))
+        exact_sum(F.col("use_s")).alias("use_s"), F.sum(whole).alias("copies"))
     return with_classes(by_exe, dictionary, cfg.family).filter(F.col("software").isNotNull()).groupBy(
         "software", "value").agg(
-        F.coalesce(F.sum("use_s"), F.lit(0.0)).alias("use_s"), F.sum("copies").alias("copies"))
+        F.sum("use_s").cast(EXACT_SUM).alias("use_s"), F.sum("copies").alias("copies"))
 
 
 def top_codes(sizes: DataFrame, count: int = TOP_CODES) -> DataFrame:
     """The applications with most use; Overall never takes part."""
     return sizes.groupBy("software").agg(
-        F.sum("use_s").alias("use_s"), F.sum("copies").alias("copies")).orderBy(
+        F.sum("use_s").cast("double").alias("use_s"), F.sum("copies").alias("copies")).orderBy(
         F.desc("use_s"), F.asc("software")).limit(count)
 
 

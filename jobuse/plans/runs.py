@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,17 +11,13 @@ from jobuse.functions.scalars import job_id_of
 from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
 from jobuse.operators.identity import anonymous_users
-from jobuse.plans.analyses import TAGGED, analyses_of, distribution_of, report_table, tag_table
+from jobuse.plans.analyses import analyses_of, distribution_of, report_table
 from jobuse.plans.facts import facts_of
-from jobuse.session import held
+from jobuse.session import stored
 from jobuse.sources.dumps import with_job_ids
 from jobuse.sources.sinks import has_rows, write_result
 
 
-# Dictionaries up to this length are searched row by row; longer ones once per name.
-TAG_IN_PLACE = 20
-
-
 def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: UsageConfig,
                   gpu_steps: DataFrame | None = None, gpu_jobs: DataFrame | None = None,
                   mode: str = "anti") -> DataFrame:
@@ -51,17 +46,15 @@ def energy_records(jobs: DataFrame, step_exes: DataFrame, cfg: UsageConfig) -> D
 
 
 def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, folder: str,
-                  prefix: str, keep: bool = False, **inputs) -> dict[str, str]:
+                  prefix: str, **inputs) -> dict[str, str]:
     """Write both tables of each named report; returns their paths.
 
-    The statistics of a report are computed once for its two tables. Each report
-    reads the columns it needs from ``records``; with ``keep`` the facts are held
-    between reports, which pays when records are not a stored table. Nothing is
-    written without records.
+    Facts are derived once and stored while the reports are made: each then reads
+    only the columns it needs. The statistics of a report are computed once for
+    its two tables. Nothing is written without records.
     """
     paths = {}
-    derived = facts_of(records, cfg, for_account=False)
-    with held(derived) if keep else nullcontext(derived) as everyone:
+    with stored(facts_of(records, cfg, for_account=False)) as everyone:
         facts = of_project(everyone, cfg.account)
         if not has_rows(facts):
             return paths
@@ -69,11 +62,6 @@ def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, fo
             inputs["users"] = anonymous_users(everyone)
         if cfg.account:
             inputs["all_facts"] = everyone
-        names = list(names)
-        dictionary = inputs.get("dictionary")
-        if (dictionary and len(dictionary.definitions) > TAG_IN_PLACE
-                and any(analyses_of(cfg)[n].category in TAGGED for n in names)):
-            inputs["tags"] = tag_table(everyone, dictionary)
         for name in names:
             analysis = analyses_of(cfg)[name]
             both = distribution_of(facts, analysis, cfg, **inputs)

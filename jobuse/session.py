@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Run-time re-planning: merges small shuffle partitions, splits skewed join keys.
@@ -15,6 +18,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,8 +42,8 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None) -> Spar
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made up only when the whole session runs in one
-    process; on a cluster the setting is required.
+    Only where the whole session runs in one process may that be unset; then a
+    folder below the warehouse is used, and removed when the process ends.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -48,11 +53,22 @@ def shared_dir(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="jobuse-")
+        folder = _own_folder(spark)
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    try:
+        os.makedirs(warehouse, exist_ok=True)
+        folder = tempfile.mkdtemp(prefix="scratch-", dir=warehouse)
+    except OSError:
+        folder = tempfile.mkdtemp(prefix="jobuse-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy.
 
@@ -63,15 +79,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a columnar table in the shared folder; Spark knows its size from then on."""
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
-def held(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep ``df`` on the executors, spilling to disk, while several passes read it.
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a columnar table in the shared folder while several passes read it.
 
-    Lost blocks are computed again. Whatever is to outlive the block must have
-    been written (``cut``) inside it.
+    The table is removed at the end of the block, so whatever is to outlive it
+    must have been written (``cut``) inside it.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    table = written(df)
     try:
-        yield kept
+        yield table
     finally:
-        kept.unpersist()
+        for path in {os.path.dirname(f) for f in table.inputFiles()}:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -6,10 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-# A dictionary is written by hand, one file per application. It becomes part of
-# the query plan, so a table far beyond that size is refused rather than collected.
-MAX_DEFINITIONS = 10_000
-
 # Section and key of each field in a definition file.
 FIELDS = {
     "name": ("code info", "name"),
@@ -66,10 +62,8 @@ class Dictionary:
 
     @staticmethod
     def from_table(table: DataFrame) -> "Dictionary":
-        rows = table.select("ord", "name", "pattern", "motif", "language").take(MAX_DEFINITIONS + 1)
-        if len(rows) > MAX_DEFINITIONS:
-            raise ValueError(f"more than {MAX_DEFINITIONS} application definitions")
-        rows.sort(key=lambda r: r["ord"])
+        """A dictionary is written by hand, one file per application, and becomes part of the plan."""
+        rows = table.select("ord", "name", "pattern", "motif", "language").orderBy("ord").collect()
         return Dictionary.of(*[
             (r["name"], r["pattern"], r["motif"] or "", r["language"] or "") for r in rows])
 

@@ -42,8 +42,8 @@ def _delimited(spark: SparkSession, path, names: list[str]) -> DataFrame:
 
 
 def _comma(spark: SparkSession, path, names: list[str], header: bool, **options) -> DataFrame:
-    return spark.read.csv(path, header=header, schema=text_schema(names), enforceSchema=True,
-                          quote='"', escape='"', **options)
+    return spark.read.options(**options).csv(path, header=header, schema=text_schema(names), enforceSchema=True,
+                                             quote='"', escape='"')
 
 
 def _file_position() -> Column:
@@ -64,8 +64,10 @@ def last_by_key(df: DataFrame, key: str, value: str, order: Column) -> DataFrame
 
 def _entries(spark: SparkSession, path, names: list[str], header: bool) -> DataFrame:
     """Entries of a map file with their position; short rows are skipped, empty values are not."""
-    rows = _comma(spark, path, [*names, RAW], header=header, ignoreLeadingWhiteSpace=True, columnNameOfCorruptRecord=RAW)
+    rows = _comma(spark, path, [*names, RAW], header=header, ignoreLeadingWhiteSpace=True,
+                  columnNameOfCorruptRecord=RAW, columnPruning="false")
     # The line itself is kept of rows that are short or long; only a short one has no comma.
+    # (Were unused columns left out of the scan, short rows would not be noticed.)
     return rows.withColumn("_at", _file_position()).filter(F.col(RAW).isNull() | F.contains(RAW, F.lit(","))).drop(RAW)
 
 

@@ -152,12 +152,35 @@ def test_assembly_modes(spark):
     assert last == [(1, "a"), (1, "b"), (2, "c"), (3, "no_srun"), (4, "d"), (5, "f")]
 
 
-def test_lookup_joins_agree(spark, monkeypatch):
+def test_lookup_joins_agree(spark):
     rows = spark.range(200).select((F.col("id") % 3).cast("string").alias("k"), "id")
     table = spark.createDataFrame([("0", "zero"), ("1", "one")], "k string, v string")
-    small = sorted(map(tuple, joins.lookup(rows, table, "k").collect()), key=str)
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
-    assert sorted(map(tuple, joins.lookup(rows, table, "k").collect()), key=str) == small
+    small = joins.lookup(rows, table, "k")
+    found = sorted(map(tuple, small.collect()), key=str)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = joins.lookup(rows, table, "k")
+        assert sorted(map(tuple, large.collect()), key=str) == found
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_last_step_is_that_of_greatest_number(spark):
+    schema = "job_id bigint, sub_job_id string, exe_name string, user_name string"
+    steps = spark.createDataFrame([(1, str(k), f"e{k}", "u") for k in range(12)] + [(2, "batch", "b", "u"), (2, "3", "c", "u")], schema)
+    got = assemble.assemble_usage(steps, spark.createDataFrame([], schema), "keep_last")
+    assert sorted((r.job_id, r.exe_name) for r in got.collect()) == sorted([(1, f"e{k}") for k in range(11)] + [(2, "b")])
+
+
+def test_long_labels_are_matched_inside(spark):
+    long = "".join(chr(97 + k % 23) for k in range(2000))
+    values = spark.createDataFrame([(long,), ("abc",), ("x",), (long[5:900],), (None,), ("",)], "v string")
+    found = {(r.v, r.inner) for r in classify.contained_values(values, "v").collect()}
+    all_values = [long, "abc", "x", long[5:900]]
+    assert found == {(a, b) for a in all_values for b in all_values if b in a}
 
 
 def test_gpu_join_keeps_steps_and_jobs_apart(spark):
@@ -325,8 +348,22 @@ def test_matrix_masks_cells_without_runs(spark):
          ("f", 0, 3, "1h", "3-4", 2, 2, 95., "0:3:0", .1), ("f", 0, 4, "1h", "3-4", 2, 1, 91., "0:4:0", .2)],
         "file_path string, block int, line int, runtime string, size string, submitted bigint, ran bigint, "
         "usage double, wait string, coefficient double")
-    cells = {r.size: r for r in matrix.hot(matrix.dense(rows)).collect()}
+    blocks = rows.select("file_path", "block", "runtime").distinct()
+    cells = {r.size: r for r in matrix.hot(matrix.dense(rows, blocks)).collect()}
     assert len(cells) == 14
     assert (cells["1"].hot, cells["2"].usage, cells["2"].submitted) == (True, None, 3)
     assert (cells["3-4"].usage, cells["3-4"].hot) == (91., True)        # the last row of a size counts
     assert (cells["5-8"].wait, cells["5-8"].ran, cells["5-8"].hot) == ("0:0:0", 0, False)
+
+
+def test_matrix_keeps_unlisted_sizes_and_empty_blocks(spark):
+    schema = ("file_path string, block int, line int, runtime string, size string, submitted bigint, ran bigint, "
+              "usage double, wait string, coefficient double")
+    rows = spark.createDataFrame([("f", 0, 1, "1h", "7", 5, 5, 100., "0:1:0", .5), ("g", 0, 1, "1h", "1", 5, 5, 9., "0:1:0", .5)], schema)
+    blocks = spark.createDataFrame([("f", 0, "1h"), ("f", 1, "2h"), ("g", 0, "1h")], "file_path string, block int, runtime string")
+    cells = matrix.dense(rows, blocks).collect()
+    assert {(r.file_path, r.block): n for r in cells for n in [sum(x.file_path == r.file_path and x.block == r.block for x in cells)]} == {
+        ("f", 0): 15, ("f", 1): 15, ("g", 0): 14}
+    assert [(r.size_index, r.usage) for r in cells if (r.file_path, r.block, r.size) == ("f", 0, "7")] == [(14, 100.)]
+    with pytest.raises(Exception, match="no column for size 7"):
+        matrix.pivoted(matrix.dense(rows, blocks), "usage").collect()

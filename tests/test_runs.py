@@ -1,5 +1,6 @@
 """Whole runs: records from dump files, reports to files, project and user options."""
 
+import os
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from jobuse.config import UsageConfig
 from jobuse.operators.rollup import combine_summaries
 from jobuse.plans import analyses, runs
 from jobuse.plans.facts import usage_facts
+from jobuse.session import shared_dir
 from jobuse.sources import dumps
 from jobuse.sources.definitions import Dictionary
 
@@ -43,7 +45,7 @@ def test_records_from_dumps(spark, tmp_path):
 def test_written_reports(spark, tmp_path):
     cfg = UsageConfig(report_energy=True)
     paths = runs.write_reports(records(spark, tmp_path), ["CodeSize", "CodePower"], cfg, str(tmp_path / "out"), "use",
-                               keep=True, dictionary=DICT)
+                               dictionary=DICT)
     assert set(paths) == {"CodeSize", "CodeSize_weighted", "CodePower", "CodePower_weighted"}
     rows = {r.Software: r for r in spark.read.csv(paths["CodeSize"], header=True).collect()}
     assert set(rows) == {"App", "Python", "Other", "Unknown", "Overall"}
@@ -62,17 +64,6 @@ def test_written_periods_roll_up(spark, tmp_path):
     assert (got["Overall"].Users_min, got["Overall"].Users_max, got["Other"].Users_min) == (2, 3, 1)
 
 
-def test_tagging_by_table_gives_the_same_reports(spark, tmp_path, monkeypatch):
-    raw = records(spark, tmp_path)
-    names, found = ["CodeSize", "MotifSize", "LangSize", "ProjSize"], []
-    for cfg in (UsageConfig(), UsageConfig(user_split=True)):
-        for limit in (20, 0):
-            monkeypatch.setattr(runs, "TAG_IN_PLACE", limit)
-            paths = runs.write_reports(raw, names, cfg, str(tmp_path / f"{limit}{cfg.user_split}"), "use", dictionary=DICT)
-            found.append({n: sorted(map(tuple, spark.read.csv(p, header=True).collect())) for n, p in paths.items()})
-    assert found[0] == found[1] and found[2] == found[3] and found[0] != found[2]
-
-
 def test_nothing_is_written_without_records(spark, tmp_path):
     cfg = UsageConfig(account="nobody")
     assert runs.write_reports(records(spark, tmp_path), ["CodeSize"], cfg, str(tmp_path / "out"), "use",
@@ -97,7 +88,8 @@ def test_energy_records_take_the_first_step(spark, tmp_path):
     for name, text in {"jobs": "1::j::ann::z1::1::60::COMPLETED::5\n2::j::bob::z1::1::60::PENDING::5\n"
                                "3::j::bob::z1::1::60::FAILED::5\n"}.items():
         (tmp_path / name).write_text(text)
-    steps = spark.createDataFrame([("1.0", "app"), ("1.10", "no"), ("3.1", "no")], "job_id_raw string, exe_name string")
+    (tmp_path / "steps").write_text("1.0, zz\n1.0, app\n1.10, no\n3.1, no\n")
+    steps = dumps.read_step_exe_rows(spark, str(tmp_path / "steps"))
     got = runs.energy_records(dumps.read_energy_jobs(spark, str(tmp_path / "jobs")), steps, UsageConfig(family="energy"))
     assert {r.job_id: r.exe_name for r in got.collect()} == {1: "app", 3: None}
 
@@ -107,3 +99,11 @@ def test_both_tables_differ_in_quartiles_only(spark, tmp_path):
     plain, weighted = (analyses.report(facts, "CodeSize", UsageConfig(report_energy=True), w, dictionary=DICT)
                        .drop("Q1", "Median", "Q3") for w in (False, True))
     assert plain.exceptAll(weighted).count() == 0 and plain.filter(F.col("Software") == "Overall").count() == 1
+
+
+def test_stored_facts_are_removed(spark, tmp_path):
+    before = set(os.listdir(shared_dir(spark).removeprefix("file:")))
+    runs.write_reports(records(spark, tmp_path), ["CodeSize", "CodePower"], UsageConfig(report_energy=True),
+                       str(tmp_path / "out"), "use", dictionary=DICT)
+    left = set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before
+    assert all(x.startswith("rdd-") for x in left)

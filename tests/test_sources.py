@@ -103,12 +103,9 @@ def test_definitions(spark, tmp_path):
     assert loaded.names == ["First App", "Second"]
 
 
-def test_oversized_dictionary_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(definitions, "MAX_DEFINITIONS", 1)
-    table = spark.createDataFrame([(0, "a", "a", "", ""), (1, "b", "b", "", "")],
-                                  "ord int, name string, pattern string, motif string, language string")
-    with pytest.raises(ValueError):
-        definitions.Dictionary.from_table(table)
+def test_dictionaries_of_any_length(spark):
+    table = spark.range(12_000).selectExpr("int(id) AS ord", "concat('n', id) AS name", "'p' AS pattern", "'' AS motif", "'' AS language")
+    assert definitions.Dictionary.from_table(table).names == [f"n{k}" for k in range(12_000)]
 
 
 REPORT = """heading
@@ -167,3 +164,28 @@ def test_shared_dir_is_kept(spark):
 
 def test_guard(spark):
     assert not sinks.has_rows(spark.range(0)) and sinks.has_rows(spark.range(1))
+
+
+def test_bad_report_rows_name_their_place(spark, tmp_path):
+    for bad in ("1,10", "1,x,9,100.5,x,0:1:2,0.75", "1,10,9,100.5,x,0:1:2,"):
+        write(tmp_path, "bad.txt", f"Runtime: 1h\nNodes,x\n{bad}\n,1\n")
+        with pytest.raises(Exception, match=f"bad.txt, block 0, line 2: {bad}"):
+            report.read_report(spark, f"{tmp_path}/bad.txt").collect()
+
+
+def test_maps_take_the_last_entry_even_if_missing(spark, tmp_path):
+    write(tmp_path, "users", "id,user\n1,ann\n1, None\n2,bob\n2\n3,eve\n3,\n4,old\n4,new,more\n5,nan\n6,NA\n6,kim\nx,no\n")
+    got = {r.job_id: r.user_name for r in dumps.read_user_map(spark, f"{tmp_path}/users").collect()}
+    assert got == {1: None, 2: "bob", 3: None, 4: "new", 5: None, 6: "kim"}
+    write(tmp_path, "exes", "1.0, a\n1.0,None\n2.3, b\n2.3\n")
+    assert {r.job_id: r.exe_name for r in dumps.read_step_exe(spark, f"{tmp_path}/exes").collect()} == {1: None, 2: "b"}
+
+
+def test_summaries_join_by_column_name(spark, tmp_path):
+    write(tmp_path, "a_X.csv", "Software,Nodeh,kWh,Users\nApp,1.5,2,3\n")
+    write(tmp_path, "b_X.csv", "kWh,Other,Software,Nodeh\n5,z,App,4\n")
+    got = sorted((r.Software, r.Nodeh, r.kWh, r.Users) for r in dumps.read_summaries(spark, str(tmp_path), "X", key="Software").collect())
+    assert got == [("App", 1.5, 2.0, 3.0), ("App", 4.0, 5.0, None)] or sorted(got, key=str) == sorted([("App", 1.5, 2.0, 3.0), ("App", 4.0, 5.0, None)], key=str)
+    write(tmp_path, "c_X.csv", "Name,Nodeh\nApp,4\n")
+    with pytest.raises(ValueError):
+        dumps.read_summaries(spark, str(tmp_path), "X", key="Software")

@@ -1,11 +1,14 @@
 """Distribution statistics against a row-by-row restatement, on random and odd frames."""
 
 import math
+import random
+from decimal import Decimal
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from jobuse.functions import scalars
 from jobuse.operators import stats
 
 SCHEMA = T.StructType([
@@ -103,12 +106,21 @@ def test_random(spark, kind, seed):
     check(actual(spark, rows, upper), expected(rows))
 
 
-@pytest.mark.parametrize("kind", ["sizes", "power", "ties"])
-def test_running_sums_part_by_part(spark, kind, monkeypatch):
-    monkeypatch.setattr(stats, "WINDOW_ROWS", 5)
-    rows = random_rows(5, 700, DRAWS[kind][1])
-    check(actual(spark, rows), expected(rows))
-    check(actual(spark, rows, 850.0), expected(rows))
+@pytest.mark.parametrize("parts", [1, 2, 7])
+def test_large_sums_are_exact(spark, parts):
+    """Totals beyond 2**53 equal whole-number arithmetic, however rows are spread."""
+    rng = random.Random(9)
+    use = [rng.randrange(1, 1 << 50) * 2 + 1 for _ in range(400)]
+    rows = [(rng.choice("ab"), float(rng.randrange(9)), float(u), u / 128.0) for u in use]
+    cells = spark.createDataFrame(rows, "label string, value double, use_s double, energy_j double").repartition(parts)
+    got = cells.groupBy("label").agg(scalars.exact_sum(F.col("use_s")).alias("w"), scalars.exact_sum(F.col("energy_j")).alias("e")).collect()
+    for label, w, e in got:
+        assert int(w) == sum(int(r[2]) for r in rows if r[0] == label) and w == int(w)
+        assert e == sum(Decimal(r[3]) for r in rows if r[0] == label)
+    run = stats.running(cells.groupBy("label", "value").agg(F.count("*").alias("n"), scalars.exact_sum(F.col("use_s")).alias("w")), "value", ["label"])
+    for r in run.collect():
+        assert r["cw"] == sum(int(x[2]) for x in rows if x[0] == r["label"] and x[1] <= r["value"])
+        assert r["tw"] == sum(int(x[2]) for x in rows if x[0] == r["label"])
 
 
 @pytest.mark.parametrize("upper", [None, 850.0])
