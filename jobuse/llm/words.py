@@ -29,7 +29,7 @@ def _powers(step: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0 .. n of an odd number and of its inverse, kept by the worker."""
     kept = worker_state().__dict__.setdefault("powers", {})
     if len(kept.get(step, ((), ()))[0]) <= n:
-        size = max(n + 1, SLICE_BYTES + 1)
+        size = max(1 << 16, 1 << n.bit_length())
         inverse = np.uint64(pow(int(step), -1, 1 << 64))
         kept[step] = tuple(np.concatenate([[np.uint64(1)], np.cumprod(np.full(size, s, np.uint64))]) for s in (step, inverse))
     return kept[step]
