@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalog import fixtures as fx
-from catalog.queries import NUMBER_SAMPLES, REPORTS
+from catalog.queries import NUMBER_SAMPLES, PROJECT, REPORTS
 from jobuse.config import UsageConfig
 from jobuse.functions.scalars import NA_TOKENS
 from jobuse.sources.report import SIZES
@@ -201,6 +201,31 @@ _TOTAL = "tot AS (SELECT sum(use_s) AS w FROM d)"
 _BIG = f"""{_TOTAL}, big AS (SELECT exe_name, sum(use_s) AS w, count(*) AS n FROM d WHERE code IS NULL
   GROUP BY exe_name HAVING sum(use_s) >= 0.01 * (SELECT w FROM tot))"""
 
+_REPORT_COLUMNS = (
+    'SELECT label AS "Software", mn AS "Min", q1 AS "Q1", q2 AS "Median", q3 AS "Q3", mx AS "Max", jobs AS "Jobs", use AS "Nodeh", '
+    'percent_use AS "PercentUse", kwh AS "kWh", percent_energy AS "PercentEnergy", users AS "Users", projects AS "Projects" FROM r')
+
+
+def _split_labels(rows: str) -> str:
+    """CTEs x and l: application labels split by ``who``."""
+    return f"""x AS ({rows}),
+ l AS (SELECT CASE WHEN b.exe_name IS NOT NULL THEN concat(x.exe_name, '_', who)
+   WHEN software IN ('a.out', 'Python') THEN concat(software, '_', who) ELSE software END AS label, x.*
+   FROM x LEFT JOIN big b ON b.exe_name = x.exe_name UNION ALL SELECT 'Overall' AS label, x.* FROM x)"""
+
+
+def _of_project(ctes: str) -> str:
+    return ctes.replace("FROM d)", "FROM d0)").replace("FROM d WHERE", "FROM d0 WHERE")
+
+
+_ENERGY_SPLIT = """y AS (SELECT d.*, b.exe_name AS big_exe, CASE WHEN b.exe_name IS NOT NULL THEN concat(d.exe_name, '_', anon_user)
+   WHEN code IN ('a.out', 'Python') THEN concat(code, '_', anon_user) ELSE code END AS split
+   FROM d JOIN anon USING (user_name) LEFT JOIN big b ON b.exe_name = d.exe_name),
+ l AS (SELECT t.split AS label, y.* FROM y JOIN (SELECT DISTINCT split FROM y WHERE split <> '') t ON contains(y.split, t.split)
+   WHERE code IS NOT NULL OR big_exe IS NOT NULL
+  UNION ALL SELECT 'Unidentified' AS label, y.* FROM y WHERE code IS NULL AND big_exe IS NULL
+  UNION ALL SELECT 'Overall' AS label, y.* FROM y)"""
+
 ORACLES |= {
     # scans and sinks
     "scan_steps": q(FX, f"SELECT job_id, sub_job_id, {_STR}, '0' AS mean_rss, cpu_freq FROM fx_steps"),
@@ -328,6 +353,16 @@ ORACLES |= {
  {stats_ctes('cores', 460800.0)}""",
         'SELECT label AS "Software", mn AS "Min", q1 AS "Q1", q2 AS "Median", q3 AS "Q3", mx AS "Max", jobs AS "Jobs", use AS "Nodeh", '
         'percent_use AS "PercentUse", kwh AS "kWh", percent_energy AS "PercentEnergy", users AS "Users", projects AS "Projects" FROM r'),
+    "user_split_named": q(f"""{FACTS}, {_BIG}, {_split_labels("SELECT d.*, user_name AS who FROM d")}, {stats_ctes('cores', 460800.0)}""",
+                          _REPORT_COLUMNS),
+    "project_code_size_split": q(f"""{FACTS}, {_FIRST_SEEN}, d0 AS (SELECT * FROM d WHERE project_id = '{PROJECT}'),
+ {_of_project(_BIG)}, {_split_labels("SELECT d0.*, anon_user AS who FROM d0 JOIN anon USING (user_name)")},
+ {_of_project(stats_ctes('cores', 460800.0))}""", _REPORT_COLUMNS),
+    "project_motif_size": q(f"""{FACTS}, d0 AS (SELECT * FROM d WHERE project_id = '{PROJECT}'),
+ {labelled("Motif", "substring", "TRUE").replace("FROM d WHERE", "FROM d0 WHERE")}, {_of_project(stats_ctes('cores', 460800.0))}""",
+                            _REPORT_COLUMNS.replace('"Software"', '"Motif"')),
+    "energy_code_size_split": q(f"{ENERGY_ALL}, {_FIRST_SEEN}, {_BIG}, {_ENERGY_SPLIT}, {stats_ctes('nodes', 3600.0)}", _REPORT_COLUMNS),
+    "energy_code_power_split": q(f"{ENERGY_ALL}, {_FIRST_SEEN}, {_BIG}, {_ENERGY_SPLIT}, {stats_ctes('node_power', 3600.0)}", _REPORT_COLUMNS),
     # aggregates
     "totals": q(FACTS, "SELECT sum(use_s) / 460800.0 AS total_use, sum(energy) / 3600000.0 AS total_kwh FROM d"),
     "quality_node_power": q(FACTS, """SELECT count(*) AS rows, count(CASE WHEN cores < 128 THEN 1 END) AS excluded_rows,

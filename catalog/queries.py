@@ -25,6 +25,8 @@ GPUH = replace(NODEH, gpu=True)
 SHARED = replace(NODEH, shared_node=True)
 ENERGY = UsageConfig(family="energy")
 SPLIT = replace(NODEH, user_split=True)
+ENERGY_SPLIT = replace(ENERGY, user_split=True)
+PROJECT = "p3"      # of the reports on one project
 
 QUERIES: dict[str, Query] = {}
 
@@ -609,6 +611,40 @@ def _(spark, d):
     return reports.report(facts(spark, d), "CodeSize", SPLIT, dictionary=fx.dictionary())
 
 
+@query("user_split_named")
+def _(spark, d):
+    """With the users' own names."""
+    cfg = replace(SPLIT, anonymise=False)
+    return reports.report(facts(spark, d), "CodeSize", cfg, dictionary=fx.dictionary())
+
+
+@query("energy_code_size_split")
+def _(spark, d):
+    return reports.report(job_energy_facts(spark, d), "CodeSize", ENERGY_SPLIT, dictionary=fx.dictionary())
+
+
+@query("energy_code_power_split")
+def _(spark, d):
+    return reports.report(job_energy_facts(spark, d), "CodePower", ENERGY_SPLIT, dictionary=fx.dictionary())
+
+
+def _project_report(spark, d, name, cfg):
+    """On one project: users are numbered and motif words taken over all projects, shares are of the project."""
+    raw, cfg = raw_usage(spark, d), replace(cfg, account=PROJECT)
+    return reports.report(usage_facts(raw, cfg), name, cfg, dictionary=fx.dictionary(),
+                          all_facts=usage_facts(raw, cfg, for_account=False))
+
+
+@query("project_motif_size")
+def _(spark, d):
+    return _project_report(spark, d, "MotifSize", NODEH)
+
+
+@query("project_code_size_split")
+def _(spark, d):
+    return _project_report(spark, d, "CodeSize", SPLIT)
+
+
 @query("unidentified_exes")
 def _(spark, d):
     return identity.unidentified_report(facts(spark, d), fx.dictionary(), NODEH)
@@ -744,6 +780,10 @@ REPORTS: dict[str, tuple[str, UsageConfig]] = {
     "dist_lang_size_gpu": ("LangSize", GPUH),
     "dist_cpufreq_size_gpu": ("CPUFreqSize", GPUH),
     "dist_code_power_gpu": ("CodePower", GPUH),
+    "dist_area_power_gpu": ("AreaPower", GPUH),
+    "dist_motif_power_gpu": ("MotifPower", GPUH),
+    "dist_lang_power_gpu": ("LangPower", GPUH),
+    "dist_cpufreq_power_gpu": ("CPUFreqPower", GPUH),
     "energy_code_size": ("CodeSize", ENERGY),
     "energy_code_power": ("CodePower", ENERGY),
     "energy_area_size": ("AreaSize", ENERGY),

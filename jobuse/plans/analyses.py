@@ -15,7 +15,7 @@ from jobuse.operators.classify import (
 from jobuse.operators.filters import is_full_node, without_labels
 from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
 from jobuse.operators.joins import lookup
-from jobuse.session import cut, stored
+from jobuse.session import cut, stored, written
 from jobuse.sources.definitions import Dictionary
 
 Labeller = Callable[[DataFrame], DataFrame]
@@ -168,13 +168,19 @@ def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
 
 def split_labels(dictionary: Dictionary, users: DataFrame | None, analysis: Analysis,
                  cfg: UsageConfig) -> Labeller:
+    """Labels that carry the user. Which labels there are is settled by the rows
+    of the first call, which must be all; a later call may see some of them only.
+    """
+    known: list[DataFrame] = []
+
     def labeller(rows: DataFrame) -> DataFrame:
         named = _who(rows, users, cfg).withColumn("split", split_label(dictionary, cfg))
         if analysis.match == "substring":
-            named = cut(named)      # read twice below
-            inside = contained_values(named, "split").groupBy("split").agg(F.collect_set(
-                stats.label(stats.CATEGORY, F.col("inner"), F.col("inner") == F.col("split"))).alias("labels"))
-            named = named.join(inside, "split", "left").withColumn(
+            if not known:
+                named = cut(named)      # read twice
+                known.append(written(contained_values(named, "split").groupBy("split").agg(F.collect_set(
+                    stats.label(stats.CATEGORY, F.col("inner"), F.col("inner") == F.col("split"))).alias("labels"))))
+            named = named.join(known[0], "split", "left").withColumn(
                 "labels", F.coalesce("labels", stats.no_labels()))
         else:
             named = named.withColumn("labels", stats.only_label(F.col("split")))

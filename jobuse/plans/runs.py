@@ -10,7 +10,8 @@ from jobuse.config import UsageConfig
 from jobuse.functions.scalars import job_id_of
 from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
-from jobuse.operators.identity import anonymous_users
+from jobuse.operators.identity import anonymous_users, unidentified_report
+from jobuse.operators.quality import energy_quality, node_power_quality
 from jobuse.plans.analyses import analyses_of, distribution_of, report_table
 from jobuse.plans.facts import facts_of
 from jobuse.session import stored
@@ -51,7 +52,9 @@ def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, fo
 
     Facts are derived once and stored while the reports are made: each then reads
     only the columns it needs. The statistics of a report are computed once for
-    its two tables. Nothing is written without records.
+    its two tables. Every run also writes the significant unidentified executables
+    (with a dictionary) and the data-quality table. Nothing is written without
+    records.
     """
     paths = {}
     with stored(facts_of(records, cfg, for_account=False)) as everyone:
@@ -69,4 +72,9 @@ def write_reports(records: DataFrame, names: Iterable[str], cfg: UsageConfig, fo
                 table = report_table(both, analysis, cfg, weighted)
                 key = f"{name}{'_weighted' if weighted else ''}"
                 paths[key] = write_result(table, folder, prefix, name, weighted)
+        dictionary = inputs.get("dictionary")
+        if dictionary:
+            paths["Unidentified"] = write_result(unidentified_report(facts, dictionary, cfg), folder, prefix, "Unidentified")
+        quality = energy_quality(facts, cfg) if cfg.family == "energy" else node_power_quality(facts, cfg)
+        paths["Quality"] = write_result(quality, folder, prefix, "Quality")
     return paths
