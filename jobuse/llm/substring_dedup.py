@@ -130,6 +130,19 @@ def window_rows(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("key", "doc_id", "packed", "wanted").mapInArrow(look_up, "anchor long, hash long, key long, at int")
 
 
+def _on_hot(rows: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
+    """Join rows with what was counted by the same keys, some of which may be hot.
+
+    Counts lie by their keys already, so a plain join would shuffle the rows
+    alone; adaptive execution splits a hot key only between two shuffles. One more
+    key, implied by the others, brings the second shuffle (of the counts) about.
+    """
+    def parity(df: DataFrame) -> DataFrame:
+        return df.withColumn("parity", F.col(keys[-1]).bitwiseAND(F.lit(1)))
+
+    return parity(rows).join(parity(counted), [*keys, "parity"]).drop("parity")
+
+
 def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """``key, at, size, source`` of runs of windows that also start elsewhere.
 
@@ -140,7 +153,7 @@ def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFram
     source = F.when(place != F.col("least"), F.col("least")).alias("source")
     all_segments = segments(docs, window)
     blocks = all_segments.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    shared = written(all_segments.join(blocks, "anchor"), "segments")
+    shared = written(_on_hot(all_segments, blocks, ["anchor"]), "segments")
     equal = shared.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(place).alias("least"))
     kinds = equal.groupBy("anchor").agg(F.count("*").alias("kinds"))
     known = shared.join(equal.join(kinds, "anchor"), ["anchor", "whole"])
@@ -150,7 +163,7 @@ def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFram
     wanted = known.where("open and (first or not repeated)").groupBy("key").agg(F.collect_list("at").alias("wanted"))
     rows = window_rows(texts.join(wanted, "key"), window)
     index = rows.groupBy("anchor", "hash").agg(F.count("*").alias("n"), F.min(place).alias("least")).where("n > 1")
-    parts = rows.join(index, ["anchor", "hash"]).select("key", "at", F.lit(1).alias("size"), source)
+    parts = _on_hot(rows, index, ["anchor", "hash"]).select("key", "at", F.lit(1).alias("size"), source)
     return whole.unionByName(parts)
 
 
