@@ -27,11 +27,34 @@ def run(spark, sf_dir: str, name: str) -> float:
     return time.perf_counter() - start
 
 
+def yardstick(sf_dir: str, names: list[str], cpus: int, repeats: int) -> dict[str, float]:
+    """The same results from plain SQL in another engine, over the same files: what the machine can do."""
+    import duckdb
+
+    from catalog.oracles import ORACLES
+
+    con = duckdb.connect(config={"threads": cpus})
+    for table in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    times = {}
+    for name in names:
+        took = []
+        for _ in range(repeats + 1):
+            start = time.perf_counter()
+            con.execute(ORACLES[name]).fetchall()
+            took.append(time.perf_counter() - start)
+        times[name] = round(statistics.median(took[1:]), 3)
+    return times
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
+    if os.environ.get("BENCH_YARDSTICK"):
+        print(json.dumps(yardstick(sf_dir, names, cpus, repeats)))
+        return
     spark = local_session(cpus)
     times = {}
     for name in names:

@@ -150,13 +150,6 @@ def _who(rows: DataFrame, users: DataFrame | None, cfg: UsageConfig) -> DataFram
     return rows.join(named, F.col("user_name").eqNullSafe(F.col("_u")), "left").drop("_u")
 
 
-def with_significant_exe(facts: DataFrame, by_exe: DataFrame, dictionary: Dictionary,
-                         cfg: UsageConfig) -> DataFrame:
-    """Add ``big``: the executable's name where it is unidentified with significant use."""
-    big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
-    return lookup(facts, big, "exe_name")
-
-
 def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
     """Application label of rows with ``code``, ``big`` and ``who``: generic and
     significant unidentified executables carry the user."""
@@ -166,14 +159,19 @@ def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
         split_by_user(software, F.col("who")))
 
 
-def split_labels(dictionary: Dictionary, users: DataFrame | None, analysis: Analysis,
+def split_labels(dictionary: Dictionary, users: DataFrame | None, by_exe: DataFrame, analysis: Analysis,
                  cfg: UsageConfig) -> Labeller:
-    """Labels that carry the user. Which labels there are is settled by the rows
+    """Labels that carry the user, for rows grouped by executable and user.
+
+    ``by_exe`` is the use of each executable: unidentified ones with significant
+    use are labelled by their own name, which grouped rows look up. Which labels there are is settled by the rows
     of the first call, which must be all; a later call may see some of them only.
     """
     known: list[DataFrame] = []
+    big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
 
     def labeller(rows: DataFrame) -> DataFrame:
+        rows = lookup(rows.withColumn("code", definition_index(F.col("exe_name"), dictionary)), big, "exe_name")
         named = _who(rows, users, cfg).withColumn("split", split_label(dictionary, cfg))
         if analysis.match == "substring":
             if not known:
@@ -215,12 +213,11 @@ def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
                    "energy_j", _measure(analysis, cfg).column]
         columns += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
-        source |= {"user_name": F.col("user_name"), "big": F.col("big")}
+        source = {"exe_name": F.col("exe_name"), "user_name": F.col("user_name")}
         with stored(facts.select(*dict.fromkeys(columns))) as rows:
             if users is None and cfg.anonymise:
                 users = anonymous_users(rows if all_facts is None else all_facts)
-            rows = with_significant_exe(rows, cut(exe_use(rows)), dictionary, cfg)
-            labeller = split_labels(dictionary, users, analysis, cfg)
+            labeller = split_labels(dictionary, users, cut(exe_use(rows)), analysis, cfg)
             return _distribution(rows, source, analysis, labeller, cfg)
     if analysis.category == "Software":
         labeller = software_labels(dictionary, analysis, cfg)
