@@ -156,7 +156,7 @@ def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFram
     shared = written(_on_hot(all_segments, blocks, ["anchor"]), "segments")
     equal = shared.groupBy("anchor", "whole").agg(F.count("*").alias("n"), F.min(place).alias("least"))
     kinds = equal.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    known = shared.join(equal.join(kinds, "anchor"), ["anchor", "whole"])
+    known = shared.join(_on_hot(equal, kinds, ["anchor"]), ["anchor", "whole"])
     known = written(known.select("key", "at", "size", source, (F.col("n") > 1).alias("repeated"), (F.col("kinds") > 1).alias("open"),
                                  (place == F.col("least")).alias("first")), "known")
     whole = known.where("repeated").select("key", "at", "size", "source")
