@@ -60,6 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def _own_folder(spark: SparkSession) -> str:
     warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+    if not warehouse.startswith("/"):
+        raise RuntimeError("set spark.checkpoint.dir: the warehouse is not a local folder")
     try:
         os.makedirs(warehouse, exist_ok=True)
         folder = tempfile.mkdtemp(prefix="scratch-", dir=warehouse)
