@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 from jobuse.llm.words import LONG_WORD, string_hashes
 
-SLICE_BYTES = 2 << 20       # text handled at a time
+SLICE_BYTES = 4 << 20       # text handled at a time
 
 # Two white-space characters in a row, or one at the end, by the widest reading of white space.
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
@@ -30,7 +30,7 @@ FindAll = Callable[[str], list[str]]        # the pre-tokens of a text
 class Known:
     """Ids of the pieces met lately, as sorted arrays: two hashes of a piece lead to its run of ids."""
 
-    LIMIT = 500_000         # pieces; then it starts anew
+    LIMIT = 1_500_000         # pieces; then it starts anew
 
     def __init__(self):
         self.key = self.check = np.zeros(0, np.uint64)
