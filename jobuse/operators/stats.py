@@ -30,6 +30,7 @@ CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
 
 GRID = 65_536
+SUB_SLICES = 64
 QUARTERS = (1, 2, 3)
 
 # Kinds of grouped rows, by grouping_id() over (cell, user, project).
@@ -159,14 +160,22 @@ def _rank(k: int, up: bool) -> str:
     return f"{'ceil' if up else 'floor'}((tn - 1) * {k / 4}D)"
 
 
+def sized_part(value: str) -> Column:
+    """Parts of sizes, sixteen to an octave: never falls as the value grows."""
+    v = F.col(value)
+    return F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * 16)
+
+
 def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str = "w",
-            bounded: bool = False) -> DataFrame:
+            bounded: bool = False, part: Column | None = None) -> DataFrame:
     """Running counts and weights in value order; missing values come last.
 
     ``cn``/``cw`` run up to and including the row, ``tn``/``tw`` are the totals.
     Rows with a missing value keep their weight (an exact decimal) but have no
-    rank. Only where the cells of a key are ``bounded`` by construction does one
-    task add them up.
+    rank. ``cells`` is read twice, so it should be a written table. Each key is
+    added up in parts, in the order of ``part`` (which never falls as the value
+    grows), and the sums of the parts before are added. Only where the cells of a
+    key are ``bounded`` by construction does one task see them all.
     """
     ranked = F.expr(f"if({value} IS NOT NULL, {n}, 0)")
     weight = F.coalesce(F.col(w), _zero())
@@ -176,8 +185,8 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
         return cells.select(
             "*", F.sum(ranked).over(so_far).alias("cn"), F.sum(weight).over(so_far).cast(EXACT_SUM).alias("cw"),
             F.sum(ranked).over(whole).alias("tn"), F.sum(weight).over(whole).cast(EXACT_SUM).alias("tw"))
-    # Sort by range, add up inside each sorted part, then add the sums of the parts before.
-    parts = cut(cells.orderBy(*keys, ordered).withColumn("_part", F.spark_partition_id()))
+    last = F.lit(float("inf"))
+    parts = cells.withColumn("_part", F.coalesce((sized_part(value) if part is None else part).cast("double"), last))
     sums = parts.groupBy(*keys, "_part").agg(F.sum(ranked).alias("_n"), _added(weight).alias("_w"))
     earlier = (Window.partitionBy(*keys).orderBy("_part")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -190,8 +199,8 @@ def running(cells: DataFrame, value: str, keys: list[str], n: str = "n", w: str
     inside = parts.select("*", F.sum(ranked).over(so_far).alias("_cn"),
                           F.sum(weight).over(so_far).cast(EXACT_SUM).alias("_cw"))
     return inside.join(before, [*keys, "_part"]).select(
-        *cells.columns, (F.col("_n0") + F.col("_cn")).alias("cn"), (F.col("_w0") + F.col("_cw")).cast(EXACT_SUM).alias("cw"),
-        "tn", "tw")
+        *cells.columns, (F.col("_n0") + F.col("_cn")).alias("cn"),
+        (F.col("_w0") + F.col("_cw")).cast(EXACT_SUM).alias("cw"), "tn", "tw")
 
 
 def _up_to_row(keys: list[str], order: Column):
@@ -259,7 +268,7 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
 
 
 def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
-                       labeller: Callable[[DataFrame], DataFrame]) -> DataFrame:
+                       labeller: Callable[[DataFrame], DataFrame], upper: float) -> DataFrame:
     """Quartiles of a continuous measure: a second pass over the crossed slices.
 
     The result no longer reads ``base``.
@@ -272,8 +281,9 @@ def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
     values = cut(_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
                  .agg(F.sum("n").alias("n"), _added("w").alias("w"))
                  .join(crossed, [*_LABEL, "cell"], "inner"))
-    # A slice may be crowded: running sums check the size of what they are given.
-    run = running(values, "_v", [*_LABEL, "cell"]).select(
+    # A slice may be crowded, so it is cut again.
+    finer = F.floor(F.col("_v") * (SUB_SLICES * GRID / upper))
+    run = running(values, "_v", [*_LABEL, "cell"], part=finer).select(
         *_LABEL, "_v", "w", F.col("all_n").alias("tn"), F.col("all_w").alias("tw"),
         (F.col("n0") + F.col("cn")).alias("cn"), (F.col("w0") + F.col("cw")).cast(EXACT_SUM).alias("cw"))
     picked = run.groupBy(*_LABEL).agg(*rank_picks("_v"), *weight_picks("_v"))
@@ -298,7 +308,7 @@ def distribution(facts: DataFrame, source: dict[str, Column], measure: Measure,
     else:
         with stored(base) as table:
             cells = cut(cells_of(grouped_rows(table, names, True), labeller))
-            quartiles = _refined_quartiles(cells, table, names, labeller)
+            quartiles = _refined_quartiles(cells, table, names, labeller, measure.upper)
         rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
         F.coalesce(_added("all_w"), _zero()).cast("double").alias("w"),
