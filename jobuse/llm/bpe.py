@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from jobuse.llm.common import small_batches, worker_state
-from jobuse.llm.pieces import Known, encode_array, flat_lists, gathered
+from jobuse.llm.pieces import SLICE_BYTES, Known, encode_array, flat_lists, gathered
 
 FIRST_CHAR = 0x100
 UNKNOWN, BPE_MODEL = 2, 2       # enum values of the sentencepiece model format
@@ -79,7 +79,7 @@ class Codec:
     def __init__(self, model: bytes, pattern: str):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.find_all = regex.compile(pattern).findall
-        self.known = Known()
+        self.known, self.slice_bytes = Known(), SLICE_BYTES
 
     def encode_new(self, tokens: list[str]) -> list[list[int]]:
         return self.processor.encode([t.encode().decode("latin-1").translate(_TO_CHARS) for t in tokens], num_threads=1)

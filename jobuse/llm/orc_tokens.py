@@ -41,7 +41,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.find_all = regex.compile(pattern).findall
         self.alphabet = byte_alphabet()
-        self.known = Known()
+        # This library takes longer for a new piece, so more memory goes into knowing pieces.
+        self.known, self.slice_bytes = Known(1_500_000), 4 << 20
 
     def encode_new(self, tokens: list[str]) -> list[list[int]]:
         encode, space = self.tokenizer.model.tokenize, chr(self.alphabet[0x20])

@@ -32,7 +32,8 @@ class Known:
 
     LIMIT = 500_000         # pieces; then it starts anew
 
-    def __init__(self):
+    def __init__(self, limit: int | None = None):
+        self.limit = limit or self.LIMIT
         self.key = self.check = np.zeros(0, np.uint64)
         self.start = self.size = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -45,8 +46,8 @@ class Known:
         return np.where((self.key[at] == key) & (self.check[at] == check), at, -1)
 
     def add(self, key: np.ndarray, check: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
-        if len(self.key) + len(key) > self.LIMIT:
-            self.__init__()
+        if len(self.key) + len(key) > self.limit:
+            self.__init__(self.limit)
         order = np.argsort(key)
         start = len(self.ids) + np.cumsum(size) - size
         at = np.searchsorted(self.key, key[order])
@@ -162,9 +163,9 @@ def encode_array(texts: pa.Array, coder) -> pa.Array:
     """Token ids of each text as ``list<int32>``; a null text has none.
 
     ``coder`` has ``find_all`` (the pre-tokens of a text), ``encode_new`` (the
-    ids of distinct pre-tokens) and ``known``, a ``Known``.
+    ids of distinct pre-tokens), ``known``, a ``Known``, and ``slice_bytes``.
     """
-    parts = [encode_slice(t, coder) for t in text_slices(texts)]
+    parts = [encode_slice(t, coder) for t in text_slices(texts, coder.slice_bytes)]
     pa.default_memory_pool().release_unused()
     ids = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.uint32)])
     lengths = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.int64)])
