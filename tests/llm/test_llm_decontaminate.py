@@ -108,3 +108,48 @@ def test_odd_documents(spark):
     odd.same([tuple(r) for r in d.clean(docs, none).collect()], rows)
     assert d.contaminated(odd.empty(spark), benchmark).collect() == []
     assert np.array_equal(d.fold(["A  b!", "", "ß\U0001F642"])[2], [0, 4, 5, 8]) or d.fold(["A  b!", "", "ß"])[2][0] == 0
+
+
+def test_excerpts_and_replaced_words_are_found():
+    rng = random.Random(9)
+    items = [(k, sentence(rng, n)) for k, n in enumerate([17] * 20 + [40] * 20 + [80] * 20)]
+    index = d.Index(items, d.Filter())
+    texts, want = [], []
+    for item, text in items:
+        words, half = text.split(), len(text) // 2
+        place = rng.randrange(max(1, len(text) - 150))
+        replaced = [sentence(rng, 1) if k % 10 == 4 else w for k, w in enumerate(words)]
+        for part in (text[:half], text[half:], text[place: place + 150], text[-40:], " ".join(replaced), " ".join(edited(rng, w, 1) if k % 10 == 7 else w for k, w in enumerate(words))):
+            if len(part.strip()) >= 38:
+                texts.append(f"{sentence(rng, 30)} {part} {sentence(rng, 30)}")
+                want.append(item)
+    found = index.matches(texts)
+    assert [w for w, spans in zip(want, found) if w not in {s[0] for s in spans}] == []
+    assert all({s[0] for s in spans} == {w} for w, spans in zip(want, found))
+
+
+def test_any_excerpt_of_38_characters_is_found():
+    rng = random.Random(10)
+    text = sentence(rng, 60)
+    index = d.Index([(1, text)], d.Filter())
+    excerpts = [text[k: k + 38] for k in range(len(text) - 37)]
+    assert all(index.matches([f"{sentence(rng, 5)}{x}{sentence(rng, 5)}" for x in excerpts if x.strip() == x]))
+
+
+def test_short_items_match_exactly_as_whole_words():
+    items = [(1, "Why, six?"), (2, "why six"), (3, "!!"), (4, "日本語"), (5, "a"), (6, "one little item, under 32 chars")]
+    index = d.Index(items, d.Filter())
+    texts = ["so: WHY SIX", "why sixty", "これは日本語です", "a b", "", "x one  little item under 32 chars y", "one little item under 32 char"]
+    assert [sorted({s[0] for s in spans}) for spans in index.matches(texts)] == [[1, 2], [], [4], [5], [], [6], []]
+    assert index.matches(["so: WHY -- SIX!"])[0][0] == (1, 4, 14, 0)
+
+
+def test_parts_of_a_slice_find_the_same(monkeypatch):
+    rng = random.Random(11)
+    items = [(k, sentence(rng, 30)) for k in range(6)]
+    index = d.Index(items, d.Filter())
+    texts = [sentence(rng, 20) + " " + edited(rng, items[k % 6][1], k) + " " + items[5 - k % 6][1] for k in range(30)]
+    whole = index.matches(texts)
+    monkeypatch.setattr(d, "ENTRIES", 100)
+    monkeypatch.setattr(d, "ALIGNED", 3)
+    assert index.matches(texts) == whole and all(whole)
