@@ -6,6 +6,9 @@ and Bloom filters on document ids. Readers take stripes in parallel, read only
 the columns they need, and skip stripes and row groups by the indexes when they
 look for documents.
 
+Texts are encoded as the tokenizers library encodes them without special tokens
+added: a text that spells an added token has that token's id there.
+
 Null and empty texts have the end id alone. Rows are ordered by id (null first),
 then by a hash of the text; repeated rows each keep a place of their own. Other
 columns are not written. An empty table gives files without rows.
@@ -16,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zlib
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -43,6 +47,13 @@ class Encoder:
         self.alphabet = byte_alphabet()
         # This library takes longer for a new piece, so more memory goes into knowing pieces.
         self.known, self.slice_bytes = Known(1_500_000), 4 << 20
+        added = {k: t for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.content}
+        self.added = {t.content: k for k, t in added.items()}
+        self.any_added = "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))     # the longest one counts
+        self.split_added = regex.compile(f"({self.any_added})").split
+        # Other tokens than these take in white space, or depend on what is around them.
+        self.literal = (self.tokenizer.normalizer is None and len({t.normalized for t in added.values()}) < 2
+                        and not any(t.single_word or t.lstrip or t.rstrip for t in added.values()))
 
     def encode_new(self, tokens: list[str]) -> list[list[int]]:
         encode, space = self.tokenizer.model.tokenize, chr(self.alphabet[0x20])
@@ -50,6 +61,28 @@ class Encoder:
                  for t in tokens)
         return [[x.id for x in encode(t)] for t in plain]
 
+    def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's begin (and the last end). Texts are cut at added tokens."""
+        texts = pc.fill_null(texts, "")
+        holds = pc.match_substring_regex(texts, self.any_added) if self.added else pa.array([], pa.bool_())
+        if not pc.any(holds).as_py():
+            lists = encode_array(texts, self)
+            return np.asarray(lists.values), np.asarray(lists.offsets)
+        parts, after, counts = [], [], []           # parts of ordinary text, and the ids that follow each
+        for text, held in zip(texts.to_pylist(), holds.to_pylist()):
+            if held and not self.literal:
+                cut, ids = [""], [self.tokenizer.encode(text, add_special_tokens=False).ids]
+            else:
+                cut = self.split_added(text) if held else [text]
+                cut, ids = cut[::2], [[self.added[x]] for x in cut[1::2]] + [[]]
+            parts += cut
+            after += ids
+            counts.append(len(cut))
+        lists = encode_array(pa.array(parts, pa.large_string()), self)
+        ends, more = np.asarray(lists.offsets).astype(np.int64), np.array([len(x) for x in after])
+        values = np.insert(np.asarray(lists.values), np.repeat(ends[1:], more), np.array([k for x in after for k in x], np.int32))
+        return values, (ends + np.concatenate([[0], np.cumsum(more)]))[np.concatenate([[0], np.cumsum(counts)])]
+
 
 def _encoder(definition: str, pattern: str) -> Encoder:
     state = worker_state()
@@ -59,7 +92,7 @@ def _encoder(definition: str, pattern: str) -> Encoder:
 
 
 def with_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int, text_col: str = "text", ids_col: str = "tokens") -> DataFrame:
-    """``docs`` with the ids of each text, ``end_id`` last; text that spells a special token is ordinary text."""
+    """``docs`` with the ids of each text, ``end_id`` last."""
     small_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())     # as large as the vocabulary
@@ -67,8 +100,7 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = _encoder(definition.value, pattern)
         for texts in batches:
-            lists = encode_array(texts, encoder)
-            values, ends = np.asarray(lists.values), np.asarray(lists.offsets)
+            values, ends = encoder.encode_texts(texts)
             values = np.insert(values, ends[1:], end_id)
             yield pa.ListArray.from_arrays(pa.array((ends + np.arange(len(ends))).astype(np.int32)), pa.array(values, pa.int32()))
 

@@ -7,7 +7,7 @@ import pyarrow.orc
 import pytest
 import public_tokenizers
 import tiktoken
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from jobuse.llm import bpe, flat_tokens, orc_tokens, queries
 from jobuse.llm.common import scratch
@@ -116,3 +116,29 @@ def test_empty_tables(spark, ranks, tmp_path):
     folder = scratch(spark, "flat")
     ledger = flat_tokens.write(docs, folder, ranks, public_tokenizers.PATTERN, queries.END_OF_TEXT)
     assert ledger.join(flat_tokens.count_tokens(spark, folder, "<u2", queries.END_OF_TEXT), ["file", "ord"], "full").collect() == []
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "word<|endoftext|>word  ", "  <|endoftext|><|endoftext|>\n\n<|endoftext|> x", "<|endoftext", "é <|endoftext|>é",
+         "no token", "", None, "<|endoftext|> don't  <|endoftext|>\t"]
+
+
+def test_added_tokens_are_those_of_the_library(spark, tmp_path):
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    path = str(tmp_path / "tokens")
+    docs = spark.createDataFrame([*enumerate(ADDED)], "doc_id long, text string").coalesce(1)
+    orc_tokens.write(docs, path, queries.TOKENIZER, public_tokenizers.PATTERN, end_id=0)
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in ADDED]
+    assert 50256 in expected[0]
+    assert [r["tokens"] for r in orc_tokens.read(spark, path).orderBy("doc_id").collect()] == expected
+    found = orc_tokens.positions(spark, path).orderBy("doc_id").select("start", "n_tokens", "ids_crc32").collect()
+    assert [tuple(r) for r in found] == [(sum(map(len, expected[:k])), len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(expected)]
+
+
+@pytest.mark.parametrize("more", [[], ["<|endoftext|>x", "don"], [AddedToken("<mask>", lstrip=True), AddedToken("one", single_word=True)]])
+def test_other_added_tokens(more):
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    tokenizer.add_tokens([AddedToken(t, normalized=False) if isinstance(t, str) else t for t in more])
+    encoder = orc_tokens.Encoder(tokenizer.to_str(), public_tokenizers.PATTERN)
+    texts = [*(t or "" for t in ADDED), "a<|endoftext|>x <mask> one someone  <mask>"]
+    ids, ends = encoder.encode_texts(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
