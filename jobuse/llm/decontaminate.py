@@ -33,7 +33,7 @@ from jobuse.llm.common import small_batches, unused, worker_state
 from jobuse.llm.pieces import text_slices
 from jobuse.llm.words import BYTE_STEP, Sums
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 FILTER_BITS = 20
 ENTRIES = 4_000_000         # shared q-grams counted at a time
 ALIGNED = 20_000            # bands aligned at a time
