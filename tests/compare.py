@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import math
 import os
 import sys
@@ -11,13 +12,12 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from catalog.fixtures import TABLES  # noqa: E402
-
 
 def connect(sf_dir: str):
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {os.path.basename(path).removesuffix('.parquet')} AS SELECT * FROM '{files}'")
     return con
 
 
