@@ -5,6 +5,8 @@ Everything here is a built-in expression, so it stays inside generated code.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from jobuse.config import UsageConfig
@@ -48,22 +50,40 @@ def finite(col: Column) -> Column:
 
 # Use is whole unit-seconds and energy 1/128 J where it is prorated, so seven
 # digits hold both, and sums do not depend on how rows are spread.
-EXACT, EXACT_SUM = "decimal(28,7)", "decimal(38,7)"
+EXACT_SUM = "decimal(38,7)"
+
+# A measure is added up as three whole numbers, which stay in primitive fields of
+# the aggregation buffer: multiples of 2**23, the rest below that, and the
+# fraction in units of 10**-7. Each sum has room for some 10**11 rows.
+LIMB = 1 << 23
+UNITS = 10 ** 7
+LARGEST = 1e21      # what is beyond is missing, as is infinity
+
+
+def limbs(value: Column) -> tuple[Column, Column, Column]:
+    """The three parts of a measure; every step is exact in a double."""
+    value = F.when(F.abs(value) < LARGEST, value)
+    high = F.floor(value / LIMB)
+    rest = value - high.cast("double") * LIMB
+    whole = F.floor(rest)
+    return high, whole, F.round((rest - whole.cast("double")) * UNITS).cast("bigint")
+
 
+def from_limbs(high: Column, whole: Column, units: Column) -> Column:
+    """The decimal that three sums of parts stand for; NULL of nothing."""
+    def d(c: Column) -> Column:
+        return c.cast("decimal(20,0)")
+    return (d(high) * F.lit(Decimal(LIMB)) + d(whole) + d(units) * F.lit(Decimal(1) / UNITS)).cast(EXACT_SUM)
 
-def exact(value: Column) -> Column:
-    """A measure as a decimal that adds up without rounding; missing where it is infinite.
 
-    Whole part and fraction are converted apart, as neither then loses digits.
-    """
-    whole = F.floor(value)
-    parts = whole.cast(EXACT) + (value - whole).cast(EXACT)
-    return F.when(F.abs(value) < 1e18, parts.cast(EXACT)).otherwise(value.try_cast(EXACT))
+def added(value: Column) -> Column:
+    """The exact sum of a measure, NULL of nothing."""
+    return from_limbs(*(F.sum(part) for part in limbs(value)))
 
 
 def exact_sum(value: Column) -> Column:
     """The exact sum of a measure, zero of nothing."""
-    return F.coalesce(F.sum(exact(value)).cast(EXACT_SUM), F.lit(0).cast(EXACT_SUM))
+    return F.coalesce(added(value), F.lit(0).cast(EXACT_SUM))
 
 
 # ---- identifiers ------------------------------------------------------------

@@ -34,14 +34,26 @@ def dense_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
         *df.columns, (F.col("_before") + F.col("_at")).alias(name))
 
 
-def anonymous_users(facts: DataFrame) -> DataFrame:
-    """(user_name, anon_user): ``user{i}`` by first appearance; a null user counts.
+def first_seen() -> Column:
+    """Where a group of facts appears first, as an aggregate.
 
     Appearance follows the order of the assembled table: steps before step-less
     jobs, then job and step id, both by number.
     """
-    first = facts.groupBy("user_name").agg(
-        F.min(F.struct("src", "job_id", step_order(F.col("sub_job_id")))).alias("_first"))
+    return F.min(F.struct("src", "job_id", step_order(F.col("sub_job_id")))).alias("_first")
+
+
+def anonymous_users(facts: DataFrame) -> DataFrame:
+    """(user_name, anon_user): ``user{i}`` by first appearance; a null user counts."""
+    return _in_order(facts.groupBy("user_name").agg(first_seen()))
+
+
+def users_in_order(grouped: DataFrame) -> DataFrame:
+    """``anonymous_users`` of grouped facts that have kept ``first_seen``."""
+    return _in_order(grouped.groupBy("user_name").agg(F.min("_first").alias("_first")))
+
+
+def _in_order(first: DataFrame) -> DataFrame:
     index = dense_index(first, [F.col("_first").asc(), F.col("user_name").asc()], "_index")
     return index.select("user_name", F.concat(F.lit("user"), F.col("_index")).alias("anon_user"))
 

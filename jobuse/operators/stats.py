@@ -1,30 +1,33 @@
 """Per-category distribution statistics.
 
-Facts are read once and reduced to *cells*: rows, use and energy by (label,
-value), plus the distinct users and projects of each label. All statistics come
-from the cells, so no task ever sees the rows of a category, not even those of
-``Overall``:
-
-* ``GROUPING SETS`` gives the value histogram and the distinct members (user,
-  project) in one pass with map-side combining;
-* labels are attached to the grouped rows - a row may have several labels, and
-  ``Overall`` is one of them - and the grouped rows are combined again;
+Facts are read once and reduced to *cells*: rows, use and energy by (category
+source, value), plus the distinct members (user, project) of each source. All
+statistics come from the cells, so no task ever sees the rows of a category, not
+even those of ``Overall``:
+
+* a ``Cube`` is one ``GROUPING SETS`` pass with map-side combining, for one report
+  or for all reports of a run: a set for the value histogram of each source and
+  measure, and one for the members of each source;
+* labels are attached to the grouped rows of a report - a row may have several
+  labels, and ``Overall`` is one of them - and the grouped rows are combined again;
 * quartiles are read off running sums over the cells of a label.
 
 Sizes have few distinct values: a cell is one value, and running sums are taken
-part by part, however many there are. Node power is continuous: a cell is one of ``GRID`` equal slices of the plausible range, and a second pass
-looks only at the slices in which a quartile falls.
+part by part, however many there are. Node power is continuous: a cell is one of
+``GRID`` equal slices of the plausible range, and a second pass, again one for all
+reports, looks only at the slices in which a quartile falls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from jobuse.functions.scalars import EXACT_SUM, exact
-from jobuse.session import cut, stored
+from jobuse.functions.scalars import EXACT_SUM, from_limbs, limbs
+from jobuse.session import cut, removed, stored, written
 
 CATEGORY, UNIDENTIFIED, OVERALL = 0, 1, 2
 OVERALL_LABEL, UNIDENTIFIED_LABEL = "Overall", "Unidentified"
@@ -33,8 +36,8 @@ GRID = 65_536
 SUB_SLICES = 64
 QUARTERS = (1, 2, 3)
 
-# Kinds of grouped rows, by grouping_id() over (cell, user, project).
-BY_CELL, BY_MEMBER = 0b011, 0b100
+# Kinds of grouped rows.
+BY_CELL, BY_MEMBER = 0, 1
 
 LABELS = T.ArrayType(T.StructType([
     T.StructField("grp", T.IntegerType()),
@@ -50,9 +53,7 @@ class Measure:
     column: str
     upper: float | None = None
 
-    @property
-    def cell(self) -> Column:
-        value = F.col("_v")
+    def cell(self, value: Column) -> Column:
         if self.upper is None:
             return value
         slot = F.floor(value * (GRID / self.upper)).cast("double")
@@ -73,6 +74,15 @@ def only_label(text: Column) -> Column:
     return F.when(text.isNotNull(), F.array(label(CATEGORY, text))).otherwise(no_labels())
 
 
+def parts_of(measure: str, name: str) -> list[Column]:
+    """A measure of a fact row, ready to be added up exactly."""
+    return [part.alias(f"_{name}{k}") for k, part in enumerate(limbs(F.col(measure)))]
+
+
+def sum_of_parts(name: str) -> Column:
+    return from_limbs(*(F.sum(f"_{name}{k}") for k in range(3)))
+
+
 def _added(value: Column | str) -> Column:
     """A sum of exact decimals, NULL of nothing."""
     return F.sum(value).cast(EXACT_SUM)
@@ -88,37 +98,120 @@ def _exploded(labelled: DataFrame) -> DataFrame:
         "*", "_l.grp", "_l.label", "_l.own").drop("_l", "labels")
 
 
-def _base(facts: DataFrame, source: dict[str, Column], measure: Measure,
-          keep: Column | None) -> DataFrame:
-    """Category source, value, members and weights of each fact row.
+@dataclass(frozen=True)
+class Report:
+    """A distribution to be made.
+
+    ``source`` are the columns that a label depends on; ``labeller`` adds a
+    ``labels`` array to rows that carry them. ``keep`` restricts the statistics
+    but not the totals that shares refer to; it goes with the measure.
+    """
+
+    source: dict[str, Column]
+    measure: Measure
+    labeller: Callable[[DataFrame], DataFrame]
+    keep: Column | None = None
+
+
+def base_rows(facts: DataFrame, reports: list[Report]) -> DataFrame:
+    """What reports need of each fact row: sources, members, parts of the sums, and each measure.
 
-    Rows outside ``keep`` have no value and no members; they count only towards
-    the grand totals that shares are taken of.
+    Of measure k there are the value ``_v{k}``, its ``cell{k}`` and whether the row is
+    ``_in{k}``; rows outside have no value, and count only towards grand totals. Facts that were
+    grouped before (``pregrouped``) bring their own count and parts.
     """
-    inside = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    sources = {name: c for r in reports for name, c in r.source.items()}
+    given = "_n" in facts.columns
+    sums = [F.col(c) for c in SUMS] if given else [F.lit(1).cast("bigint").alias("_n"), *parts_of("use_s", "w"), *parts_of("energy_j", "e")]
+    values = []
+    for k, r in enumerate(_measures(reports)):
+        inside = F.lit(True) if r.keep is None else F.coalesce(r.keep, F.lit(False))
+        value = F.col(r.measure.column).cast("double")
+        values += [inside.alias(f"_in{k}"), (value if r.keep is None else F.when(inside, value)).alias(f"_v{k}")]
+    rows = facts.select(*[c.alias(name) for name, c in sources.items()], F.col("user_name").alias("_user"),
+                        F.col("project_id").alias("_project"), *sums, *values)
+    return rows.withColumns({f"cell{k}": r.measure.cell(F.col(f"_v{k}")) for k, r in enumerate(_measures(reports))})
 
-    def kept(column: str) -> Column:
-        return F.col(column) if keep is None else F.when(inside, F.col(column))
 
-    return facts.select(
-        *[c.alias(name) for name, c in source.items()], inside.alias("_in"),
-        kept(measure.column).cast("double").alias("_v"),
-        kept("user_name").alias("_user"), kept("project_id").alias("_project"),
-        exact(F.col("use_s")).alias("_w"), exact(F.col("energy_j")).alias("_e"),
-    ).withColumn("cell", measure.cell)
+SUMS = ["_n", *(f"_{m}{k}" for m in "we" for k in range(3))]
 
 
-def grouped_rows(base: DataFrame, source: list[str], continuous: bool) -> DataFrame:
-    """The pass over all rows, by category source instead of label."""
-    common = [F.col(name) for name in source] + [F.col("_in")]
-    members = [F.col("_user"), F.col("_project")]
-    sets = [common + [F.col("cell")], common + members]
-    # A cell of a discrete measure is its own extreme.
-    rows = base.groupingSets(sets, *common, F.col("cell"), *members).agg(
-        F.grouping_id().bitwiseAND(F.lit(7)).alias("gid"), F.count("*").alias("n"),
-        _added("_w").alias("w"), _added("_e").alias("e"),
-        *([F.min("_v").alias("lo"), F.max("_v").alias("hi")] if continuous else []))
-    return rows if continuous else rows.withColumns({"lo": F.col("cell"), "hi": F.col("cell")})
+def pregrouped(facts: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
+    """Facts with one row for each combination of ``keys``: for reports that read them several times."""
+    sums = [F.lit(1).cast("bigint").alias("_n"), *parts_of("use_s", "w"), *parts_of("energy_j", "e")]
+    return facts.select("*", *sums).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *extra)
+
+
+def _measures(reports: list[Report]) -> list[Report]:
+    """One report for each measure."""
+    return list({r.measure: r for r in reports}.values())
+
+
+class Cube:
+    """The pass over all rows for a set of reports, by category source instead of label.
+
+    ``base`` (see ``base_rows``) is read once for the cells and members, and once
+    more where a measure is continuous. With several reports the grouped rows are
+    a table in the shared folder; ``close`` removes it.
+    """
+
+    def __init__(self, base: DataFrame, reports: list[Report]):
+        self.base, self.reports, self.tables = base, reports, []
+        self.place = {r.measure: k for k, r in enumerate(_measures(reports))}
+        continuous = [k for m, k in self.place.items() if m.upper is not None]
+        self.sets = {}
+        for r in reports:
+            k, names = self.place[r.measure], tuple(r.source)
+            self.sets[names, k] = [*names, f"_in{k}", f"cell{k}"]
+            flags = {f"_in{self.place[x.measure]}" for x in reports if tuple(x.source) == names}
+            self.sets[names, "members"] = [*names, *sorted(flags), "_user", "_project"]
+        extremes = [f(f"_v{k}").alias(f"{n}{k}") for k in continuous for n, f in (("lo", F.min), ("hi", F.max))]
+        self.rows = self._grouped(base, self.sets, F.sum("_n").alias("n"), sum_of_parts("w").alias("w"),
+                                  sum_of_parts("e").alias("e"), *extremes)
+
+    def _grouped(self, rows: DataFrame, sets: dict, *sums: Column) -> DataFrame:
+        names = list(dict.fromkeys(c for s in sets.values() for c in s))
+        grouped = rows.groupingSets([[F.col(c) for c in s] for s in sets.values()], *[F.col(c) for c in names]).agg(
+            F.grouping_id().cast("bigint").alias("gid"), *sums)
+        # Spark's id has a bit for each column that a set leaves out, the first column highest.
+        self.ids = {**getattr(self, "ids", {}), **{
+            key: sum(1 << (len(names) - 1 - k) for k, c in enumerate(names) if c not in s) for key, s in sets.items()}}
+        if len(self.reports) == 1:
+            return grouped
+        self.tables.append(written(grouped, "gid"))
+        return self.tables[-1]
+
+    def cells(self, report: Report) -> DataFrame:
+        """The cells of a report, by label."""
+        k, names = self.place[report.measure], tuple(report.source)
+        nobody, gid = F.lit(None).cast("string"), F.col("gid")
+        own = gid == F.lit(self.ids[names, k])
+        member = gid == F.lit(self.ids[names, "members"])
+        low, high = (f"cell{k}",) * 2 if report.measure.upper is None else (f"lo{k}", f"hi{k}")
+        inside = F.col(f"_in{k}")
+        rows = self.rows.filter(own | member).select(
+            *names, inside.alias("_in"), F.when(own, F.lit(BY_CELL)).otherwise(F.lit(BY_MEMBER)).alias("gid"),
+            F.when(own, F.col(f"cell{k}")).alias("cell"),
+            F.when(member & inside, F.col("_user")).otherwise(nobody).alias("_user"),
+            F.when(member & inside, F.col("_project")).otherwise(nobody).alias("_project"),
+            "n", "w", "e", F.when(own, F.col(low)).alias("lo"), F.when(own, F.col(high)).alias("hi"))
+        return cells_of(rows, report.labeller)
+
+    def values(self, measure: Measure, crossed: list[DataFrame]) -> dict[tuple, DataFrame]:
+        """By source: the values of a continuous measure in slices that some report crosses, with counts and use."""
+        k = self.place[measure]
+        slices = reduce(DataFrame.unionByName, [c.select("cell") for c in crossed])
+        # At most GRID distinct slices exist, whatever the data: safe to broadcast.
+        slices = F.broadcast(slices.distinct().withColumnRenamed("cell", f"cell{k}"))
+        sources = {tuple(r.source) for r in self.reports if r.measure == measure}
+        sets = {(names, "values", k): [*names, f"cell{k}", f"_v{k}"] for names in sorted(sources)}
+        rows = self._grouped(self.base.join(slices, f"cell{k}"), sets, F.sum("_n").alias("n"), sum_of_parts("w").alias("w"))
+        return {names: rows.filter(F.col("gid") == F.lit(self.ids[names, "values", k])).select(
+            *names, F.col(f"cell{k}").alias("cell"), F.col(f"_v{k}").alias("_v"), "n", "w") for names in sources}
+
+    def close(self) -> None:
+        for table in self.tables:
+            removed(table)
 
 
 def cells_of(grouped: DataFrame, labeller: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -267,17 +360,11 @@ def _crossed_cells(cells: DataFrame) -> DataFrame:
         (F.col("cw") - weight).cast(EXACT_SUM).alias("w0"), F.col("tn").alias("all_n"), F.col("tw").alias("all_w"))
 
 
-def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
-                       labeller: Callable[[DataFrame], DataFrame], upper: float) -> DataFrame:
-    """Quartiles of a continuous measure: a second pass over the crossed slices.
+def _refined_quartiles(crossed: DataFrame, rows: DataFrame, labeller: Callable[[DataFrame], DataFrame], upper: float) -> DataFrame:
+    """Quartiles of a continuous measure from the values (``rows``) in the crossed slices.
 
-    The result no longer reads ``base``.
+    The result no longer reads ``rows``.
     """
-    crossed = _crossed_cells(cells)
-    # At most GRID distinct slices exist, whatever the data: safe to broadcast.
-    slices = F.broadcast(crossed.select("cell").distinct())
-    rows = (base.join(slices, "cell").groupBy(*source, "cell", "_v")
-            .agg(F.count("*").alias("n"), _added("_w").alias("w")))
     values = cut(_exploded(labeller(rows)).groupBy(*_LABEL, "cell", "_v")
                  .agg(F.sum("n").alias("n"), _added("w").alias("w"))
                  .join(crossed, [*_LABEL, "cell"], "inner"))
@@ -292,23 +379,43 @@ def _refined_quartiles(cells: DataFrame, base: DataFrame, source: list[str],
 
 # ---- the distribution table -----------------------------------------------------
 
-def distribution(facts: DataFrame, source: dict[str, Column], measure: Measure,
-                 labeller: Callable[[DataFrame], DataFrame], divisor: float,
-                 keep: Column | None = None) -> DataFrame:
-    """One row per label: extremes, both kinds of quartiles, sums, shares, members.
+def distribution(facts: DataFrame, report: Report, divisor: float) -> DataFrame:
+    """One row per label: extremes, both kinds of quartiles, sums, shares, members."""
+    return distributions(facts, [report], divisor)[0]
+
+
+def distributions(facts: DataFrame, reports: list[Report], divisor: float, is_stored: bool = False) -> list[DataFrame]:
+    """The distributions of several reports from one pass over the facts (two with a continuous measure).
 
-    ``source`` are the columns a label depends on; ``labeller`` adds a ``labels``
-    array to rows that carry them. ``keep`` restricts the statistics, but not the
-    totals that shares refer to.
+    Facts that are cheap to read (``is_stored``) are read again for the second
+    pass; others are cut down to what is needed and stored in between.
     """
-    base, names = _base(facts, source, measure, keep), list(source)
-    if measure.upper is None:
-        cells = cut(cells_of(grouped_rows(base, names, False), labeller))
+    base = base_rows(facts, reports)
+    if is_stored or all(r.measure.upper is None for r in reports):
+        return _from_cube(Cube(base, reports), reports, divisor)
+    with stored(base) as table:
+        return _from_cube(Cube(table, reports), reports, divisor)
+
+
+def _from_cube(cube: Cube, reports: list[Report], divisor: float) -> list[DataFrame]:
+    cells = [cut(cube.cells(r)) for r in reports]
+    quartiles: list[DataFrame | None] = [None] * len(reports)
+    for measure in {r.measure for r in reports if r.measure.upper is not None}:
+        at = [k for k, r in enumerate(reports) if r.measure == measure]
+        crossed = {k: cut(_crossed_cells(cells[k])) if len(at) > 1 else _crossed_cells(cells[k]) for k in at}
+        values = cube.values(measure, list(crossed.values()))
+        for k in at:
+            r = reports[k]
+            quartiles[k] = _refined_quartiles(crossed[k], values[tuple(r.source)], r.labeller, measure.upper)
+    cube.close()
+    return [_table(c, q, divisor) for c, q in zip(cells, quartiles)]
+
+
+def _table(cells: DataFrame, quartiles: DataFrame | None, divisor: float) -> DataFrame:
+    """The distribution from the cells, and the quartiles where cells are not single values."""
+    if quartiles is None:
         rows = _exact_quartiles(cells)
     else:
-        with stored(base) as table:
-            cells = cut(cells_of(grouped_rows(table, names, True), labeller))
-            quartiles = _refined_quartiles(cells, table, names, labeller, measure.upper)
         rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
         F.coalesce(_added("all_w"), _zero()).cast("double").alias("w"),

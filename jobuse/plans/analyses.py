@@ -13,7 +13,7 @@ from jobuse.operators import stats
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
-from jobuse.operators.identity import anonymous_users, exe_use, significant_exes, split_by_user
+from jobuse.operators.identity import anonymous_users, first_seen, significant_exes, split_by_user, users_in_order
 from jobuse.operators.joins import lookup
 from jobuse.session import cut, stored, written
 from jobuse.sources.definitions import Dictionary
@@ -198,27 +198,12 @@ def _measure(analysis: Analysis, cfg: UsageConfig) -> stats.Measure:
     return stats.Measure(cfg.size_measure)
 
 
-def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
-                    dictionary: Dictionary | None = None, areas: DataFrame | None = None,
-                    users: DataFrame | None = None, all_facts: DataFrame | None = None) -> DataFrame:
-    """Both distributions of one analysis in one frame (see ``stats.distribution``).
-
-    User labels and motif words are taken before the restriction to a project:
-    ``all_facts`` are the facts without it (by default the facts themselves).
-    """
+def _report(facts: DataFrame, analysis: Analysis, cfg: UsageConfig, dictionary: Dictionary | None = None,
+            areas: DataFrame | None = None, all_facts: DataFrame | None = None) -> stats.Report:
+    """What a report groups by, measures and labels (those whose labels do not carry the user)."""
     source = {}
     if dictionary is not None:
         source = {"code": definition_index(F.col("exe_name"), dictionary)}
-    if analysis.category == "Software" and cfg.user_split:
-        columns = ["src", "job_id", "sub_job_id", "exe_name", "user_name", "project_id", "use_s",
-                   "energy_j", _measure(analysis, cfg).column]
-        columns += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
-        source = {"exe_name": F.col("exe_name"), "user_name": F.col("user_name")}
-        with stored(facts.select(*dict.fromkeys(columns))) as rows:
-            if users is None and cfg.anonymise:
-                users = anonymous_users(rows if all_facts is None else all_facts)
-            labeller = split_labels(dictionary, users, cut(exe_use(rows)), analysis, cfg)
-            return _distribution(rows, source, analysis, labeller, cfg)
     if analysis.category == "Software":
         labeller = software_labels(dictionary, analysis, cfg)
     elif analysis.category == "Motif":
@@ -233,12 +218,57 @@ def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         source, labeller = {"cpu_freq": F.col("cpu_freq")}, column_labels("cpu_freq")
     else:
         raise ValueError(f"unknown category {analysis.category!r}")
-    return _distribution(facts, source, analysis, labeller, cfg)
+    return stats.Report(source, _measure(analysis, cfg), labeller, is_full_node(cfg) if analysis.full_node(cfg) else None)
+
+
+def distributions_of(facts: DataFrame, analyses: list[Analysis], cfg: UsageConfig, is_stored: bool = False,
+                     users: DataFrame | None = None, **inputs) -> list[DataFrame]:
+    """The distributions of several analyses, from one cube of the facts (see ``stats.distributions``).
+
+    ``inputs`` are those of ``distribution_of``. Labels that carry the user have a
+    cube of their own.
+    """
+    together = [a for a in analyses if not (a.category == "Software" and cfg.user_split)]
+    found = stats.distributions(facts, [_report(facts, a, cfg, **inputs) for a in together], cfg.use_divisor, is_stored) if together else []
+    made = dict(zip(together, found))
+    return [made[a] if a in made else _split_distribution(facts, a, cfg, inputs["dictionary"], users, inputs.get("all_facts"))
+            for a in analyses]
 
 
-def _distribution(facts, source, analysis: Analysis, labeller: Labeller, cfg: UsageConfig) -> DataFrame:
-    keep = is_full_node(cfg) if analysis.full_node(cfg) else None
-    return stats.distribution(facts, source, _measure(analysis, cfg), labeller, cfg.use_divisor, keep)
+def distribution_of(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
+                    dictionary: Dictionary | None = None, areas: DataFrame | None = None,
+                    users: DataFrame | None = None, all_facts: DataFrame | None = None) -> DataFrame:
+    """Both distributions of one analysis in one frame (see ``stats.distribution``).
+
+    User labels and motif words are taken before the restriction to a project:
+    ``all_facts`` are the facts without it (by default the facts themselves).
+    """
+    return distributions_of(facts, [analysis], cfg, dictionary=dictionary, areas=areas, users=users, all_facts=all_facts)[0]
+
+
+def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig, dictionary: Dictionary,
+                        users: DataFrame | None, all_facts: DataFrame | None) -> DataFrame:
+    """Labels that carry the user.
+
+    The facts are grouped once by (executable, user, project, value); use of
+    executables, users in order of appearance and the cells all come from that table.
+    """
+    measure = _measure(analysis, cfg)
+    keys = ["exe_name", "user_name", "project_id", measure.column]
+    keys += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
+    own_users = users is None and cfg.anonymise and all_facts is None
+    extra = [first_seen()] if own_users else []
+    with stored(stats.pregrouped(facts, list(dict.fromkeys(keys)), *extra)) as rows:
+        if own_users:
+            users = users_in_order(rows)
+        elif users is None and cfg.anonymise:
+            users = anonymous_users(all_facts)
+        use = rows.groupBy("exe_name").agg(F.coalesce(stats.sum_of_parts("w"), F.lit(0).cast(EXACT_SUM)).alias("use_s"),
+                                           F.sum("_n").alias("rows"))
+        labeller = split_labels(dictionary, users, cut(use), analysis, cfg)
+        source = {"exe_name": F.col("exe_name"), "user_name": F.col("user_name")}
+        report = stats.Report(source, measure, labeller, is_full_node(cfg) if analysis.full_node(cfg) else None)
+        return stats.distributions(rows, [report], cfg.use_divisor, is_stored=True)[0]
 
 
 def report_table(dist: DataFrame, analysis: Analysis, cfg: UsageConfig,

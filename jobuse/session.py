@@ -62,11 +62,8 @@ def _own_folder(spark: SparkSession) -> str:
     warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
     if not warehouse.startswith("/"):
         raise RuntimeError("set spark.checkpoint.dir: the warehouse is not a local folder")
-    try:
-        os.makedirs(warehouse, exist_ok=True)
-        folder = tempfile.mkdtemp(prefix="scratch-", dir=warehouse)
-    except OSError:
-        folder = tempfile.mkdtemp(prefix="jobuse-")
+    os.makedirs(warehouse, exist_ok=True)
+    folder = tempfile.mkdtemp(prefix="scratch-", dir=warehouse)
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return folder
 
@@ -81,11 +78,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+# Row groups of written tables: small enough for a few tasks to share a file, and for a writer's memory.
+ROW_GROUP = 8 << 20
+
+
+def written(df: DataFrame, *partition_by: str) -> DataFrame:
     """``df`` as a columnar table in the shared folder; Spark knows its size from then on."""
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).partitionBy(*partition_by).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def removed(table: DataFrame) -> None:
+    """Delete a table made by ``written`` that nothing is going to read any more."""
+    spark = table.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 @contextmanager
@@ -95,11 +105,8 @@ def stored(df: DataFrame) -> Iterator[DataFrame]:
     The table is removed at the end of the block, so whatever is to outlive it
     must have been written (``cut``) inside it.
     """
-    spark = df.sparkSession
     table = written(df)
     try:
         yield table
     finally:
-        for path in {os.path.dirname(f) for f in table.inputFiles()}:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        removed(table)

@@ -42,9 +42,8 @@ def test_the_pass_over_facts_combines_before_its_only_shuffle(spark, tmp_path):
     """From a stored fact table: scan, expand, partial aggregate, exchange - nothing else."""
     path = str(tmp_path / "facts")
     facts(spark, SF).write.parquet(path)
-    base = stats._base(spark.read.parquet(path), {"code": definition_index(F.col("exe_name"), fx.dictionary())},
-                       stats.Measure(NODEH.size_measure), None)
-    plan = plan_of(stats.grouped_rows(base, ["code"], False))
+    reports = [stats.Report({"code": definition_index(F.col("exe_name"), fx.dictionary())}, stats.Measure(NODEH.size_measure), None)]
+    plan = plan_of(stats.Cube(stats.base_rows(spark.read.parquet(path), reports), reports).rows)
     assert plan.count("Exchange") == 1 and "Join" not in plan and "Sort" not in plan
     assert plan.index("Exchange") < plan.index("partial_sum") < plan.index("Expand") < plan.index("FileScan")
     assert "node_power" not in plan and "job_id" not in plan

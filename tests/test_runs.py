@@ -5,6 +5,8 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from catalog import fixtures
+from catalog.queries import NODEH, facts as fixture_facts
 from jobuse.config import UsageConfig
 from jobuse.operators.rollup import combine_summaries
 from jobuse.plans import analyses, runs
@@ -107,3 +109,25 @@ def test_stored_facts_are_removed(spark, tmp_path):
                        str(tmp_path / "out"), "use", dictionary=DICT)
     left = set(os.listdir(shared_dir(spark).removeprefix("file:"))) - before
     assert all(x.startswith("rdd-") for x in left)
+
+
+def test_eleven_reports_scan_the_facts_twice(spark):
+    """All reports of a run from one cube: a pass for the cells, a pass for the values of node power."""
+    facts = fixture_facts(spark, "/root/testdata/sf0.001").cache()
+    total, seen = facts.count(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    watched = facts.mapInArrow(counted, facts.schema)
+    asked = list(analyses.USAGE_ANALYSES.values())
+    inputs = {"dictionary": fixtures.dictionary(), "areas": fixtures.areas(spark, "/root/testdata/sf0.001")}
+    found = analyses.distributions_of(watched, asked, NODEH, is_stored=True, **inputs)
+    rows = [sorted(map(tuple, f.collect()), key=str) for f in found]
+    assert len(asked) == 11 and seen.value == 2 * total
+    for analysis, together in zip(asked, rows):
+        alone = analyses.distribution_of(facts, analysis, NODEH, **inputs)
+        assert sorted(map(tuple, alone.collect()), key=str) == together
+    facts.unpersist()

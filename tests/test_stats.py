@@ -59,9 +59,9 @@ def expected(rows, inside=lambda r: True):
 
 def actual(spark, rows, upper=None, keep=None):
     facts = spark.createDataFrame(rows, SCHEMA)
-    table = stats.distribution(
-        facts, {"cat": F.col("cat")}, stats.Measure("v", upper),
-        lambda df: df.withColumn("labels", stats.only_label(F.col("cat"))), 1.0, keep)
+    report = stats.Report({"cat": F.col("cat")}, stats.Measure("v", upper),
+                          lambda df: df.withColumn("labels", stats.only_label(F.col("cat"))), keep)
+    table = stats.distribution(facts, report, 1.0)
     return {r["label"]: (r["min"], r["max"], r["q1"], r["q2"], r["q3"], r["wq1"], r["wq2"], r["wq3"],
                          r["jobs"], r["use"], r["percent_use"], r["users"], r["projects"])
             for r in table.collect()}
