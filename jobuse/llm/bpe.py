@@ -7,8 +7,10 @@ the best-scored neighbours is then merging by lowest rank, so the ids are those
 of the rank file. Pre-tokens are encoded one by one; decoding maps ids back to
 pieces and characters back to bytes.
 
-Null and empty texts have no ids; a null list of ids decodes to no bytes. Rows
-are independent, so repeated rows and extra columns need no care; a column that
+Null and empty texts have no ids; a null list of ids decodes to no bytes. An
+empty table gives no rows. ``round_trip`` cuts very long texts into parts where a
+single space stands between two other characters, which no piece crosses, so that
+a worker holds the parts' arrays, not the text's. Rows are independent, so repeated rows and extra columns need no care; a column that
 already has the name of the result is replaced.
 """
 
@@ -19,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from jobuse.llm.common import small_batches, worker_state
-from jobuse.llm.pieces import SLICE_BYTES, Known, encode_array, flat_lists, gathered
+from jobuse.llm.common import small_batches, unused, worker_state
+from jobuse.llm.pieces import _SAFE_CUT, SLICE_BYTES, Known, encode_array, encode_slice, flat_lists, gathered, text_slices
 
 FIRST_CHAR = 0x100
 UNKNOWN, BPE_MODEL = 2, 2       # enum values of the sentencepiece model format
@@ -136,6 +139,72 @@ def decoder(spark: SparkSession, pieces: list[bytes]):
     return F.arrow_udf(decoded, T.BinaryType())
 
 
+def _parts(texts: pa.Array, size: int) -> tuple[pa.Array, np.ndarray]:
+    """Texts in parts of about ``size`` characters, and the text that each part belongs to."""
+    if not len(texts) or pc.max(pc.binary_length(texts)).as_py() <= size:
+        return texts, np.arange(len(texts))
+    parts, owner = [], []
+    for k, text in enumerate(texts.to_pylist()):
+        at = 0
+        while at == 0 or at < len(text):
+            cut = _SAFE_CUT.search(text, at + size) if len(text) - at > size else None
+            end = cut.start() if cut else len(text)
+            parts.append(text[at:end])
+            owner.append(k)
+            at = end or 1
+    return pa.array(parts, pa.large_string()), np.array(owner)
+
+
+TRIP = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("ids_sha256", T.StringType()),
+                     T.StructField("decoded_sha256", T.StringType())])
+
+
+def _tripped(texts: pa.Array, codec: Codec, flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Ids of each text, and the digests of the ids and of the bytes that they decode to."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    parts, owner = _parts(texts, codec.slice_bytes)
+    id_sums, byte_sums = [hashlib.sha256() for _ in texts], [hashlib.sha256() for _ in texts]
+    found, lengths, done = [], np.zeros(len(texts), np.int64), 0
+    for piece in text_slices(parts, codec.slice_bytes):
+        ids, counts = encode_slice(piece, codec)
+        rows, ends = owner[done: done + len(piece)], np.concatenate([[0], np.cumsum(counts)])
+        raw, decoded = memoryview(ids.astype("<u4").tobytes()), memoryview(gathered(flat, sizes, ids).tobytes())
+        at = np.concatenate([[0], np.cumsum(sizes[ids])])[ends]
+        for k, row in enumerate(rows.tolist()):
+            id_sums[row].update(raw[4 * ends[k]: 4 * ends[k + 1]])
+            byte_sums[row].update(decoded[at[k]: at[k + 1]])
+        np.add.at(lengths, rows, counts)
+        found.append(ids.astype(np.int32))
+        done += len(piece)
+    pa.default_memory_pool().release_unused()
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()),
+                                     pa.array(np.concatenate(found or [np.zeros(0, np.int32)])))
+    return pa.StructArray.from_arrays([lists, *(pa.array([h.hexdigest() for h in sums], pa.string()) for sums in (id_sums, byte_sums))],
+                                      [f.name for f in TRIP])
+
+
+def round_trip(docs: DataFrame, pieces: list[bytes], pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the ids of each text, and the SHA-256 (hex) of the ids as little-endian unsigned 32-bit
+    integers (``ids_sha256``) and of the bytes they decode to (``decoded_sha256``).
+
+    One function does all three, so a task has one Python worker; it drops what other operators left in it.
+    """
+    small_batches(docs.sparkSession)
+    model = docs.sparkSession.sparkContext.broadcast(serialise(pieces))
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        state = worker_state()
+        for name in set(vars(state)) - {"bpe", "bpe_key", "inverse", "inverse_key"}:
+            delattr(state, name)
+        codec, (flat, sizes) = _codec(model.value, pattern), _inverse(model.value)
+        for texts in batches:
+            yield _tripped(texts, codec, flat, sizes)
+
+    name = unused(docs, "trip")
+    return docs.withColumn(name, F.arrow_udf(run, TRIP)(F.col(f"`{text_col}`"))).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in TRIP.names], f"{name}.*")
+
+
 def encode(docs: DataFrame, pieces: list[bytes], pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of each text."""
     return docs.withColumn(ids_col, encoder(docs.sparkSession, pieces, pattern)(F.col(f"`{text_col}`")))

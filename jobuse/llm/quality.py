@@ -54,7 +54,7 @@ LABELERS: dict[str, Callable[[Column], Column]] = {
 
 @dataclass(frozen=True)
 class Trainer:
-    """``max_training`` bounds (in expectation) the documents that the scorer is trained on."""
+    """``max_training`` bounds the documents that the scorer is trained on."""
 
     max_training: int = 6_000
     buckets: int = 1 << 14
@@ -139,6 +139,18 @@ def votes(text: Column) -> Column:
     return F.transform(F.array(statistics(text)), lambda s: F.array(*(f(s) for f in LABELERS.values())))[0]
 
 
+def training_rows(docs: DataFrame, t: Trainer, total: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The texts that the scorer is trained on, ``t.max_training`` of ``total`` at most.
+
+    They follow from a hash of each row, so that of rows alike some are in and some out.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    pick = F.xxhash64(row_key(F.col(f"`{id_col}`"), text), F.monotonically_increasing_id(), F.lit("train"))
+    share = min(1.0, 1.25 * t.max_training / total)
+    near = docs.select(pick.alias("pick"), text.alias("text")).where(F.pmod("pick", F.lit(1 << 30)) < int(share * (1 << 30)))
+    return near.orderBy("pick").limit(t.max_training).select("text")
+
+
 def fit(docs: DataFrame, t: Trainer = Trainer(), id_col: str = "doc_id", text_col: str = "text") -> Classifier:
     """Labelers' accuracies from all documents; the scorer from a sample of them."""
     small_batches(docs.sparkSession)
@@ -150,9 +162,7 @@ def fit(docs: DataFrame, t: Trainer = Trainer(), id_col: str = "doc_id", text_co
         return Classifier(np.zeros(t.buckets + BINS + 1), {})
     posterior, accuracies, _ = estimate(patterns, list(LABELERS), silence_tells=True)
     label = dict(zip((v for v, _ in patterns), posterior))
-    share = min(1.0, t.max_training / total)
-    chosen = F.pmod(F.xxhash64(row_key(F.col(f"`{id_col}`"), text), F.lit("train")), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = docs.where(chosen).select(votes(text).alias("votes"), text.alias("text")).repartition(1)
+    sample = training_rows(docs, t, total, id_col, text_col).select(votes(F.col("text")).alias("votes"), "text").coalesce(1)
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():

@@ -20,7 +20,7 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from jobuse.llm.common import row_key, small_batches, unused
 from jobuse.llm.components import components
@@ -114,8 +114,8 @@ def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
 
     Of rows alike in id and text, one stays.
     """
-    key, place = unused(docs, "key"), unused(docs, "place")
+    key = unused(docs, "key")
     kept = _components(_prints(docs, shingle, id_col, text_col), max_bits).select(F.col("first.key").alias(key)).distinct()
-    rows = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))).join(kept, key, "left_semi")
-    rows = rows.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-    return rows.where(F.col(place) == 1).drop(key, place)
+    # Rows alike are dropped where they are read, before their texts travel.
+    rows = docs.withColumn(key, row_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))).dropDuplicates([key])
+    return rows.join(kept, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

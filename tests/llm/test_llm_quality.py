@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from jobuse.llm import quality, queries
 
@@ -54,3 +55,12 @@ def test_odd_documents_and_query(spark, tmp_path):
     assert scored.columns == odd.documents(spark).columns
     model = quality.fit(odd.empty(spark))
     assert not model.weights.any() and quality.score(odd.empty(spark), model).collect() == []
+
+
+def test_the_training_bound_holds_for_rows_alike(spark):
+    """20,000 rows alike in id and text, and others: no more than the bound reach the training task."""
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("some words alike").alias("text")).unionByName(
+        spark.createDataFrame(corpus(200), "doc_id long, text string"))
+    n = quality.training_rows(docs, quality.Trainer(max_training=600), 20_200).count()
+    assert 500 < n <= 600
+    assert quality.training_rows(docs, quality.Trainer(max_training=30_000), 20_200).count() == 20_200

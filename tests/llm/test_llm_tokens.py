@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.orc
 import pytest
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import AddedToken, Tokenizer
 
 from jobuse.llm import bpe, flat_tokens, orc_tokens, queries
@@ -142,3 +144,30 @@ def test_other_added_tokens(more):
     texts = [*(t or "" for t in ADDED), "a<|endoftext|>x <mask> one someone  <mask>"]
     ids, ends = encoder.encode_texts(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_round_trip_is_encode_and_decode_with_digests(spark, ranks):
+    docs = odd.documents(spark)
+    want = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    expected = [(r["doc_id"], r["ids"], hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest(),
+                 hashlib.sha256(bytes(r["decoded"])).hexdigest()) for r in want.collect()]
+    found = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    assert found.columns == [c for c in docs.columns if c != "ids"] + ["ids", "ids_sha256", "decoded_sha256"]
+    odd.same([tuple(r) for r in found.select("doc_id", "ids", "ids_sha256", "decoded_sha256").collect()], expected)
+    assert bpe.round_trip(odd.empty(spark), ranks, public_tokenizers.PATTERN).collect() == []
+
+
+def test_long_texts_are_encoded_in_parts(ranks, monkeypatch):
+    codec = bpe.Codec(bpe.serialise(ranks), public_tokenizers.PATTERN)
+    texts = pa.array(["It's a  long\n\n text, 123 4５6 🙂 words' " * 300, None, "", "x" * 5_000, " lead and trail ", "a b" * 2_000])
+    flat, sizes = bpe._inverse(bpe.serialise(ranks))
+    whole = bpe._tripped(texts, codec, flat, sizes)
+    codec.slice_bytes = 64
+    assert len(bpe._parts(pc.fill_null(texts.cast(pa.large_string()), ""), 64)[0]) > 100
+    assert bpe._tripped(texts, codec, flat, sizes).equals(whole)
+
+
+def test_a_text_of_20_mb(spark, ranks):
+    docs = spark.range(1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Some words, 12 of them. "), 833_333).alias("text"))
+    r = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select("decoded_sha256", F.sha2(F.col("text").cast("binary"), 256)).first()
+    assert r[0] == r[1]
