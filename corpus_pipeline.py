@@ -1,7 +1,10 @@
 """Documents to token ids, stage by stage.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before
-it kept; stages are written and read again in between.
+it kept; stages are written and read again in between. Null texts are empty ones,
+rows alike count as rows of their own until near duplicates go, very long texts
+stay whole, and an empty table gives an empty table in every stage. Other columns
+than those of documents pass through all stages but the last.
 """
 
 import public_tokenizers
@@ -13,6 +16,7 @@ from jobuse.llm.common import documents, written
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the learned decision list let pass."""
+    small_row_groups(spark)
     return rules.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -34,9 +38,13 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the bytes they decode to."""
     pieces = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs.select("doc_id", "text"), pieces, public_tokenizers.PATTERN)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), bpe.ids_sha256().alias("ids_sha256"),
-                          F.sha2(bpe.decoder(spark, pieces)("ids"), 256).alias("decoded_sha256"), "ids")
+    found = bpe.round_trip(docs.select("doc_id", "text"), pieces, public_tokenizers.PATTERN)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256", "ids")
+
+
+def small_row_groups(spark: SparkSession) -> None:
+    """Stages write whole texts: their writers hold 16 MB, not 128, before it goes to the file."""
+    spark.conf.set("parquet.block.size", str(16 << 20))
 
 
 STAGES = [
