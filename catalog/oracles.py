@@ -411,3 +411,10 @@ for _key, _cfg in {
 }.items():
     ORACLES[_key] = q(f"{RAW}, {usage_facts(_cfg)}",
                       f"SELECT job_id, sub_job_id, use_s / {_cfg.use_divisor} AS use FROM f")
+
+# Over all periods, and within the bound of approximate quartiles: what the exact reports say.
+ORACLES["periods_code_size"] = ORACLES["dist_code_size"]
+ORACLES["periods_energy_code_power"] = ORACLES["energy_code_power"]
+ORACLES["periods_user_split"] = ORACLES["user_split_unidentified"]
+ORACLES["approx_code_power"] = "SELECT Software, Jobs, " + ", ".join(
+    f"true AS {q}_near" for q in ("q1", "q2", "q3", "wq1", "wq2", "wq3")) + f" FROM ({ORACLES['dist_code_power']})"

@@ -12,7 +12,7 @@ from catalog import fixtures as fx
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
 from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats
-from jobuse.plans import analyses as reports, runs
+from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
 from jobuse.session import cut, shared_dir
 from jobuse.sources import definitions, dumps, report as report_source, sinks
@@ -794,3 +794,41 @@ REPORTS: dict[str, tuple[str, UsageConfig]] = {
 for _name, (_report, _cfg) in REPORTS.items():
     QUERIES[_name] = _report_query(_report, _cfg, False)
     QUERIES[f"{_name}_weighted"] = _report_query(_report, _cfg, True)
+
+
+# ---- periods, and quartiles from one pass ---------------------------------------------------
+
+def _over_periods(spark, d, name: str, cfg: UsageConfig, power: bool = False) -> DataFrame:
+    """Jobs dealt to four periods, each stored grouped; then the report over all four."""
+    folder = scratch(spark)
+    base = job_energy_facts(spark, d, cfg) if cfg.family == "energy" else facts(spark, d, cfg)
+    periods.write_periods(base, F.concat(F.lit("q"), F.col("job_id") % 4), cfg, folder, power)
+    return periods.reports_over(spark, folder, [name], cfg, [f"q{k}" for k in range(4)], dictionary=fx.dictionary())[name]
+
+
+@query("periods_code_size")
+def _(spark, d):
+    return _over_periods(spark, d, "CodeSize", NODEH)
+
+
+@query("periods_energy_code_power")
+def _(spark, d):
+    return _over_periods(spark, d, "CodePower", ENERGY, power=True)
+
+
+@query("periods_user_split")
+def _(spark, d):
+    """Users are numbered by their first appearance in any period."""
+    return _over_periods(spark, d, "CodeSize", SPLIT)
+
+
+@query("approx_code_power")
+def _(spark, d):
+    """By application: whether each approximate quartile of node power is within its bound of the exact one."""
+    approx = reports._measure(reports.USAGE_ANALYSES["CodePower"], replace(NODEH, approx=True))
+    near, exact = (_dist(spark, d, "CodePower", replace(NODEH, approx=a)) for a in (True, False))
+    quartiles = ["q1", "q2", "q3", "wq1", "wq2", "wq3"]
+    both = near.select("label", "jobs", *quartiles).join(exact.select("label", *[F.col(c).alias(f"exact_{c}") for c in quartiles]), "label", "full")
+    return both.select(F.col("label").alias("Software"), F.col("jobs").alias("Jobs"), *[
+        F.coalesce(F.abs(F.col(c) - F.col(f"exact_{c}")) <= approx.error, F.col(c).isNull() & F.col(f"exact_{c}").isNull()).alias(f"{c}_near")
+        for c in quartiles])

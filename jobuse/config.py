@@ -31,6 +31,7 @@ class UsageConfig:
     anonymise: bool = True
     report_energy: bool | None = None
     web: bool = False               # energy report: hide absolute use and energy
+    approx: bool = False            # quartiles of node power from one pass, to within one slice of its range
 
     def __post_init__(self):
         if self.family not in ("usage", "energy"):

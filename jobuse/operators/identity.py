@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from jobuse.config import UsageConfig
-from jobuse.functions.scalars import exact_sum, step_order
+from jobuse.functions.scalars import EXACT_SUM, exact_sum, from_limbs, step_order
 from jobuse.operators.classify import UNKNOWN, with_classes
 from jobuse.session import cut
 from jobuse.sources.definitions import Dictionary
@@ -34,26 +34,20 @@ def dense_index(df: DataFrame, order: list[Column], name: str) -> DataFrame:
         *df.columns, (F.col("_before") + F.col("_at")).alias(name))
 
 
-def first_seen() -> Column:
-    """Where a group of facts appears first, as an aggregate.
+def first_seen(grouped: bool = False) -> Column:
+    """Where a group of facts (or of facts ``grouped`` before) appears first, as an aggregate.
 
     Appearance follows the order of the assembled table: steps before step-less
     jobs, then job and step id, both by number.
     """
+    if grouped:
+        return F.min("_first").alias("_first")
     return F.min(F.struct("src", "job_id", step_order(F.col("sub_job_id")))).alias("_first")
 
 
 def anonymous_users(facts: DataFrame) -> DataFrame:
     """(user_name, anon_user): ``user{i}`` by first appearance; a null user counts."""
-    return _in_order(facts.groupBy("user_name").agg(first_seen()))
-
-
-def users_in_order(grouped: DataFrame) -> DataFrame:
-    """``anonymous_users`` of grouped facts that have kept ``first_seen``."""
-    return _in_order(grouped.groupBy("user_name").agg(F.min("_first").alias("_first")))
-
-
-def _in_order(first: DataFrame) -> DataFrame:
+    first = facts.groupBy("user_name").agg(first_seen("_first" in facts.columns))
     index = dense_index(first, [F.col("_first").asc(), F.col("user_name").asc()], "_index")
     return index.select("user_name", F.concat(F.lit("user"), F.col("_index")).alias("anon_user"))
 
@@ -64,7 +58,10 @@ def split_by_user(software: Column, who: Column) -> Column:
 
 
 def exe_use(facts: DataFrame) -> DataFrame:
-    """Use (an exact decimal) and rows by executable name."""
+    """Use (an exact decimal) and rows by executable name, of facts or grouped facts."""
+    if "_n" in facts.columns:
+        use = F.coalesce(from_limbs(*(F.sum(f"_w{k}") for k in range(3))), F.lit(0).cast(EXACT_SUM))
+        return facts.groupBy("exe_name").agg(use.alias("use_s"), F.sum("_n").alias("rows"))
     return facts.groupBy("exe_name").agg(exact_sum(F.col("use_s")).alias("use_s"), F.count("*").alias("rows"))
 
 

@@ -52,6 +52,16 @@ class Measure:
 
     column: str
     upper: float | None = None
+    approx: bool = False        # quartiles from the cells alone
+
+    @property
+    def second_pass(self) -> bool:
+        return self.upper is not None and not self.approx
+
+    @property
+    def error(self) -> float:
+        """How far a quartile within the range can be off: nothing, or one slice."""
+        return self.upper / GRID if self.upper is not None and self.approx else 0.0
 
     def cell(self, value: Column) -> Column:
         if self.upper is None:
@@ -137,7 +147,13 @@ SUMS = ["_n", *(f"_{m}{k}" for m in "we" for k in range(3))]
 
 
 def pregrouped(facts: DataFrame, keys: list[str], *extra: Column) -> DataFrame:
-    """Facts with one row for each combination of ``keys``: for reports that read them several times."""
+    """Facts with one row for each combination of ``keys``: for reports that read them several times.
+
+    Grouped facts can be grouped again, or put together with those of other
+    periods: sums of parts add up, and nothing else is kept.
+    """
+    if "_n" in facts.columns:
+        return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *extra)
     sums = [F.lit(1).cast("bigint").alias("_n"), *parts_of("use_s", "w"), *parts_of("energy_j", "e")]
     return facts.select("*", *sums).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS], *extra)
 
@@ -341,6 +357,18 @@ def _exact_quartiles(cells: DataFrame) -> DataFrame:
     return picked.select("*", *[interpolated(k).alias(f"q{k}") for k in QUARTERS])
 
 
+def _sliced_quartiles(cells: DataFrame) -> DataFrame:
+    """Quartiles when a cell is a slice of the range: the middle of the values that the crossed slices hold.
+
+    The cells are a histogram sketch that adds up like sums do. Each quartile is
+    within a slice's width of the exact one (rows outside the range share its end
+    slices), and needs no second pass.
+    """
+    run = running(cells, "cell", _LABEL, bounded=True).withColumn("_mid", (F.col("lo") + F.col("hi")) / 2)
+    picked = run.groupBy(*_LABEL).agg(*rank_picks("_mid"), *weight_picks("_mid"))
+    return picked.select(*_LABEL, *_quartile_columns())
+
+
 def _crossed_cells(cells: DataFrame) -> DataFrame:
     """Cells in which some quartile falls, with the counts and weights before them.
 
@@ -391,7 +419,7 @@ def distributions(facts: DataFrame, reports: list[Report], divisor: float, is_st
     pass; others are cut down to what is needed and stored in between.
     """
     base = base_rows(facts, reports)
-    if is_stored or all(r.measure.upper is None for r in reports):
+    if is_stored or not any(r.measure.second_pass for r in reports):
         return _from_cube(Cube(base, reports), reports, divisor)
     with stored(base) as table:
         return _from_cube(Cube(table, reports), reports, divisor)
@@ -400,7 +428,10 @@ def distributions(facts: DataFrame, reports: list[Report], divisor: float, is_st
 def _from_cube(cube: Cube, reports: list[Report], divisor: float) -> list[DataFrame]:
     cells = [cut(cube.cells(r)) for r in reports]
     quartiles: list[DataFrame | None] = [None] * len(reports)
-    for measure in {r.measure for r in reports if r.measure.upper is not None}:
+    for k, r in enumerate(reports):
+        if r.measure.upper is not None and r.measure.approx:
+            quartiles[k] = _sliced_quartiles(cells[k])
+    for measure in {r.measure for r in reports if r.measure.second_pass}:
         at = [k for k, r in enumerate(reports) if r.measure == measure]
         crossed = {k: cut(_crossed_cells(cells[k])) if len(at) > 1 else _crossed_cells(cells[k]) for k in at}
         values = cube.values(measure, list(crossed.values()))

@@ -13,7 +13,7 @@ from jobuse.operators import stats
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
-from jobuse.operators.identity import anonymous_users, first_seen, significant_exes, split_by_user, users_in_order
+from jobuse.operators.identity import anonymous_users, exe_use, first_seen, significant_exes, split_by_user
 from jobuse.operators.joins import lookup
 from jobuse.session import cut, stored, written
 from jobuse.sources.definitions import Dictionary
@@ -194,7 +194,7 @@ def split_labels(dictionary: Dictionary, users: DataFrame | None, by_exe: DataFr
 
 def _measure(analysis: Analysis, cfg: UsageConfig) -> stats.Measure:
     if analysis.power:
-        return stats.Measure("node_power", cfg.max_power)
+        return stats.Measure("node_power", cfg.max_power, cfg.approx)
     return stats.Measure(cfg.size_measure)
 
 
@@ -257,15 +257,11 @@ def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
     keys = ["exe_name", "user_name", "project_id", measure.column]
     keys += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
     own_users = users is None and cfg.anonymise and all_facts is None
-    extra = [first_seen()] if own_users else []
+    extra = [first_seen("_first" in facts.columns)] if own_users else []
     with stored(stats.pregrouped(facts, list(dict.fromkeys(keys)), *extra)) as rows:
-        if own_users:
-            users = users_in_order(rows)
-        elif users is None and cfg.anonymise:
-            users = anonymous_users(all_facts)
-        use = rows.groupBy("exe_name").agg(F.coalesce(stats.sum_of_parts("w"), F.lit(0).cast(EXACT_SUM)).alias("use_s"),
-                                           F.sum("_n").alias("rows"))
-        labeller = split_labels(dictionary, users, cut(use), analysis, cfg)
+        if users is None and cfg.anonymise:
+            users = anonymous_users(rows if own_users else all_facts)
+        labeller = split_labels(dictionary, users, cut(exe_use(rows)), analysis, cfg)
         source = {"exe_name": F.col("exe_name"), "user_name": F.col("user_name")}
         report = stats.Report(source, measure, labeller, is_full_node(cfg) if analysis.full_node(cfg) else None)
         return stats.distributions(rows, [report], cfg.use_divisor, is_stored=True)[0]

@@ -9,7 +9,7 @@ from catalog import fixtures
 from catalog.queries import NODEH, facts as fixture_facts
 from jobuse.config import UsageConfig
 from jobuse.operators.rollup import combine_summaries
-from jobuse.plans import analyses, runs
+from jobuse.plans import analyses, periods, runs
 from jobuse.plans.facts import usage_facts
 from jobuse.session import shared_dir
 from jobuse.sources import dumps
@@ -131,3 +131,44 @@ def test_eleven_reports_scan_the_facts_twice(spark):
         alone = analyses.distribution_of(facts, analysis, NODEH, **inputs)
         assert sorted(map(tuple, alone.collect()), key=str) == together
     facts.unpersist()
+
+
+def test_two_periods_merge_to_the_report_over_both(spark, tmp_path):
+    """Size, power, users and projects, and user labels; a period that is not asked for is not read."""
+    facts = fixture_facts(spark, "/root/testdata/sf0.001").cache()
+    folder, period = str(tmp_path / "periods"), F.concat(F.lit("p"), F.col("job_id") % 3)
+    periods.write_periods(facts, period, NODEH, folder, power=True)
+    two = facts.filter(period.isin("p0", "p2"))
+    for cfg in (NODEH, replace(NODEH, user_split=True)):
+        names = ["CodeSize", "CodePower", "ProjSize"]
+        merged = periods.reports_over(spark, folder, names, cfg, ["p0", "p2"], dictionary=fixtures.dictionary())
+        for name in names:
+            direct = analyses.report(two, name, cfg, dictionary=fixtures.dictionary())
+            assert direct.collect() == merged[name].collect(), name
+    read = periods.read_periods(spark, folder, ["p1"]).inputFiles()
+    assert read and all("period=p1" in f for f in read)
+    facts.unpersist()
+
+
+def test_approximate_quartiles_need_one_pass(spark):
+    facts = fixture_facts(spark, "/root/testdata/sf0.001").cache()
+    total, seen = facts.count(), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    asked = [analyses.USAGE_ANALYSES[n] for n in ("CodePower", "CPUFreqPower")]
+    cfg = replace(NODEH, approx=True)
+    near = analyses.distributions_of(facts.mapInArrow(counted, facts.schema), asked, cfg, dictionary=fixtures.dictionary())
+    exact = analyses.distributions_of(facts, asked, NODEH, dictionary=fixtures.dictionary())
+    for a, b in zip(near, exact):
+        rows = {r["label"]: r for r in b.collect()}
+        for r in a.collect():
+            want = rows.pop(r["label"])
+            for c in a.columns:
+                assert r[c] == want[c] if c.lstrip("w") not in ("q1", "q2", "q3") else abs(r[c] - want[c]) <= 850 / 65_536
+        assert not rows
+    assert seen.value == total
+    facts.unpersist()
