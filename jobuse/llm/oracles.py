@@ -88,7 +88,19 @@ r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
 """
 
+REPEATS = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d),
+r AS (SELECT rid, i, count(*) OVER (PARTITION BY sha256(array_to_string(w[i:i + 34], ' '))) AS n FROM s),
+c AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS k FROM r WHERE n > 1),
+t AS (SELECT rid, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word FROM d)
+SELECT any_value(d.doc_id) AS doc_id, count(t.k) AS n_words, count(c.k) AS n_removed,
+  sha256(coalesce(string_agg(t.word, ' ' ORDER BY t.k) FILTER (WHERE c.k IS NULL), '')) AS kept_sha256
+FROM d LEFT JOIN t ON t.rid = d.rid LEFT JOIN c ON c.rid = t.rid AND c.k = t.k GROUP BY d.rid
+"""
+
 ORACLES: dict[str, str] = {
+    "op3_substring_dedup": REPEATS,
     "op11_merkle_midstates": MERKLE,
     "op12_relational_chat": CHAT,
     "op13_dense_search": SEARCH,
