@@ -89,15 +89,25 @@ def substrings(text: Column, lengths: Column) -> Column:
     return F.array_distinct(F.flatten(pieces))
 
 
+PROBE = 8      # length of the piece that a longer value is looked for by
+
+
 def contained_values(values: DataFrame, column: str) -> DataFrame:
-    """For each distinct value, the distinct values that occur inside it.
+    """For each distinct value, the distinct values that occur inside it (as ``inner``).
 
-    Each value is cut into pieces of the lengths that values have, and these are
-    joined on equality, so the work is linear in the number of values and in
-    their length; no value is compared with all others.
+    Pieces are joined on equality; no value is compared with all others. A value
+    of ``PROBE`` characters or more is looked for by one of its pieces of that
+    length, the one that fewest values have, and what is found is verified. Values
+    are therefore cut into pieces of that one length, and of the shorter lengths
+    that shorter values have: at most ``PROBE`` for each character.
     """
     distinct = written(values.select(column).filter(F.col(column).isNotNull() & (F.col(column) != "")).distinct())
-    lengths = distinct.agg(F.collect_set(F.length(column)))        # as many as there are different lengths
-    cut_up = distinct.withColumn("_lengths", lengths.scalar())
-    pieces = cut_up.select(column, F.explode(substrings(F.col(column), F.col("_lengths"))).alias("inner"))
-    return pieces.join(distinct.select(F.col(column).alias("inner")), "inner", "inner")
+    length = F.length(column)
+    few = distinct.filter(length < PROBE).agg(F.collect_set(length))        # fewer than PROBE lengths
+    short = distinct.withColumn("_lengths", few.scalar()).select(column, F.explode(substrings(F.col(column), F.col("_lengths"))).alias("inner"))
+    short = short.join(distinct.filter(length < PROBE).select(F.col(column).alias("inner")), "inner")
+    grams = distinct.select(column, F.explode(substrings(F.col(column), F.array(F.lit(PROBE)))).alias("_gram"))
+    shared = grams.groupBy("_gram").agg(F.count("*").alias("_n"))
+    rarest = grams.join(shared, "_gram").groupBy(F.col(column).alias("inner")).agg(F.min(F.struct("_n", "_gram")).alias("_probe"))
+    found = grams.join(rarest.select("inner", F.col("_probe._gram").alias("_gram")), "_gram").filter(F.col(column).contains(F.col("inner")))
+    return short.select("inner", column).unionByName(found.select("inner", column))

@@ -367,3 +367,15 @@ def test_matrix_keeps_unlisted_sizes_and_empty_blocks(spark):
     assert [(r.size_index, r.usage) for r in cells if (r.file_path, r.block, r.size) == ("f", 0, "7")] == [(14, 100.)]
     with pytest.raises(Exception, match="no column for size 7"):
         matrix.pivoted(matrix.dense(rows, blocks), "usage").collect()
+
+
+def test_long_values_inside_each_other(spark):
+    """Values of 500 lengths up to 2,000 characters, against plain search."""
+    import random
+    rng = random.Random(4)
+    whole = "".join(rng.choice("ab é") for _ in range(2_000))
+    values = {whole[a: a + n] for n in range(4, 2_004, 4) for a in [rng.randrange(0, 2_001 - min(n, 2_000))]}
+    values |= {"a", "ab", "é", "ab é", "x", "user1", "user10", "user100", "Python_user1", "Python_user10", "a" * 7, "a" * 8, "a" * 9, "a" * 40}
+    rows = spark.createDataFrame([(v,) for v in [*values, None, "", "user1"]], "v string")
+    found = [(r["v"], r["inner"]) for r in classify.contained_values(rows, "v").collect()]
+    assert sorted(found) == sorted((v, w) for v in values for w in values if w in v)
