@@ -24,7 +24,8 @@ adaptive execution splits. Equality is that of two 64-bit hashes together.
 
 Null and empty texts have no words; texts shorter than a window keep all words.
 Rows that are alike in id and text are occurrences of their own, so both lose
-the windows they share. Ids may be null. Extra columns are dropped.
+the windows they share; they have one key, whose windows are collected as a set,
+on the map side first, and are looked up once for all of them. Ids may be null. Extra columns are dropped.
 """
 
 from collections.abc import Iterator
@@ -114,8 +115,13 @@ def unpacked(texts: pa.Array) -> pa.Array:
 def window_rows(docs: DataFrame, window: int) -> DataFrame:
     """``anchor, hash, key, at`` of every window of the segments that begin at ``wanted`` in each document."""
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            keys, wanted, done = np.asarray(batch.column("key")), batch.column("wanted").to_numpy(zero_copy_only=False), 0
+            # Rows alike are neighbours after the join, and one of them stands for all: their segments repeat as a whole.
+            keys = np.asarray(batch.column("key"))
+            new = np.append(keys[:1] != last, keys[1:] != keys[:-1])
+            last, batch = keys[-1] if len(keys) else last, batch.filter(pa.array(new))
+            keys, wanted, done = keys[new], batch.column("wanted").to_numpy(zero_copy_only=False), 0
             for texts in text_slices(unpacked(batch.column("packed")), SLICE_BYTES):
                 s = Segments(texts, window)
                 pairs = np.concatenate([np.stack([np.full(len(w), d), w]) for d, w in enumerate(wanted[done: done + len(texts)])], axis=1)
@@ -160,7 +166,7 @@ def repeated_windows(docs: DataFrame, texts: DataFrame, window: int) -> DataFram
     known = written(known.select("key", "at", "size", source, (F.col("n") > 1).alias("repeated"), (F.col("kinds") > 1).alias("open"),
                                  (place == F.col("least")).alias("first")), "known")
     whole = known.where("repeated").select("key", "at", "size", "source")
-    wanted = known.where("open and (first or not repeated)").groupBy("key").agg(F.collect_list("at").alias("wanted"))
+    wanted = known.where("open and (first or not repeated)").groupBy("key").agg(F.collect_set("at").alias("wanted"))
     rows = window_rows(texts.join(wanted, "key"), window)
     index = rows.groupBy("anchor", "hash").agg(F.count("*").alias("n"), F.min(place).alias("least")).where("n > 1")
     parts = _on_hot(rows, index, ["anchor", "hash"]).select("key", "at", F.lit(1).alias("size"), source)
@@ -199,7 +205,7 @@ def deduplicate(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
     docs = docs.select(row_key(ident, text).alias("key"), ident.alias("doc_id"), text.alias("text"))
     texts = packed(docs)
     found = (repeated_windows(docs, texts, window).groupBy("key")
-             .agg(F.array_distinct(F.collect_list(F.struct("at", "size", "source"))).alias("windows")))
+             .agg(F.collect_set(F.struct("at", "size", "source")).alias("windows")))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("source", pa.int64()), ("source_start", pa.int32())]))

@@ -44,6 +44,20 @@ def test_repeats_on_few_words(spark):
     odd.same([tuple(r)[:4] for r in found.collect()], expected_removal(rows, 12))
 
 
+def test_many_rows_alike_beside_near_copies(spark):
+    """Rows alike in id and text are one key; near copies open all of its segments."""
+    rng = random.Random(6)
+    text = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]
+    near = [(k, " ".join(w if j != 100 * k else "other" for j, w in enumerate(text))) for k in (1, 2)]
+    rows = [(None, " ".join(text))] * 5000 + [(7, " ".join(text))] * 3 + near
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = substring_dedup.deduplicate(docs, 35).select("doc_id", "n_words", "n_removed", "kept")
+    odd.same([tuple(r) for r in found.collect()], expected_removal(rows, 35))
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "text")
+    windows = substring_dedup.repeated_windows(keyed, substring_dedup.packed(keyed), 35)
+    assert windows.groupBy("key").agg(F.collect_set(F.struct("at", "size", "source")).alias("w")).agg(F.max(F.size("w"))).first()[0] < 300
+
+
 def test_factors_are_copies_of_their_sources(spark):
     rows = odd.rows()
     found = substring_dedup.deduplicate(odd.documents(spark), 20).select("doc_id", "factors").collect()
