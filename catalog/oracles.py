@@ -201,6 +201,8 @@ _TOTAL = "tot AS (SELECT sum(use_s) AS w FROM d)"
 _BIG = f"""{_TOTAL}, big AS (SELECT exe_name, sum(use_s) AS w, count(*) AS n FROM d WHERE code IS NULL
   GROUP BY exe_name HAVING sum(use_s) >= 0.01 * (SELECT w FROM tot))"""
 
+_SPAN = "started >= TIMESTAMP '1996-01-10' AND started < TIMESTAMP '1998-02-03'"
+
 _REPORT_COLUMNS = (
     'SELECT label AS "Software", mn AS "Min", q1 AS "Q1", q2 AS "Median", q3 AS "Q3", mx AS "Max", jobs AS "Jobs", use AS "Nodeh", '
     'percent_use AS "PercentUse", kwh AS "kWh", percent_energy AS "PercentEnergy", users AS "Users", projects AS "Projects" FROM r')
@@ -237,6 +239,10 @@ ORACLES |= {
     "scan_usage": q(RAW, f"SELECT CAST(job_id AS VARCHAR) AS job_id, {_STR}, '1M' AS max_rss, cpu_freq, "
                          "CAST(ngpus AS VARCHAR) AS ngpus, sub_job_id FROM u"),
     "sink_merged": q(RAW, f"SELECT {COLS}, '1M' AS max_rss FROM u"),
+    "colocated_records": q(f"""{FX}, s AS (SELECT {COLS} FROM fx_steps WHERE state NOT IN {BAD} AND {_SPAN}),
+ j AS (SELECT {COLS} FROM fx_jobs WHERE state NOT IN {BAD} AND {_SPAN}),
+ u AS (SELECT * FROM s UNION ALL SELECT * FROM j WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.job_id = j.job_id))""",
+        "SELECT u.* REPLACE (CASE WHEN u.job_id % 13 <> 0 THEN upper(x.user_name) END AS user_name) FROM u JOIN fx_jobs x ON x.job_id = u.job_id"),
     "usage_records": q(f"""{FX}, s AS (SELECT *, 0 AS src FROM fx_steps WHERE state NOT IN {BAD} AND sub_job_id <> '5'),
  j AS (SELECT *, 1 AS src FROM fx_jobs WHERE state NOT IN {BAD}),
  u AS (SELECT * FROM s UNION ALL SELECT * FROM j WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.job_id = j.job_id)),

@@ -15,7 +15,7 @@ from jobuse.operators import assemble, classify, filters, identity, joins, matri
 from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
 from jobuse.session import cut, shared_dir
-from jobuse.sources import definitions, dumps, report as report_source, sinks
+from jobuse.sources import definitions, dumps, report as report_source, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,6 +152,28 @@ def _(spark, d):
     return spark.read.parquet(path).drop("mean_rss")
 
 
+def bucketed(spark, d, buckets: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps and jobs by month, and users, in tables of as many buckets of job ids."""
+    def table(rows, kind, time=None):
+        name = f"{kind}_{uuid.uuid4().hex}"
+        return tables.write_table(rows, name, f"{shared_dir(spark)}/{name}", buckets, time)
+
+    users = fx.jobs(spark, d).filter("job_id % 13 <> 0").select("job_id", F.upper("user_name").alias("user_name"))
+    return (table(filters.kept_states(fx.steps(spark, d, extra=True)), "steps", "started"),
+            table(filters.kept_states(fx.jobs(spark, d, extra=True)), "jobs", "started"), table(users, "users"))
+
+
+def colocated(steps: DataFrame, jobs: DataFrame, users: DataFrame) -> DataFrame:
+    """Records of two years and a few days from bucketed tables."""
+    import datetime as dt
+    return runs.records_of_tables(steps, jobs, users, "started", dt.datetime(1996, 1, 10), dt.datetime(1998, 2, 3)).select(*ASSEMBLED)
+
+
+@query("colocated_records")
+def _(spark, d):
+    return colocated(*bucketed(spark, d))
+
+
 @query("usage_records")
 def _(spark, d):
     """The whole way from dump files: steps with batch entries, jobs, users, GPUs."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.functions.scalars import job_id_of
-from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu
+from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu, tag_jobs, tag_steps
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
 from jobuse.operators.identity import anonymous_users, unidentified_report
 from jobuse.operators.quality import energy_quality, node_power_quality
@@ -17,6 +17,7 @@ from jobuse.plans.facts import facts_of
 from jobuse.session import stored
 from jobuse.sources.dumps import with_job_ids
 from jobuse.sources.sinks import has_rows, write_result
+from jobuse.sources.tables import rows_between
 
 
 def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: UsageConfig,
@@ -34,6 +35,19 @@ def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: Usag
     return join_gpu(rows, counts)
 
 
+def records_of_tables(steps: DataFrame, jobs: DataFrame, users: DataFrame, time: str = "started",
+                      start=None, end=None) -> DataFrame:
+    """Step-level records of a range of time, from tables bucketed by job id (``write_table``).
+
+    Users are joined to steps and to jobs apart: a union forgets how its rows lie.
+    With as many buckets in all three tables nothing is shuffled.
+    """
+    step_rows, job_rows = (rows_between(t, time, start, end) for t in (steps, jobs))
+    stepped = step_rows.select("job_id").distinct()
+    without = tag_jobs(job_rows).join(stepped, "job_id", "left_anti")
+    return join_by_job(tag_steps(step_rows), users, "user_name").unionByName(join_by_job(without, users, "user_name"))
+
+
 def energy_records(jobs: DataFrame, step_exes: DataFrame, cfg: UsageConfig) -> DataFrame:
     """Job-level records, named by the executable of each job's first step.
 

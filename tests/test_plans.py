@@ -1,11 +1,14 @@
 """Shape of the plans: what is read, what is broadcast, what must not appear."""
 
+import datetime as dt
+
 import pytest
 
 from catalog import fixtures as fx
-from catalog.queries import NODEH, QUERIES, facts
+from catalog.queries import NODEH, QUERIES, bucketed, colocated, facts
 from jobuse.operators import stats
 from jobuse.operators.classify import definition_index
+from jobuse.sources import tables
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -47,3 +50,30 @@ def test_the_pass_over_facts_combines_before_its_only_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1 and "Join" not in plan and "Sort" not in plan
     assert plan.index("Exchange") < plan.index("partial_sum") < plan.index("Expand") < plan.index("FileScan")
     assert "node_power" not in plan and "job_id" not in plan
+
+
+def test_bucketed_tables_are_assembled_where_they_lie(spark):
+    """No shuffle above the scans, and only the folders of the months asked for."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        records = colocated(*bucketed(spark, SF, buckets=4))
+        plan = plan_of(records)
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 3
+        assert plan.count("PartitionFilters: [isnotnull(period") == 3 and "Bucketed: true" in plan
+        assert records.count() > 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_bucketed_table_is_found_again(spark, tmp_path):
+    rows = spark.sql("SELECT id % 50 AS job_id, id AS n, timestamp '2024-01-15' + make_interval(0, id % 5) AS started FROM range(400) "
+                     "UNION ALL SELECT 7, 400, NULL")
+    path = str(tmp_path / "t")
+    first = tables.write_table(rows, "bucketed_first", path, 4, "started")
+    again = tables.attach_table(spark, "bucketed_again", path, "job_id BIGINT, n BIGINT, started TIMESTAMP", 4, "started")
+    assert sorted(again.drop("period").collect(), key=str) == sorted(first.drop("period").collect(), key=str) == sorted(rows.collect(), key=str)
+    some = tables.rows_between(again, "started", dt.datetime(2024, 2, 1), dt.datetime(2024, 4, 1))
+    assert sorted(r.n for r in some.collect()) == [n for n in range(400) if n % 5 in (1, 2)]
+    assert "Exchange" not in plan_of(again.groupBy("job_id").count())
+    for name in ("bucketed_first", "bucketed_again"):
+        spark.sql(f"DROP TABLE {name}")
