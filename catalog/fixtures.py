@@ -67,6 +67,22 @@ FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey
  JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN {part} p ON l.l_partkey = p.p_partkey
 """
 
+# Names with a step's number and, in places, its user.
+FX_LONG_NAME = "concat(exe_name, '_', job_id % 10, CASE WHEN job_id % 4 = 0 THEN concat('/', user_name) ELSE '' END)"
+
+# A dictionary as long as the customer list: words, tied, wild and optional words, groups.
+FX_DEFS = """
+SELECT ord, name, pattern, 'GridA' AS motif, CASE WHEN ord % 2 = 0 THEN 'C' END AS language FROM (
+ SELECT 3 * k AS ord, concat('A ', p) AS name, concat('^', p, '_', k % 10) AS pattern FROM
+  (SELECT replace(p_name, ' ', '_') AS p, min(p_partkey) AS k FROM {part} GROUP BY p_name) a
+ UNION ALL SELECT 3 * k + 1, concat('B ', p), concat(substr(p, 1, 3), '.*', right(p, 3), '_7$') FROM
+  (SELECT replace(p_name, ' ', '_') AS p, min(p_partkey) AS k FROM {part} WHERE p_size < 9 GROUP BY p_name) b
+ UNION ALL SELECT 3 * k + 2, concat('C ', p), concat(p, '_5/|', p, 'x?_9') FROM
+  (SELECT replace(p_name, ' ', '_') AS p, min(p_partkey) AS k FROM {part} WHERE p_size > 40 GROUP BY p_name) c
+ UNION ALL SELECT 1000000000 + CAST(r_regionkey AS BIGINT), r_name, concat('^(red|small)_.*_', r_regionkey, '$') FROM {region}
+ UNION ALL SELECT 2000000000 + c_custkey, concat('user ', c_custkey), c_name FROM {customer}) x
+"""
+
 FX_ALL_AREAS = """
 SELECT concat('p', n.n_nationkey) AS project_id, r.r_name AS area
 FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey

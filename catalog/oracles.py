@@ -343,6 +343,14 @@ ORACLES |= {
    ON u.src = 0 AND g.job_id = u.job_id AND g.sub_job_id = u.sub_job_id
   LEFT JOIN alloc b ON u.src = 1 AND b.job_id_raw = CAST(u.job_id AS VARCHAR)"""),
     "join_area": q(FACTS, "SELECT job_id, sub_job_id, project_id, area FROM d"),
+    "classify_by_words": q(f"""{FX}, defs AS ({fx.oracle_text(fx.FX_DEFS)}),
+ r AS (SELECT * REPLACE ({fx.FX_LONG_NAME} AS exe_name) FROM fx_steps), e AS (SELECT DISTINCT exe_name FROM r),
+ m AS (SELECT exe_name, max(ord) AS ord FROM (
+   SELECT exe_name, ord FROM e JOIN defs ON ord < 2000000000 AND regexp_matches(exe_name, pattern)
+   UNION ALL SELECT exe_name, ord FROM e JOIN defs ON ord >= 2000000000 AND contains(exe_name, pattern)) GROUP BY exe_name)""",
+        """SELECT job_id, sub_job_id, r.exe_name, coalesce(name, 'Unknown') AS software, coalesce(motif, 'Unknown') AS motif,
+ CASE WHEN defs.ord IS NULL THEN 'Unknown' ELSE coalesce(language, '') END AS language
+ FROM r LEFT JOIN m ON r.exe_name = m.exe_name LEFT JOIN defs ON m.ord = defs.ord"""),
     "classify_exe": q(FACTS, "SELECT job_id, sub_job_id, exe_name, software, motif, language FROM d"),
     "motif_tokens": q(FACTS, "SELECT DISTINCT token FROM (SELECT unnest(string_split(motif, ' ')) AS token FROM d) z WHERE token <> ''"),
     "lang_tokens": q(FACTS, "SELECT DISTINCT token FROM (SELECT unnest(string_split(language, ' ')) AS token FROM d) z WHERE token <> ''"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import fixtures as fx
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
-from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats
+from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats, wordindex
 from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
 from jobuse.session import cut, shared_dir
@@ -595,6 +595,13 @@ def _(spark, d):
         *ID, "exe_name", "software", "motif", "language")
 
 
+@query("classify_by_words")
+def _(spark, d):
+    """A dictionary that grows with the tables: tied, wild and optional words, groups, and every customer."""
+    rows = fx.steps(spark, d).withColumn("exe_name", F.expr(fx.FX_LONG_NAME))
+    return wordindex.with_classes_by_words(rows, fx.view(spark, d, fx.FX_DEFS)).select(*ID, "exe_name", "software", "motif", "language")
+
+
 def _classified(spark, d):
     return classify.with_classes(
         facts(spark, d).groupBy("exe_name").agg(F.count("*").alias("rows")), fx.dictionary())

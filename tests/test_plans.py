@@ -19,7 +19,7 @@ def plan_of(df) -> str:
 
 
 @pytest.mark.parametrize("name", [
-    "assemble_usage", "assemble_usage_keep_last", "classify_exe", "join_user", "join_gpu", "join_area", "join_step_exe",
+    "assemble_usage", "assemble_usage_keep_last", "classify_exe", "classify_by_words", "join_user", "join_gpu", "join_area", "join_step_exe",
     "anon_users", "dist_code_power", "dist_area_size", "energy_area_size", "user_split_unidentified",
     "sched_matrix_dense", "combine_summaries", "top_code_boxstats"])
 def test_no_pairwise_joins_and_no_python(spark, name):
