@@ -11,9 +11,10 @@ every k + 1 diagonals, so that some band holds all of them; bands that reach the
 bound are verified by an alignment held to the band.
 
 Texts and items are compared as lower-case letters and digits; whatever lies
-between words counts as one space. Items are the query set: they are indexed in
-blocks of bounded size, each block broadcast, and documents are read against it
-where they are. Nothing is shuffled.
+between words counts as one space. Items are the query set: they lie in the shared
+folder in blocks of bounded size, and workers read block after block against
+documents where these are. Documents are not shuffled. Very long texts are read
+whole, and worker memory follows the longest.
 
 Items no longer than a passage are matched whole, those of fewer than ``shortest``
 characters exactly and as whole words (in scripts without spaces, anywhere). Null
@@ -22,18 +23,21 @@ in text match alike. Repeated rows are matched each for itself. Without items,
 nothing matches.
 """
 
-import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from jobuse.llm.common import small_batches, unused, worker_state
+from jobuse.llm.common import scratch, small_batches, unused, worker_state
 from jobuse.llm.pieces import text_slices
 from jobuse.llm.words import BYTE_STEP, Sums
 
 SLICE_BYTES = 1 << 19
+HELD_BYTES = 32 << 20       # texts held for a round of blocks, which takes longer than building the indexes
 FILTER_BITS = 20
 ENTRIES = 4_000_000         # shared q-grams counted at a time
 ALIGNED = 20_000            # bands aligned at a time
@@ -43,7 +47,7 @@ FOUND = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), *(T.St
 
 @dataclass(frozen=True)
 class Filter:
-    """``block_chars`` bounds what is broadcast at a time."""
+    """``block_chars`` bounds what is indexed at a time (a longer item is a block)."""
 
     q: int = 8
     passage: int = 40
@@ -296,38 +300,65 @@ def _merged(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return merged
 
 
-def _index(key: str, items: list[tuple[int, str]], f: Filter) -> Index:
-    """The worker's index of a block, built on first use."""
+def _index(block: str, f: Filter) -> Index:
+    """The worker's index of a block (a folder of items), built from its files; one is kept."""
     state = worker_state()
-    if getattr(state, "grams_key", None) != key:
-        state.grams, state.grams_key = Index(items, f), key
+    if getattr(state, "grams_key", None) != (block, f):
+        state.grams = state.grams_key = None
+        system, folder = fs.FileSystem.from_uri(block)
+        items = pq.read_table(folder, filesystem=system, partitioning=None).select(["item_id", "text"]).to_pylist()
+        state.grams = Index(sorted(((x["item_id"], x["text"]) for x in items), key=str), f)
+        state.grams_key = (block, f)
     return state.grams
 
 
-def _found(items: list[tuple[int, str]], f: Filter, spark):
-    block = spark.sparkContext.broadcast(items)
-    key = hashlib.sha256(repr((items, f)).encode()).hexdigest()
-
-    def of(texts: pa.Array) -> pa.Array:
-        index = _index(key, block.value, f)
-        out = []
-        for part in text_slices(texts, SLICE_BYTES):
-            out += [[dict(zip(("item_id", "start", "end", "edits"), x)) for x in found] for found in index.matches(part.to_pylist())]
-        return pa.array(out, pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])))
+def _found(blocks: list[str], f: Filter):
+    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
+
+    def against_all(texts: list[pa.Array]) -> pa.Array:
+        out: list[list] = [[] for _ in range(sum(map(len, texts)))]
+        for block in blocks:
+            index, at = _index(block, f), 0
+            for part in (part for some in texts for part in text_slices(some, SLICE_BYTES)):
+                for found in index.matches(part.to_pylist()):
+                    out[at] += [dict(zip(("item_id", "start", "end", "edits"), x)) for x in found]
+                    at += 1
+        return pa.array(out, kind)
+
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held, size = [], 0
+        for texts in batches:
+            held.append(texts)
+            size += texts.nbytes
+            # With a single block its index stays, so nothing is gained by waiting.
+            if len(blocks) == 1 or size >= HELD_BYTES:
+                yield against_all(held)
+                held, size = [], 0
+        if held:
+            yield against_all(held)
 
     return F.arrow_udf(of, FOUND)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), text_col: str = "text") -> Column:
-    """A column of the benchmark passages in each text: item, place in the text (code points) and edits."""
+    """A column of the benchmark passages in each text: item, place in the text (code points) and edits.
+
+    The benchmark is written in blocks to the shared folder. A worker reads texts
+    of some ``HELD_BYTES``, then one block after another, and keeps one index at a
+    time; neither the driver nor the plan holds any items.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-chars // f.block_chars))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
-    columns = [_found(sorted(map(tuple, items.where(part == b).collect()), key=str), f, spark)(F.col(f"`{text_col}`")) for b in range(blocks)]
-    return F.concat(*columns) if blocks > 1 else columns[0]
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-chars // f.block_chars))))
+    folder = scratch(spark, "benchmark")
+    table = items.withColumn("block", part)
+    table.repartition("block").write.partitionBy("block").parquet(folder)
+    full = [r["block"] for r in table.select("block").distinct().orderBy("block").collect()]
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return _found([f"{uri}/block={b}" for b in full], f)(F.col(f"`{text_col}`"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -336,7 +367,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), id
     return found.select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.*")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without benchmark passages, with all their columns."""
+def clean(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), text_col: str = "text", least_chars: int = 25) -> DataFrame:
+    """The rows of ``docs`` without benchmark passages of ``least_chars`` characters, with all their columns.
+
+    Shorter finds are whole items of a word or a few, which are no sign of a leak:
+    ``contaminated`` reports them, but no document goes for them.
+    """
     name = unused(docs, "found")
-    return docs.withColumn(name, leaks(docs, benchmark, f, text_col)).where(F.size(name) == 0).drop(name)
+    leaked = F.exists(name, lambda x: x["end"] - x["start"] >= least_chars)
+    return docs.withColumn(name, leaks(docs, benchmark, f, text_col)).where(~leaked).drop(name)

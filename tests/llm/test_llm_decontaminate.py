@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from jobuse.llm import decontaminate as d
 
@@ -144,6 +145,32 @@ def test_short_items_match_exactly_as_whole_words():
     assert index.matches(["so: WHY -- SIX!"])[0][0] == (1, 4, 14, 0)
 
 
+def test_short_items_are_reported_but_no_reason_to_drop(spark):
+    benchmark = spark.createDataFrame([(1, "the"), (2, "What is the capital of the republic of Chad?"), (3, "a")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the end"), (2, "a b"), (3, "Q: what is the capital of the Republic of Chad? A: N'Djamena"), (4, None)],
+                                 "doc_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in d.contaminated(docs, benchmark).collect()}
+    assert found == {(1, 1), (2, 3), (3, 1), (3, 2), (3, 3)}
+    assert {r.doc_id for r in d.clean(docs, benchmark).collect()} == {1, 2, 4}
+    assert {r.doc_id for r in d.clean(docs, benchmark, least_chars=1).collect()} == {4}
+
+
+def test_a_long_benchmark_is_read_in_blocks(spark, monkeypatch):
+    """Every item of many blocks is found; a worker's batches are held for a round of blocks."""
+    rng = random.Random(4)
+    items = [(k, sentence(rng, 60)) for k in range(120)]
+    docs = [(k, f"{sentence(rng, 20)} {text} {sentence(rng, 20)}") for k, text in items] + [(1000 + k, sentence(rng, 60)) for k in range(50)]
+    f = d.Filter(block_chars=2000)
+    monkeypatch.setattr(d, "HELD_BYTES", 5000)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    column = d.leaks(frame, benchmark, f)
+    found = frame.select("doc_id", F.transform(column, lambda x: x["item_id"]).alias("items"))
+    assert {r.doc_id: r["items"] for r in found.collect()} == {k: [k] if k < 1000 else [] for k, _ in docs}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_parts_of_a_slice_find_the_same(monkeypatch):
     rng = random.Random(11)
     items = [(k, sentence(rng, 30)) for k in range(6)]
