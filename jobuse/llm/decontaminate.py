@@ -337,7 +337,8 @@ def _found(blocks: list[str], f: Filter):
         if held:
             yield against_all(held)
 
-    return F.arrow_udf(of, FOUND)
+    # Not to be evaluated once more by a filter that Spark derives from it.
+    return F.arrow_udf(of, FOUND).asNondeterministic()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, f: Filter = Filter(), text_col: str = "text") -> Column:

@@ -167,8 +167,8 @@ def test_a_long_benchmark_is_read_in_blocks(spark, monkeypatch):
     column = d.leaks(frame, benchmark, f)
     found = frame.select("doc_id", F.transform(column, lambda x: x["item_id"]).alias("items"))
     assert {r.doc_id: r["items"] for r in found.collect()} == {k: [k] if k < 1000 else [] for k, _ in docs}
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1
+    for df in (found, d.contaminated(frame, benchmark, f), d.clean(frame, benchmark, f)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
 def test_parts_of_a_slice_find_the_same(monkeypatch):
