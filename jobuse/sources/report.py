@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # The size classes of the report, in nodes.
 SIZES = [
@@ -19,24 +19,63 @@ def _checked(cell: Column, kind: str) -> Column:
     return F.when(value.isNotNull(), value).otherwise(F.raise_error(where).cast(kind))
 
 
-def report_rows(texts: DataFrame) -> DataFrame:
-    """Data rows of report texts (columns ``file_path`` and ``value``).
+def numbered_lines(spark: SparkSession, path) -> DataFrame:
+    """Lines of reports (``file_path, split, id, text``), in the order of their ids within a split.
 
-    A short row or one whose numbers are none is an error.
+    A split is what one task reads of a file, as long as
+    ``spark.sql.files.maxPartitionBytes`` at most; ``split`` is where it starts.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").alias("text"))
+
+
+def _runtime(text: Column) -> Column:
+    return F.regexp_extract(text, r"^Runtime:\s*(\S+)", 1)
+
+
+def with_blocks(lines: DataFrame) -> DataFrame:
+    """Lines that lie in a block, with ``block``, ``runtime`` and ``line`` (the ``Runtime:`` line is 0).
+
+    What a block's first line says is carried to the lines after it, across splits:
+    each split is summarised in one row (its lines, heads, last head and last
+    end of a block), a running pass over the summaries of a file gives what each
+    split begins with, and lines are filled within their split. So a report of
+    any length is read by many tasks, and a block of any length too.
+    """
+    head, end = F.col("text").startswith("Runtime:"), F.col("text").startswith(",")
+    split = ["file_path", "split"]
+    # Ids of a split follow each other without gaps, so they count lines.
+    marks = {"last_head": F.max(F.when(head, F.col("id"))), "last_end": F.max(F.when(end, F.col("id"))),
+             "last_runtime": F.max_by(_runtime(F.col("text")), F.when(head, F.col("id")))}
+    summaries = lines.groupBy(*split).agg(F.min("id").alias("first_id"), F.count("*").alias("lines"), F.count_if(head).alias("heads"),
+                                          *[c.alias(name) for name, c in marks.items()])
+    before = Window.partitionBy("file_path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    # Places of lines in the file, whatever split they are in.
+    placed = summaries.withColumn("base", F.coalesce(F.sum("lines").over(before), F.lit(0)) - F.col("first_id"))
+    carried = placed.select(
+        *split, "base", F.coalesce(F.sum("heads").over(before), F.lit(0)).alias("blocks_before"),
+        *[F.last(c, ignorenulls=True).over(before).alias(name) for name, c in {
+            "head_before": F.col("last_head") + F.col("base"), "end_before": F.col("last_end") + F.col("base"),
+            "runtime_before": F.col("last_runtime")}.items()])
+    so_far = Window.partitionBy(*split).orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    filled = lines.join(carried, split).withColumn("place", F.col("id") + F.col("base")).withColumns({
+        "block": F.col("blocks_before") + F.count_if(head).over(so_far) - 1,
+        "head": F.coalesce(F.last(F.when(head, F.col("place")), ignorenulls=True).over(so_far), "head_before"),
+        "end": F.coalesce(F.last(F.when(end, F.col("place")), ignorenulls=True).over(so_far), "end_before"),
+        "runtime": F.coalesce(F.last(F.when(head, _runtime(F.col("text"))), ignorenulls=True).over(so_far), "runtime_before")})
+    inside = filled.filter(F.col("head").isNotNull() & (F.col("end").isNull() | (F.col("end") < F.col("head"))))
+    return inside.select("file_path", F.col("block").cast("int").alias("block"), "runtime",
+                         (F.col("place") - F.col("head")).cast("int").alias("line"), "text")
 
-    A block starts at a ``Runtime:`` line and ends at a line that starts with a
-    comma. Each text is cut into blocks, then into lines, with row-local
-    expressions: there is no shuffle, and a task holds one report at a time.
+
+def read_report(spark: SparkSession, path) -> DataFrame:
+    """Data rows of reports. A short row or one whose numbers are none is an error.
+
+    A block starts at a ``Runtime:`` line and ends at a line that starts with a comma.
     """
-    blocks = texts.select(
-        "file_path", F.posexplode(F.split("value", r"(?m)^Runtime:")).alias("block", "body"),
-    ).filter("block > 0")
-    closed = F.regexp_extract("body", r"(?ms)\A(.*?)(?=^,|\z)", 1)
-    lines = blocks.select(
-        "file_path", (F.col("block") - 1).alias("block"),
-        F.regexp_extract("body", r"\A\s*(\S+)", 1).alias("runtime"),
-        F.posexplode(F.split(closed, r"\r?\n")).alias("line", "text"),
-    ).filter((F.col("line") > 0) & ~F.col("text").startswith("Nodes") & (F.trim("text") != ""))
+    lines = with_blocks(numbered_lines(spark, path)).filter(
+        (F.col("line") > 0) & ~F.col("text").startswith("Nodes") & (F.trim("text") != ""))
     cell = F.split(F.rtrim("text"), ",")
     return lines.select(
         "file_path", "block", "line", "runtime",
@@ -49,18 +88,6 @@ def report_rows(texts: DataFrame) -> DataFrame:
     )
 
 
-def read_report(spark: SparkSession, path) -> DataFrame:
-    texts = spark.read.text(path, wholetext=True)
-    return report_rows(texts.select(F.col("_metadata.file_path").alias("file_path"), "value"))
-
-
 def report_blocks(spark: SparkSession, path) -> DataFrame:
     """The runtime classes themselves, including blocks without data rows."""
-    texts = spark.read.text(path, wholetext=True)
-    return texts.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.posexplode(F.split("value", r"(?m)^Runtime:")).alias("block", "body"),
-    ).filter("block > 0").select(
-        "file_path", (F.col("block") - 1).alias("block"),
-        F.regexp_extract("body", r"\A\s*(\S+)", 1).alias("runtime"),
-    )
+    return with_blocks(numbered_lines(spark, path)).filter("line = 0").select("file_path", "block", "runtime")

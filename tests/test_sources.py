@@ -1,5 +1,7 @@
 """Readers and writers on hand-written files."""
 
+import random
+
 import pytest
 
 from jobuse.session import shared_dir
@@ -132,6 +134,38 @@ def test_report(spark, tmp_path):
     assert [r.runtime for r in report.report_blocks(spark, path).orderBy("block").collect()] == ["0-3", "3-6"]
 
 
+def test_a_report_is_read_in_many_splits(spark, tmp_path):
+    """Blocks begin, go on and end in any split; the same rows come from one split and from hundreds."""
+    rng = random.Random(5)
+    text, expected, block = "heading\n", [], -1
+    for block in range(60):
+        text += f"Runtime: {block}h or so\nNodes,Submitted\n"
+        n = rng.choice([0, 0, 1, 2, 5, 400])
+        for k in range(n):
+            text += f"{k},{k},{block},0.5,x,0:0:{k},0.25\n" + rng.choice(["", "", "\n"])
+        expected += [(block, f"{block}h", str(k), k, block) for k in range(n)]
+        text += rng.choice(["", ",9,9\nnot,a,row\n"])
+    write(tmp_path, "a.txt", text)
+    write(tmp_path, "b.txt", "no block\n1,2\n")
+    write(tmp_path, "c.txt", "")
+    write(tmp_path, "d.txt", REPORT.replace("\n", "\r\n"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("128MB", "700"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            lines = report.numbered_lines(spark, str(tmp_path))
+            assert size == "128MB" or lines.rdd.getNumPartitions() > 50
+            rows = report.read_report(spark, str(tmp_path)).collect()
+            blocks = report.report_blocks(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        of_a = [r for r in rows if r.file_path.endswith("a.txt")]
+        assert [(r.block, r.runtime, r["size"], r.submitted, r.ran) for r in sorted(of_a, key=lambda r: (r.block, r.line))] == expected
+        assert sorted((r.block, r.runtime) for r in blocks if r.file_path.endswith("a.txt")) == [(k, f"{k}h") for k in range(60)]
+        assert {(r.block, r["size"]) for r in rows if r.file_path.endswith("d.txt")} == {(0, "1"), (0, "3-4"), (1, "2")}
+        assert len(rows) == len(expected) + 3 and len(blocks) == 62
+
+
 def test_summaries_by_pattern(spark, tmp_path):
     for name, rows in {"jan_CodeSize.csv": "A,1.5,2", "feb_CodeSize.csv": "A,2.5,3", "jan_AreaSize.csv": "Z,9,9"}.items():
         write(tmp_path, name, f"Software,Nodeh,Users\n{rows}\n")
