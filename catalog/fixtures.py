@@ -101,6 +101,7 @@ FROM {orders} o
 GROUP BY CAST(substr(o.o_orderpriority, 1, 1) AS INT), o.o_custkey % 6, o.o_orderkey % 15
 """
 SCHED_SIZES = [*SIZES, "8193-16384"]
+HOT_JOB = 7                # the job that most rows of a skewed table lie on
 SCHED_EMPTY_BLOCK = 6      # a runtime class without rows
 
 

@@ -336,6 +336,9 @@ ORACLES |= {
    count(*) OVER (PARTITION BY job_id) AS n FROM a)""", f"SELECT {COLS} FROM k WHERE rn > 1 OR n = 1"),
     "join_user": q(RAW, "SELECT u.job_id, u.sub_job_id, upper(x.user_name) AS user_name, u.exe_name FROM u "
                         "LEFT JOIN (SELECT * FROM fx_jobs WHERE job_id % 13 <> 0) x ON x.job_id = u.job_id"),
+    "join_user_hot": q(RAW, f"""SELECT h.job_id, h.sub_job_id, upper(x.user_name) AS user_name, h.exe_name, h.runtime
+  FROM (SELECT * REPLACE (CASE WHEN runtime % 20 = 0 THEN NULL WHEN runtime % 20 = 1 THEN job_id ELSE {fx.HOT_JOB} END AS job_id) FROM u) h
+  LEFT JOIN (SELECT * FROM fx_jobs WHERE job_id % 13 <> 0) x ON x.job_id = h.job_id"""),
     "join_step_exe": q(f"{RAW}, {FIRST}", "SELECT job_id, exe_name, account, nodes, runtime FROM ej"),
     "join_gpu": q(f"{RAW}, {_JOB_ALLOC}", """SELECT u.job_id, u.sub_job_id, u.exe_name, CASE WHEN u.src = 0 THEN CAST(g.n AS DOUBLE)
   WHEN b.allocation LIKE '%gres/gpu=%' THEN CAST(b.ngpus AS DOUBLE) END AS ngpus FROM u

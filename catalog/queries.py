@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from catalog import fixtures as fx
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
-from jobuse.operators import assemble, classify, filters, identity, joins, matrix, quality, rollup, stats, wordindex
+from jobuse.operators import assemble, classify, filters, hotkeys, identity, joins, matrix, quality, rollup, stats, wordindex
 from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
 from jobuse.session import cut, shared_dir
@@ -569,6 +569,17 @@ def _(spark, d):
     return assemble.join_by_job(raw_usage(spark, d), users, "user_name").select(*ID, "user_name", "exe_name")
 
 
+@query("join_user_hot")
+def _(spark, d):
+    """Nine rows in ten lie on one job, and one in twenty on none; both are split before the join."""
+    rows = raw_usage(spark, d)
+    turn = F.col("runtime") % 20
+    rows = rows.withColumn("job_id", F.when(turn == 0, F.lit(None)).when(turn == 1, F.col("job_id")).otherwise(fx.HOT_JOB))
+    users = fx.jobs(spark, d).filter("job_id % 13 <> 0").select("job_id", F.upper("user_name").alias("user_name"))
+    hot = hotkeys.hot_keys(rows)
+    return assemble.join_by_job(rows, users, "user_name", hot).select("job_id", "sub_job_id", "user_name", "exe_name", "runtime")
+
+
 @query("join_step_exe")
 def _(spark, d):
     return raw_energy(spark, d).select("job_id", "exe_name", "account", "nodes", "runtime")

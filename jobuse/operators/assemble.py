@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobuse.functions.scalars import gpu_count, step_order
 from jobuse.operators.filters import gpu_rows
+from jobuse.operators.hotkeys import HotKeys, join_split
 from jobuse.sources.dumps import with_job_ids
 
 # How a job without steps is tagged.
@@ -22,12 +23,13 @@ def tag_jobs(jobs: DataFrame) -> DataFrame:
         "exe_name": F.lit(NO_STEP_EXE), "sub_job_id": F.lit(NO_STEP_ID), "src": F.lit(1)})
 
 
-def assemble_usage(steps: DataFrame, jobs: DataFrame, mode: str = "anti") -> DataFrame:
+def assemble_usage(steps: DataFrame, jobs: DataFrame, mode: str = "anti", hot: HotKeys | None = None) -> DataFrame:
     """Steps, plus the jobs that have none.
 
     ``mode='anti'`` does that literally. ``mode='keep_last'`` follows the rule
     "drop the last row of every repeated job id", which differs where the job row
-    of a stepped job is itself missing.
+    of a stepped job is itself missing. ``hot`` names the ids that very many job
+    rows share (null above all), which the anti join then splits.
     """
     tagged = tag_jobs(jobs)
     if mode == "keep_last":
@@ -37,7 +39,8 @@ def assemble_usage(steps: DataFrame, jobs: DataFrame, mode: str = "anti") -> Dat
     # Steps stay where they are; only their distinct job ids are shuffled, so a
     # job with very many steps sends one id per task.
     stepped = steps.select("job_id").distinct()
-    return tag_steps(steps).unionByName(tagged.join(stepped, "job_id", "left_anti"))
+    without = join_split(tagged, stepped, ["job_id"], hot or HotKeys("job_id", {}), "left_anti")
+    return tag_steps(steps).unionByName(without.select(*tagged.columns))
 
 
 def drop_last_of_repeated(rows: DataFrame) -> DataFrame:
@@ -63,14 +66,15 @@ def drop_last_of_repeated(rows: DataFrame) -> DataFrame:
     return left.filter("_n > 0").select(*rows.columns, copies.alias("_copy")).drop("_copy")
 
 
-def join_by_job(rows: DataFrame, values: DataFrame, column: str) -> DataFrame:
+def join_by_job(rows: DataFrame, values: DataFrame, column: str, hot: HotKeys | None = None) -> DataFrame:
     """Replace ``column`` by the value mapped to the row's job id (NULL if none).
 
     Both sides are as long as the job list, so this is a shuffled join; a job
-    holding very many rows is split by the adaptive skew join.
+    holding very many rows is split: beforehand where ``hot`` names it, otherwise
+    by the adaptive skew join.
     """
     order = rows.columns if column in rows.columns else rows.columns + [column]
-    return rows.drop(column).join(values, "job_id", "left").select(*order)
+    return join_split(rows.drop(column), values, ["job_id"], hot or HotKeys("job_id", {})).select(*order)
 
 
 def gpu_counts(allocations: DataFrame, jobs: bool = False) -> DataFrame:
@@ -84,7 +88,7 @@ def gpu_counts(allocations: DataFrame, jobs: bool = False) -> DataFrame:
         F.max(gpu_count(F.col("allocation"))).alias("ngpus"))
 
 
-def join_gpu(rows: DataFrame, counts: DataFrame) -> DataFrame:
+def join_gpu(rows: DataFrame, counts: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """GPU counts by job and step; steps and step-less jobs are kept apart by ``src``."""
-    return rows.drop("ngpus").join(counts, ["src", "job_id", "sub_job_id"], "left").select(
-        *[c for c in rows.columns if c != "ngpus"], "ngpus")
+    joined = join_split(rows.drop("ngpus"), counts, ["src", "job_id", "sub_job_id"], hot or HotKeys("job_id", {}))
+    return joined.select(*[c for c in rows.columns if c != "ngpus"], "ngpus")

@@ -10,6 +10,7 @@ from jobuse.config import UsageConfig
 from jobuse.functions.scalars import job_id_of
 from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu, tag_jobs, tag_steps
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
+from jobuse.operators.hotkeys import hot_keys
 from jobuse.operators.identity import anonymous_users, unidentified_report
 from jobuse.operators.quality import energy_quality, node_power_quality
 from jobuse.plans.analyses import analyses_of, distributions_of, report_table
@@ -22,17 +23,23 @@ from jobuse.sources.tables import rows_between
 
 def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: UsageConfig,
                   gpu_steps: DataFrame | None = None, gpu_jobs: DataFrame | None = None,
-                  mode: str = "anti") -> DataFrame:
-    """Step-level records from step, job and user dumps (and GPU dumps)."""
+                  mode: str = "anti", split_hot: bool = False) -> DataFrame:
+    """Step-level records from step, job and user dumps (and GPU dumps).
+
+    ``split_hot`` looks for job ids that hold a large part of the steps or of the jobs (one more pass
+    over their ids) and splits them in every join; without it that is left to the adaptive skew join.
+    """
     step_rows = with_job_ids(kept_states(real_steps(steps), cfg))
     job_rows = with_job_ids(kept_states(jobs, cfg)).drop("sub_job_id")
-    rows = join_by_job(assemble_usage(step_rows, job_rows, mode), users, "user_name")
+    hot_jobs = hot_keys(job_rows) if split_hot else None
+    hot = hot_keys(step_rows.select("job_id").unionByName(job_rows.select("job_id"))) if split_hot else None
+    rows = join_by_job(assemble_usage(step_rows, job_rows, mode, hot_jobs), users, "user_name", hot)
     if gpu_steps is None:
         return rows
     counts = gpu_counts(real_steps(gpu_steps))
     if gpu_jobs is not None:
         counts = counts.unionByName(gpu_counts(gpu_jobs, jobs=True))
-    return join_gpu(rows, counts)
+    return join_gpu(rows, counts, hot)
 
 
 def records_of_tables(steps: DataFrame, jobs: DataFrame, users: DataFrame, time: str = "started",
