@@ -2,17 +2,22 @@
 
 Everything is built-in functions. Four base kinds (e-mail, IP address, payment
 card, phone) are found by their patterns and always count. Other candidate spans
-- long tokens with digits in them - get the votes of regex, gazetteer and
+- long tokens with digits in them, and whatever is assigned to a name that ends in
+a word - get the votes of regex, gazetteer and
 context labelers. Expectation-maximisation over the counts of vote patterns
 estimates how reliable each labeler is; the posteriors of the patterns then
 train the span classifier, a naive Bayes model over what a span and its
 surroundings look like. Candidates that it accepts and no base span touches are
-added, as kind ``secret``.
+added: as kind ``account`` where their form or the name before them is that of a
+personal number (bank account, social security, passport), else as ``secret``.
 
 Votes and features are counted over all documents. The tables that reach the
 driver have one row for each vote pattern and each feature value, both bounded
 by construction.
 
+Posteriors are summed as whole millionths, so the model is the same in every run,
+however the rows lie.
+
 Places are code points, ends exclusive. Null and empty texts have no spans. Rows
 are read alone, so repeated rows, null ids and extra columns need no care.
 Without candidates nothing is added.
@@ -28,7 +33,7 @@ from jobuse.llm.common import let, unused
 from jobuse.llm.weak_labels import estimate
 from jobuse.session import cut
 
-KINDS = ("email", "ip", "card", "phone", "secret")
+KINDS = ("email", "ip", "card", "phone", "secret", "account")
 
 # The base patterns. Possessive repeats, and starts only where a run of the first
 # class starts or the last match ended, find the same matches in linear time.
@@ -37,9 +42,16 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-CANDIDATE = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{8,}+"
+# What a name is given (name=value, name: "value"), with or without digits; any other long token with a digit.
+ASSIGNED = r"""(?<=[A-Za-z_][=:]|[A-Za-z_][=:]["']|[A-Za-z_]:\x20|[A-Za-z_]\x20=\x20|[A-Za-z_]:\x20["']|[A-Za-z_]\x20=\x20["'])[A-Za-z0-9_!#$%&*+^~-]{6,}+"""
+# Bank accounts, social security numbers, and cloud access ids, which need not have a digit.
+IBAN = "^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"
+SOCIAL = "^[0-9]{3}-[0-9]{2}-[0-9]{4}$"
+ACCESS_ID = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9_-])"
+CANDIDATE = rf"{ASSIGNED}|{ACCESS_ID}|(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{{8,}}+"
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+MILLION = 1_000_000
 CONTEXT = 32        # characters before a candidate that labelers see
 
 
@@ -115,30 +127,59 @@ def candidates(text: Column) -> Column:
     return F.when(text.rlike(CANDIDATE), _matches(text, CANDIDATE, ITEM, make, lambda v: F.lit(True))).otherwise(F.array().cast(ITEM))
 
 
-NAMES_SECRET = ("token|secret|password|passwd|pwd|key|api_key|apikey|auth|bearer|credential|credentials|access|private|"
-                "account|iban|ssn|passport|pin")
-NAMES_OTHER = "version|license|licence|page|chapter|section|copyright|isbn|figure|table|release|http|https|www"
+# Names that secrets, personal numbers and other values go by.
+NAMES_SECRET = ("token|secret|password|passwd|passphrase|passcode|pwd|pass|key|api_key|apikey|auth|bearer|credential|credentials|access|"
+                "private|login|otp|pin|contraseña|passwort|kennwort|geheim|clave")
+NAMES_ACCOUNT = "account|iban|ssn|social|passport|licence_no|license_no|tax|kontonummer|cuenta|pasaporte|reisepass"
+NAMES_OTHER = "version|license|licence|page|chapter|section|copyright|isbn|figure|table|release|http|https|www|time|date|note|example|step|part"
 
 
 def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, F.lit(1)).when(no, F.lit(-1)).otherwise(F.lit(0))
 
 
+def _names(c: Column, names: str) -> Column:
+    """Whether the last word before a candidate is one of some names."""
+    return F.lower(c["before"]).rlike(rf"(?<![a-zñ])(?:{names})(?![a-zñ])[^a-zñ]*$")
+
+
+def _iban(value: Column) -> Column:
+    """Whether a bank account number has valid check digits: with its head moved behind, it is 1 modulo 97."""
+    def rest(v: Column) -> Column:
+        def step(acc: Column, c: Column) -> Column:
+            letter = c.rlike("[A-Z]")
+            return F.when(letter, (acc * 100 + F.ascii(c) - 55) % 97).otherwise((acc * 10 + F.ascii(c) - 48) % 97).cast("int")
+
+        return F.aggregate(F.split(F.concat(F.substring(v, F.lit(5), F.length(v)), F.left(v, F.lit(4))), ""), F.lit(0), step)
+
+    return F.when(value.rlike(IBAN), rest(value) == 1).otherwise(F.lit(False))
+
+
+def _account_shape(value: Column) -> Column:
+    return value.rlike(SOCIAL) | _iban(value)
+
+
+def _is_account(c: Column) -> Column:
+    return _account_shape(c["value"]) | _names(c, NAMES_ACCOUNT)
+
+
 # For each labeler, what it takes for a secret and what it takes for none; it abstains on the rest.
 LABELERS: dict[str, Callable[[Column], Column]] = {
     # regex: hexadecimal, cloud-access and mixed-case keys; a word with a short number behind it
     "key_shape": lambda c: _vote(c["value"].rlike(r"^(?=.*[A-Za-z])(?:[0-9a-f]{16,}|[0-9A-F]{16,}|AKIA[0-9A-Z]{16}|(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9]{24,})$"),
-                                 c["value"].rlike(r"^[A-Za-z_-]+[0-9]{1,4}$|^[0-9-]+$")),
+                                 c["value"].rlike(r"^[A-Za-z_-]+[0-9]{1,4}$|^[0-9-]+$") & ~c["value"].rlike(SOCIAL)),
     # gazetteer: names that secrets or other numbers go by, among the words before
-    "named": lambda c: _vote(F.lower(c["before"]).rlike(rf"(?<![a-z])(?:{NAMES_SECRET})(?![a-z])[^a-z]*$"),
-                             F.lower(c["before"]).rlike(rf"(?<![a-z])(?:{NAMES_OTHER})(?![a-z])[^a-z]*$")),
+    "named": lambda c: _vote(_names(c, f"{NAMES_SECRET}|{NAMES_ACCOUNT}"), _names(c, NAMES_OTHER)),
+    # regex: a social security number, a bank account with valid check digits; one with others
+    "account_shape": lambda c: _vote(_account_shape(c["value"]), c["value"].rlike(IBAN)),
     # context: assigned or quoted; in the run of a sentence
     "assigned": lambda c: _vote(c["before"].rlike(r"[=:]\s*[\"']?$|[\"']$"), c["before"].rlike(r"[A-Za-z,]\s$")),
     # context: closed by a quote; followed by a word
     "closed": lambda c: _vote(c["after"].rlike("^[\"']"), c["after"].rlike(r"^\s[A-Za-z]")),
-    # regex: many different characters; few or a short token
+    # regex: many different characters; few or a short token, unless it has the form of a personal number
     "varied": lambda c: let(F.size(F.array_distinct(F.split(c["value"], ""))),
-                            lambda n: _vote((F.length(c["value"]) >= 20) & (n >= 9), (F.length(c["value"]) < 12) | (n <= 4))),
+                            lambda n: _vote((F.length(c["value"]) >= 20) & (n >= 9),
+                                            ((F.length(c["value"]) < 12) | (n <= 4)) & ~c["value"].rlike(SOCIAL))),
 }
 
 
@@ -189,8 +230,8 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
     posterior, reliability, prior = estimate(patterns, list(LABELERS), silence_tells=False)
     given = F.map_from_arrays(F.array(*(F.lit("".join(f"{v:+d}" for v in votes)) for votes, _ in patterns)), F.array(*map(F.lit, posterior)))
     key = F.array_join(F.transform("votes", lambda v: F.format_string("%+d", v)), "")
-    counts = (seen.withColumn("p", F.element_at(given, key)).select("p", F.explode("features").alias("feature"))
-              .groupBy("feature").agg(F.sum("p").alias("yes"), F.sum(1 - F.col("p")).alias("no")).collect())
+    counts = (seen.withColumn("p", F.round(F.element_at(given, key) * MILLION).cast("long")).select("p", F.explode("features").alias("feature"))
+              .groupBy("feature").agg((F.sum("p") / MILLION).alias("yes"), (F.sum(MILLION - F.col("p")) / MILLION).alias("no")).collect())
     yes = sum(p * n for p, (_, n) in zip(posterior, patterns))
     no = sum(n for _, n in patterns) - yes
     weights = {r["feature"]: math.log((r["yes"] + 0.5) / (yes + 1)) - math.log((r["no"] + 0.5) / (no + 1)) for r in counts}
@@ -202,10 +243,13 @@ def all_spans(text: Column, base: Column, model: Model) -> Column:
     if not model.weights:
         return base
 
+    def kind(c: Column) -> Column:
+        return F.when(_is_account(c), F.lit(KINDS.index("account"))).otherwise(F.lit(KINDS.index("secret")))
+
     def added(b: Column) -> Column:
         free = F.filter(candidates(text), lambda c: ~F.exists(b, lambda s: (s["start"] < c["end"]) & (s["end"] > c["start"])))
         taken = F.transform(F.filter(free, model.accepts),
-                            lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("secret")).alias("kind"), c["end"].alias("end")))
+                            lambda c: F.struct(c["start"].alias("start"), kind(c).alias("kind"), c["end"].alias("end")))
         return F.array_sort(F.concat(b, taken))
 
     return F.when(text.rlike(CANDIDATE), let(base, added)).otherwise(base)
