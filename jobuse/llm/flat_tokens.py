@@ -4,7 +4,12 @@ A flat token file is nothing but unsigned 16- or 32-bit ids, documents one after
 another, each closed by an end id; no index says where they begin. Files are
 read in blocks of equal length, in parallel. Each block's scan is one vectorised
 comparison, which gives the lengths between separators; a prefix scan over the
-block summaries then stitches documents that cross block boundaries.
+block summaries then stitches documents that cross block boundaries. The scan sees
+a few numbers for each block; the lengths stay where they are, and meet what the
+scan found by (file, block).
+
+A document may be longer than a block, or than many: its ids are counted block by
+block and added up, so no task holds more than one block of ids.
 
 Ids after a file's last separator form a last, unclosed document. Empty files
 have no documents. Null and empty texts are written as the end id alone; rows
@@ -21,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobuse.llm import bpe
-from jobuse.llm.common import small_batches
+from jobuse.llm.common import small_batches, written
 from jobuse.llm.pieces import flat_lists
 
 BLOCK_TOKENS = 4 << 20
@@ -102,10 +107,10 @@ def count_tokens(spark: SparkSession, folder: str, width: str, end_id: int, bloc
         return Window.partitionBy("file", *keys).orderBy("at")
 
     files = list_files(spark, folder)
-    blocks = _blocks(files, folder, width, end_id, block_tokens)
+    blocks = written(_blocks(files, folder, width, end_id, block_tokens), "blocks")     # read twice; 8 bytes a document before packing
     before = over().rowsBetween(Window.unboundedPreceding, -1)
     # A block's first document may have begun in earlier blocks: as far back as the last one with a separator.
-    stitched = (blocks
+    stitched = (blocks.select("file", "at", "n_ends", "tail")
                 .withColumn("docs_before", F.coalesce(F.sum("n_ends").over(before), F.lit(0)))
                 .withColumn("tail_before", F.coalesce(F.lag("tail").over(over()), F.lit(0)))
                 .withColumn("group", F.coalesce(F.sum(F.signum("n_ends")).over(before), F.lit(0)))
@@ -115,5 +120,6 @@ def count_tokens(spark: SparkSession, folder: str, width: str, end_id: int, bloc
     unclosed = F.when(F.col("n_ends") > 0, F.col("tail")).otherwise(F.col("carried") + F.col("tail"))
     lengths = F.transform("lengths", lambda n, k: n + F.when(k == 0, F.col("carried")).otherwise(0))
     lengths = F.when(F.col("last") & (unclosed > 0), F.concat(lengths, F.array(unclosed))).otherwise(lengths)
-    return (stitched.select("file", "docs_before", F.posexplode(lengths).alias("k", "n_tokens"))
+    rows = blocks.select("file", "at", "lengths").join(stitched, ["file", "at"])
+    return (rows.select("file", "docs_before", F.posexplode(lengths).alias("k", "n_tokens"))
             .select("file", (F.col("docs_before") + F.col("k")).alias("ord"), "n_tokens"))
