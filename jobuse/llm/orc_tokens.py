@@ -9,8 +9,10 @@ look for documents.
 Texts are encoded as the tokenizers library encodes them without special tokens
 added: a text that spells an added token has that token's id there.
 
-Null and empty texts have the end id alone. Rows are ordered by id (null first),
-then by a hash of the text; repeated rows each keep a place of their own. Other
+A file holds a bounded number of rows. Null and empty texts have the end id alone.
+Rows are ordered by id (null first),
+then by a hash of the text, then as they are read, so a range may end within rows that
+are alike, however many; repeated rows each keep a place of their own. Other
 columns are not written. An empty table gives files without rows.
 """
 
@@ -27,6 +29,7 @@ from tokenizers import Tokenizer
 
 from jobuse.llm.common import small_batches, worker_state
 from jobuse.llm.pieces import Known, encode_array, flat_lists
+from jobuse.session import cut
 
 SCHEMA = "seq long, doc_id long, n_tokens int, tokens array<int>"
 
@@ -108,16 +111,20 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, pattern: str, end_id: int,
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int = 0, id_col: str = "doc_id",
-          text_col: str = "text", stripe_mb: int = 64, row_stride: int = 10_000, bloom_fpp: float = 0.01) -> None:
-    """Write the token files. ``seq`` numbers rows upwards over all files; its upper bits are the file's number."""
+          text_col: str = "text", stripe_mb: int = 64, row_stride: int = 10_000, bloom_fpp: float = 0.01, file_rows: int = 1_000_000) -> None:
+    """Write the token files, of ``file_rows`` rows at most.
+
+    ``seq`` numbers rows upwards over all files; its upper bits are the number of the range.
+    """
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
-    rows = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = rows.withColumn("read", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange("doc_id", "tie", "read").sortWithinPartitions("doc_id", "tie", "read")
     rows = with_tokens(rows, tokenizer_path, pattern, end_id)
     (rows.select(F.monotonically_increasing_id().alias("seq"), "doc_id", F.size("tokens").alias("n_tokens"), "tokens")
      .write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(bloom_fpp))
      .option("orc.create.index", "true").option("orc.row.index.stride", str(row_stride))
-     .option("orc.stripe.size", str(stripe_mb << 20)).option("compression", "zstd").orc(path))
+     .option("orc.stripe.size", str(stripe_mb << 20)).option("compression", "zstd").option("maxRecordsPerFile", file_rows).orc(path))
 
 
 def read(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
@@ -134,20 +141,27 @@ def ids_crc32(lists: pa.Array) -> pa.Array:
     return pa.array([zlib.crc32(data[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.int64())
 
 
-def positions(spark: SparkSession, path: str) -> DataFrame:
+def positions(spark: SparkSession, path: str, part_rows: int = 100_000) -> DataFrame:
     """Where each document's ids start in the sequence of all ids, with their number and checksum.
 
-    Sizes of files come from the two integer columns alone; there is one row a
-    file, so their running sum is small however long the files are. Within a
-    file the sum runs over its rows, whose number the file size bounds.
+    Sums are taken in three steps: over the rows of a part (``part_rows`` successive rows of a
+    range), over the parts of a range, and over the ranges, of which there are as many
+    as there were tasks. No step sees more rows than those, however long a range is. Sizes of parts
+    come from the two integer columns alone.
     """
     small_batches(spark)
-    file = F.shiftright("seq", 33).alias("file")
-    sizes = read(spark, path).groupBy(file).agg(F.sum("n_tokens").alias("size"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("file", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    rows = read(spark, path).select(file, "seq", "doc_id", "n_tokens", ids_crc32("tokens").alias("ids_crc32"))
-    return (rows.join(F.broadcast(offsets), "file")
+    number = F.shiftright("seq", 33).alias("range")
+    part = F.floor(F.col("seq").bitwiseAND(F.lit((1 << 33) - 1)) / part_rows).alias("part")
+    earlier = (Window.unboundedPreceding, -1)
+    sizes = read(spark, path).groupBy(number, part).agg(F.sum("n_tokens").alias("size"))
+    in_range = Window.partitionBy("range").orderBy("part").rowsBetween(*earlier)
+    sizes = cut(sizes.withColumn("in_range", F.coalesce(F.sum("size").over(in_range), F.lit(0))))
+    ranges = sizes.groupBy("range").agg(F.sum("size").alias("size"))
+    before = Window.orderBy("range").rowsBetween(*earlier)
+    ranges = ranges.select("range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("before"))
+    offsets = sizes.join(ranges, "range").select("range", "part", (F.col("before") + F.col("in_range")).alias("offset"))
+    within = Window.partitionBy("range", "part").orderBy("seq").rowsBetween(*earlier)
+    rows = read(spark, path).select(number, part, "seq", "doc_id", "n_tokens", ids_crc32("tokens").alias("ids_crc32"))
+    return (rows.join(offsets, ["range", "part"])
             .select("doc_id", (F.col("offset") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).alias("start"),
                     F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32"))

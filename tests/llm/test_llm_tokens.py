@@ -109,6 +109,52 @@ def test_documents_across_blocks(spark, tmp_path, block):
     assert sorted(map(tuple, found)) == expected
 
 
+def test_counts_of_the_query(spark, reference, tmp_path):
+    odd.documents(spark).write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op6_token_counts(spark, str(tmp_path)).collect()
+    odd.same([tuple(r) for r in found], [(r[0], len(reference.encode_ordinary(r[1] or ""))) for r in odd.rows()])
+
+
+def test_no_window_carries_the_lengths_of_a_file(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(np.array([1, 9] * 50, "<u2").tobytes())
+    plan = flat_tokens.count_tokens(spark, f"file://{tmp_path}", "<u2", 9, 10)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window " in line]
+    below = [line for line in plan[plan.index(windows[0]):].splitlines() if "Relation" not in line]
+    assert windows and not any("lengths" in line for line in below)
+
+
+def test_files_are_bounded_and_rows_alike_are_split(spark, tmp_path):
+    """A third of all rows alike in id and text: files, ranges and parts stay small, and starts are right."""
+    docs = spark.range(900).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+                                   F.when(F.col("id") % 3 == 0, F.lit("the same text")).otherwise(F.concat(F.lit("text of "), "id")).alias("text"))
+    path = str(tmp_path / "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        orc_tokens.write(docs, path, queries.TOKENIZER, public_tokenizers.PATTERN, file_rows=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = orc_tokens.read(spark, path).withColumn("file", F.input_file_name())
+    assert max(r["count"] for r in rows.groupBy("file").count().collect()) <= 100
+    assert rows.where("doc_id = 7").select(F.shiftright("seq", 33)).distinct().count() > 1
+    whole = rows.orderBy("seq").collect()
+    assert [r["doc_id"] for r in whole] == sorted(r["doc_id"] for r in whole) and len(whole) == 900
+    expected, start = [], 0
+    for r in whole:
+        expected.append((r["doc_id"], start, r["n_tokens"], zlib.crc32(np.array(r["tokens"], "<u4").tobytes())))
+        start += r["n_tokens"]
+    for part_rows in (1, 7, 100_000):
+        assert sorted(map(tuple, orc_tokens.positions(spark, path, part_rows).collect())) == sorted(expected)
+
+
+def test_looking_for_documents_pushes_ids_to_the_files(spark, tmp_path):
+    docs = spark.range(4_000).select((F.col("id") * 2).alias("doc_id"), F.lit("a b").alias("text"))
+    path = str(tmp_path / "tokens")
+    orc_tokens.write(docs, path, queries.TOKENIZER, public_tokenizers.PATTERN, row_stride=1_000, file_rows=2_000)
+    assert [r["doc_id"] for r in orc_tokens.read(spark, path, [2_000, 2_001, 7_998]).orderBy("doc_id").collect()] == [2_000, 7_998]
+    plan = orc_tokens.read(spark, path, [2_000])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,2000)]" in plan
+
+
 def test_empty_tables(spark, ranks, tmp_path):
     docs = odd.empty(spark)
     assert bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect() == []
