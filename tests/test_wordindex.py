@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from jobuse.operators import classify, wordindex
+from jobuse.operators import classify, joins, wordindex
 from jobuse.sources.definitions import Dictionary
 
 DEFINITIONS = "ord int, name string, pattern string, motif string, language string"
@@ -85,3 +85,27 @@ def test_many_definitions_make_no_larger_plan(spark):
     assert time.time() - start < 90
     few = wordindex.with_classes_by_words(names.limit(10), definitions.limit(10))
     assert abs(plan_length(tagged.select("software")) - plan_length(few.select("software"))) < 400
+
+
+def test_a_long_dictionary_is_not_broadcast(spark):
+    """150,000 names of one form: a file of a megabyte or two, but rows that fill a small driver."""
+    rows = spark.range(150000).select(F.col("id").cast("int").alias("ord"), F.format_string("user %d", "id").alias("name"),
+                                      F.format_string("Customer#%09d", "id").alias("pattern"), F.lit("m").alias("motif"), F.lit("l").alias("language"))
+    definitions = wordindex.written(rows)
+    names = spark.range(0, 300000, 300).select(F.format_string("a/Customer#%09d", "id").alias("exe_name"))
+    tagged = wordindex.with_classes_by_words(names, definitions)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert tagged.where("software = concat('user ', cast(right(exe_name, 9) AS int))").count() == 500
+    assert tagged.where("software = 'Unknown'").count() == 500
+
+
+def test_the_filter_of_pieces_loses_none(spark, monkeypatch):
+    rows = [(k, f"d{k}", p, "m", "l") for k, p in enumerate(PATTERNS)]
+    df = spark.createDataFrame([(n,) for n in names_for(random.Random(5))], "exe_name string")
+    table = spark.createDataFrame(rows, DEFINITIONS)
+    expected = sorted(wordindex.with_classes_by_words(df, table).collect(), key=str)
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    for bits in (1 << 25, 64):
+        monkeypatch.setattr(wordindex, "PIECE_BITS", bits)
+        assert sorted(wordindex.with_classes_by_words(df, table).collect(), key=str) == expected
