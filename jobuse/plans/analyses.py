@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +14,7 @@ from jobuse.operators import stats
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
-from jobuse.operators.identity import anonymous_users, exe_use, first_seen, significant_exes, split_by_user
+from jobuse.operators.identity import SPLIT_SOFTWARE, anonymous_users, exe_use, significant_exes, split_by_user
 from jobuse.operators.joins import lookup
 from jobuse.session import cut, stored, written
 from jobuse.sources.definitions import Dictionary
@@ -142,12 +143,30 @@ def area_labels(areas: DataFrame, analysis: Analysis) -> Labeller:
     return labeller
 
 
-def _who(rows: DataFrame, users: DataFrame | None, cfg: UsageConfig) -> DataFrame:
-    """Add the name a user is shown under."""
+SPREAD = 1024       # keys over which rows are dealt that look no user up
+
+
+def carries_user(dictionary: Dictionary) -> Column:
+    """Whether the label of a row with ``code`` and ``big`` carries its user."""
+    software = pick(F.col("code"), dictionary.names, F.lit(None).cast("string"))
+    return F.col("big").isNotNull() | F.coalesce(software.isin(SPLIT_SOFTWARE), F.lit(False))
+
+
+def _who(rows: DataFrame, users: DataFrame | None, cfg: UsageConfig, carries: Column) -> DataFrame:
+    """Add the name that the ``user`` of rows whose label carries it is shown under.
+
+    All others have no user: they are dealt by a hash of their columns, or they would be one key.
+    """
     if not cfg.anonymise:
-        return rows.withColumn("who", F.col("user_name"))
-    named = users.select(F.col("user_name").alias("_u"), F.col("anon_user").alias("who"))
-    return rows.join(named, F.col("user_name").eqNullSafe(F.col("_u")), "left").drop("_u")
+        return rows.withColumn("who", F.col("user"))
+
+    def key(user: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), user), F.lit("null"))
+
+    named = users.select(key(F.col("user_name")).alias("_u"), F.col("anon_user").alias("who"))
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("string")
+    looked_up = rows.withColumn("_k", F.when(carries, key(F.col("user"))).otherwise(dealt))
+    return looked_up.join(named, F.col("_k") == F.col("_u"), "left").drop("_k", "_u")
 
 
 def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
@@ -159,20 +178,28 @@ def split_label(dictionary: Dictionary, cfg: UsageConfig) -> Column:
         split_by_user(software, F.col("who")))
 
 
-def split_labels(dictionary: Dictionary, users: DataFrame | None, by_exe: DataFrame, analysis: Analysis,
-                 cfg: UsageConfig) -> Labeller:
-    """Labels that carry the user, for rows grouped by executable and user.
+def split_sources(rows: DataFrame, dictionary: Dictionary, by_exe: DataFrame, cfg: UsageConfig) -> DataFrame:
+    """Add what a label that may carry the user depends on: ``code``, ``big`` and ``user``.
 
-    ``by_exe`` is the use of each executable: unidentified ones with significant
-    use are labelled by their own name, which grouped rows look up. Which labels there are is settled by the rows
-    of the first call, which must be all; a later call may see some of them only.
+    ``by_exe`` is the use of each executable: unidentified ones with significant use are
+    labelled by their own name (``big``). Only where the label carries the user is there one,
+    so that rows of all users with another label are grouped together.
     """
-    known: list[DataFrame] = []
     big = significant_exes(by_exe, dictionary, cfg).select("exe_name", F.col("exe_name").alias("big"))
+    coded = lookup(rows.withColumn("code", definition_index(F.col("exe_name"), dictionary)), big, "exe_name")
+    return coded.withColumn("user", F.when(carries_user(dictionary), F.col("user_name")))
+
+
+def split_labels(dictionary: Dictionary, users: DataFrame | None, analysis: Analysis, cfg: UsageConfig) -> Labeller:
+    """Labels that carry the user, for rows grouped by what ``split_sources`` adds.
+
+    Which labels there are is settled by the rows of the first call, which must be
+    all; a later call may see some of them only.
+    """
+    known: list[DataFrame] = []
 
     def labeller(rows: DataFrame) -> DataFrame:
-        rows = lookup(rows.withColumn("code", definition_index(F.col("exe_name"), dictionary)), big, "exe_name")
-        named = _who(rows, users, cfg).withColumn("split", split_label(dictionary, cfg))
+        named = _who(rows, users, cfg, carries_user(dictionary)).withColumn("split", split_label(dictionary, cfg))
         if analysis.match == "substring":
             if not known:
                 named = cut(named)      # read twice
@@ -250,20 +277,23 @@ def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
                         users: DataFrame | None, all_facts: DataFrame | None) -> DataFrame:
     """Labels that carry the user.
 
-    The facts are grouped once by (executable, user, project, value); use of
-    executables, users in order of appearance and the cells all come from that table.
+    Use of executables, users in order of appearance and the cells all come from one
+    table: the columns needed of the facts, or the grouped facts of stored periods. It
+    is not grouped first: by executable, user, project and value it stays about as long.
     """
     measure = _measure(analysis, cfg)
     keys = ["exe_name", "user_name", "project_id", measure.column]
     keys += ["ngpus" if cfg.gpu else "cores"] if analysis.full_node(cfg) else []
     own_users = users is None and cfg.anonymise and all_facts is None
-    extra = [first_seen("_first" in facts.columns)] if own_users else []
-    with stored(stats.pregrouped(facts, list(dict.fromkeys(keys)), *extra)) as rows:
+    grouped = "_n" in facts.columns
+    needed = [*keys, "use_s", "energy_j", *(["src", "job_id", "sub_job_id"] if own_users else [])]
+    with nullcontext(facts) if grouped else stored(facts.select(*dict.fromkeys(needed))) as rows:
         if users is None and cfg.anonymise:
             users = anonymous_users(rows if own_users else all_facts)
-        labeller = split_labels(dictionary, users, cut(exe_use(rows)), analysis, cfg)
-        source = {"exe_name": F.col("exe_name"), "user_name": F.col("user_name")}
-        report = stats.Report(source, measure, labeller, is_full_node(cfg) if analysis.full_node(cfg) else None)
+        rows = split_sources(rows, dictionary, cut(exe_use(rows)), cfg)
+        source = {name: F.col(name) for name in ("code", "big", "user")}
+        report = stats.Report(source, measure, split_labels(dictionary, users, analysis, cfg),
+                              is_full_node(cfg) if analysis.full_node(cfg) else None)
         return stats.distributions(rows, [report], cfg.use_divisor, is_stored=True)[0]
 
 

@@ -297,6 +297,18 @@ def test_user_split(spark):
     assert got == {"a.out_zoe": 1, "Python_amy": 1, "mine_amy": 1, "Unknown": 1, "Overall": 5}
 
 
+def test_users_split_only_the_labels_that_carry_them(spark):
+    """Rows of many users whose label carries no user are one group; those with a user are looked up by it."""
+    rows = [("casino", f"u{i}", 1) for i in range(300)] + [("a.out", f"u{i}", 1) for i in range(5)] + [("a.out", None, 1), ("mine", "u1", 99), ("tiny", "u2", .01)]
+    facts, cfg = facts_of(spark, rows), UsageConfig(shared_node=True, user_split=True)
+    source = analyses.split_sources(facts, DICT, analyses.exe_use(facts), cfg)
+    assert source.select("code", "big", "user").distinct().count() == 1 + 6 + 1 + 1
+    assert source.filter("user IS NULL").count() == 300 + 1 + 1
+    got = jobs_by_label(analyses.report(facts, "CodeSize", cfg, dictionary=DICT), "Software")
+    assert sum(n for k, n in got.items() if k.startswith("a.out_")) == 6 and len([k for k in got if k.startswith("a.out_")]) == 6
+    assert got["Overall"] == 308 and got["Unknown"] == 1
+
+
 def test_user_split_matched_inside_names(spark):
     rows = [("python3", f"u{i:02d}", 1) for i in range(12)] + [("tiny", "u00", .01)]
     cfg = UsageConfig(family="energy", user_split=True)
