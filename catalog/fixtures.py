@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobuse.session import fit_shuffles, input_bytes
 from jobuse.sources.definitions import Dictionary
 from jobuse.sources.report import SIZES
 
@@ -114,9 +115,14 @@ def oracle_text(sql: str) -> str:
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    used = {t: spark.read.schema(columns).parquet(f"{sf_dir}/{t}.parquet")
-            for t, columns in TABLES.items() if "{%s}" % t in sql}
-    return spark.sql(sql, **used)
+    paths = table_paths(sf_dir, sql)
+    fit_shuffles(spark, input_bytes(spark, list(paths.values())))
+    return spark.sql(sql, **{t: spark.read.schema(TABLES[t]).parquet(path) for t, path in paths.items()})
+
+
+def table_paths(sf_dir: str, sql: str) -> dict[str, str]:
+    """The files of the tables that a view reads."""
+    return {t: f"{sf_dir}/{t}.parquet" for t in TABLES if "{%s}" % t in sql}
 
 
 _EXTRA = ["started", "partition_name"]

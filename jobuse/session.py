@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import math
 import os
 import shutil
 import tempfile
@@ -68,6 +69,31 @@ def _own_folder(spark: SparkSession) -> str:
     return folder
 
 
+TASK_BYTES = 16 << 20       # shuffled bytes, compressed, that a task sorts: some 200 MB of rows as wide as facts
+INPUT_BYTES = 4 << 20       # bytes of input to a shuffle partition, before small ones are merged
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files in some paths."""
+    places = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return sum(p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength() for p in places)
+
+
+def fit_shuffles(spark: SparkSession, size: int) -> None:
+    """Let shuffles have as many partitions as ``size`` bytes of input need, so that a task's part does not grow with them.
+
+    Adaptive execution merges partitions up to its advisory size but cannot cut one, and its
+    64 MB of much alike rows take a task close to a gigabyte. Settings are raised in
+    parts and lowered in size only; a session set finer stays as it is.
+    """
+    advisory, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(advisory)) > TASK_BYTES:
+        spark.conf.set(advisory, str(TASK_BYTES))
+    parts = math.ceil(size / INPUT_BYTES)
+    if parts > int(spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(first, str(parts))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy.
 

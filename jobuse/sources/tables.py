@@ -7,11 +7,19 @@ of its periods.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobuse.operators.filters import in_period
 
 PERIOD = "period"
+BUCKET_BYTES = 16 << 20     # bytes of input to a bucket, which one task joins
+
+
+def bucket_count(size: int, least: int = 8) -> int:
+    """Buckets for tables made of ``size`` bytes of input: tasks do not grow with it."""
+    return max(least, math.ceil(size / BUCKET_BYTES))
 
 
 def period_of(time: Column) -> Column:

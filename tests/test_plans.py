@@ -1,11 +1,13 @@
 """Shape of the plans: what is read, what is broadcast, what must not appear."""
 
 import datetime as dt
+import os
 
 import pytest
 
 from catalog import fixtures as fx
 from catalog.queries import NODEH, QUERIES, bucketed, colocated, facts
+from jobuse import session
 from jobuse.operators import stats
 from jobuse.operators.classify import definition_index
 from jobuse.sources import tables
@@ -77,3 +79,19 @@ def test_a_bucketed_table_is_found_again(spark, tmp_path):
     assert "Exchange" not in plan_of(again.groupBy("job_id").count())
     for name in ("bucketed_first", "bucketed_again"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_tasks_do_not_grow_with_the_input(spark):
+    """Shuffle partitions and buckets follow the bytes of the input; settings finer than that stay."""
+    parts, size = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    session.fit_shuffles(other, 1 << 20)
+    assert other.conf.get(parts, None) is None and int(other.conf.get(size)) == 16 << 20
+    session.fit_shuffles(other, 4 << 30)
+    session.fit_shuffles(other, 1 << 30)
+    assert int(other.conf.get(parts)) == 1024
+    other.conf.set(size, "8m")
+    fx.steps(other, SF)
+    assert other.conf.get(size) == "8m" and int(other.conf.get(parts)) == 1024
+    assert [tables.bucket_count(n << 20) for n in (1, 128, 1024, 6144)] == [8, 8, 64, 384]
+    assert session.input_bytes(spark, list(fx.table_paths(SF, fx.FX_SCHED).values())) == os.path.getsize(f"{SF}/orders.parquet")
