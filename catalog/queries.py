@@ -14,7 +14,7 @@ from jobuse.functions import scalars as s
 from jobuse.operators import assemble, classify, filters, hotkeys, identity, joins, matrix, quality, rollup, stats, wordindex
 from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
-from jobuse.session import cut, shared_dir
+from jobuse.session import cut, input_bytes, shared_dir
 from jobuse.sources import definitions, dumps, report as report_source, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,8 +152,11 @@ def _(spark, d):
     return spark.read.parquet(path).drop("mean_rss")
 
 
-def bucketed(spark, d, buckets: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Steps and jobs by month, and users, in tables of as many buckets of job ids."""
+def bucketed(spark, d, buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Steps and jobs by month, and users, in tables of as many buckets of job ids; by default as many as the steps need."""
+    if buckets is None:
+        buckets = tables.bucket_count(input_bytes(spark, list(fx.table_paths(d, fx.FX_STEPS).values())))
+
     def table(rows, kind, time=None):
         name = f"{kind}_{uuid.uuid4().hex}"
         return tables.write_table(rows, name, f"{shared_dir(spark)}/{name}", buckets, time)
