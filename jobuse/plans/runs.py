@@ -33,7 +33,7 @@ def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: Usag
     job_rows = with_job_ids(kept_states(jobs, cfg)).drop("sub_job_id")
     hot_jobs = hot_keys(job_rows) if split_hot else None
     hot = hot_keys(step_rows.select("job_id").unionByName(job_rows.select("job_id"))) if split_hot else None
-    rows = join_by_job(assemble_usage(step_rows, job_rows, mode, hot_jobs), users, "user_name", hot)
+    rows = join_by_job(assemble_usage(step_rows, job_rows, mode, hot_jobs if mode == "anti" else hot), users, "user_name", hot)
     if gpu_steps is None:
         return rows
     counts = gpu_counts(real_steps(gpu_steps))

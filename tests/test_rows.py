@@ -1,11 +1,15 @@
 """Cleaning, parsing, measures, assembly and labels on small literal frames."""
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
 from jobuse.operators import assemble, classify, filters, identity, joins, matrix, rollup
+from jobuse.operators.hotkeys import HotKeys
 from jobuse.plans import analyses
 from jobuse.plans.facts import energy_facts, usage_facts
 from jobuse.sources.definitions import Dictionary
@@ -175,6 +179,61 @@ def test_last_step_is_that_of_greatest_number(spark):
     assert sorted((r.job_id, r.exe_name) for r in got.collect()) == sorted([(1, f"e{k}") for k in range(11)] + [(2, "b")])
 
 
+def odd_jobs(spark, n=3000):
+    """Ids missing or hot, zero beside null, steps alike, missing, empty or without a number, and rows alike."""
+    rng = random.Random(5)
+    return spark.createDataFrame([
+        (rng.choice([None, 0, 1, 7, 7, 7, *range(100, 900)]), rng.choice([None, "", "0", "1", "01", "2", "10", "batch"]),
+         rng.choice([None, "a", "b"]), rng.choice([None, "u", "v"]), rng.choice([None, 0, 5]), rng.choice([0, 0, 1]))
+        for _ in range(n)], "job_id bigint, sub_job_id string, exe_name string, user_name string, nodes bigint, src int")
+
+
+def without_last(rows):
+    """The rule in plain Python: the last row by source, step number, then all columns, of each repeated id goes."""
+    def place(r):
+        step = r.sub_job_id
+        number = int(step) if step and step.isdigit() else None
+        return [(v is not None, v) if v is not None else (False,) for v in (r.src, number, step, r.exe_name, r.user_name, r.nodes)]
+
+    left = []
+    for job in {r.job_id for r in rows}:
+        of_job = sorted((r for r in rows if r.job_id == job), key=place)
+        left += of_job[:-1] if len(of_job) > 1 else of_job
+    return Counter(map(tuple, left))
+
+
+@pytest.mark.parametrize("named", [None, {7: 4, None: 9}])
+def test_last_of_repeated_on_odd_rows(spark, named):
+    rows = odd_jobs(spark)
+    hot = HotKeys("job_id", named) if named else None
+    left = assemble.drop_last_of_repeated(rows, hot)
+    assert left.columns == rows.columns
+    assert Counter(map(tuple, left.collect())) == without_last(rows.collect())
+
+
+def test_last_of_repeated_shuffles_rows_once(spark):
+    """Whole rows are written to one shuffle; what tells the last ones is narrow, and rows without an id are spread."""
+    names = F.sha2(F.col("id").cast("string"), 256)
+    rows = spark.range(0, 4000, 1, 4).select(
+        F.when(F.col("id") % 2 == 0, F.col("id") % 97).alias("job_id"), (F.col("id") % 5).cast("string").alias("sub_job_id"),
+        names.alias("exe_name"), F.lit(0).alias("src"))
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = assemble.drop_last_of_repeated(rows)
+        sizes = Counter(left.select(F.spark_partition_id(), "job_id").filter("job_id IS NULL").rdd.map(lambda r: r[0]).collect())
+        left.collect()
+        plan = left._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
+    shuffles = [line for line in plan[:plan.index("== Initial Plan ==")].splitlines() if "Exchange hashpartitioning" in line]
+    made = [line for line in shuffles if "ReusedExchange" not in line]
+    assert len(made) == 3 and sum("REPARTITION_BY_COL" in line for line in made) == 1 and len(shuffles) == 4
+    assert sum(sizes.values()) == 1999 and max(sizes.values()) < 1000
+
+
 def test_long_labels_are_matched_inside(spark):
     long = "".join(chr(97 + k % 23) for k in range(2000))
     values = spark.createDataFrame([(long,), ("abc",), ("x",), (long[5:900],), (None,), ("",)], "v string")
