@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from catalog import fixtures as fx
 from jobuse.config import UsageConfig
@@ -14,7 +14,7 @@ from jobuse.functions import scalars as s
 from jobuse.operators import assemble, classify, filters, hotkeys, identity, joins, matrix, quality, rollup, stats, wordindex
 from jobuse.plans import analyses as reports, periods, runs
 from jobuse.plans.facts import energy_facts, numeric, usage_facts, with_use
-from jobuse.session import cut, input_bytes, shared_dir
+from jobuse.session import cut, fit_reads, input_bytes, made_folder, shared_dir
 from jobuse.sources import definitions, dumps, report as report_source, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,8 @@ ENERGY = UsageConfig(family="energy")
 SPLIT = replace(NODEH, user_split=True)
 ENERGY_SPLIT = replace(ENERGY, user_split=True)
 PROJECT = "p3"      # of the reports on one project
+# Dumps as text, compressed; a file is read by one task, so its rows are bounded.
+COMPRESSED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1 << 19}
 
 QUERIES: dict[str, Query] = {}
 
@@ -76,15 +78,34 @@ def scratch(spark) -> str:
 
 # ---- scans and sinks: written by Spark from the tables, then read back ----------------
 
+def _line(columns: list[str], sep: str) -> Column:
+    return F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
 def _dump(df: DataFrame, columns: list[str], sep: str, folder: str) -> str:
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    df.select(F.concat_ws(sep, *cells)).write.text(folder)
+    df.select(_line(columns, sep)).write.text(folder)
     return folder
 
 
+def _dumps(df: DataFrame, **layouts: tuple[list[str], str]) -> dict[str, str]:
+    """Several compressed dumps of the same rows (columns and separator of each), which are made once."""
+    fit_reads(df.sparkSession)
+    folder = scratch(df.sparkSession)
+    lines = [F.struct(F.lit(kind).alias("kind"), _line(columns, sep).alias("value")) for kind, (columns, sep) in layouts.items()]
+    df.select(F.inline(F.array(*lines))).write.options(**COMPRESSED).partitionBy("kind").text(folder)
+    return {kind: made_folder(df.sparkSession, f"{folder}/kind={kind}") for kind in layouts}
+
+
+STEP_LAYOUT = dumps.STEP_COLUMNS, "::"
+GPU_LAYOUT = ["job_id_raw", "state", "allocation"], ","
+
+
+def _with_memory(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"max_rss": F.lit(None).cast("string"), "mean_rss": F.lit("0")})
+
+
 def _step_dump(spark, rows: DataFrame) -> str:
-    rows = rows.withColumns({"max_rss": F.lit(None).cast("string"), "mean_rss": F.lit("0")})
-    return _dump(rows, dumps.STEP_COLUMNS, "::", scratch(spark))
+    return _dump(_with_memory(rows), *STEP_LAYOUT, scratch(spark))
 
 
 @query("scan_steps")
@@ -183,19 +204,19 @@ def _(spark, d):
     tail = F.when(F.col("sub_job_id") == "5", "batch").otherwise(F.col("sub_job_id"))
     step_rows = _allocations(fx.steps(spark, d)).withColumn("job_id_raw", F.concat_ws(".", "job_id", tail))
     job_rows = _allocations(fx.jobs(spark, d)).withColumn("job_id_raw", F.col("job_id"))
-    gpu = ["job_id_raw", "state", "allocation"]
     users = fx.jobs(spark, d).select("job_id", "user_name")
+    step_dumps, job_dumps = (_dumps(_with_memory(rows).withColumn("user_name", F.lit("")), entries=STEP_LAYOUT, gpu=GPU_LAYOUT)
+                             for rows in (step_rows, job_rows))
     return runs.usage_records(
-        dumps.read_steps(spark, _step_dump(spark, step_rows.withColumn("user_name", F.lit("")))),
-        dumps.read_jobs(spark, _step_dump(spark, job_rows.withColumn("user_name", F.lit("")))),
+        dumps.read_steps(spark, step_dumps["entries"]), dumps.read_jobs(spark, job_dumps["entries"]),
         dumps.read_user_map(spark, _csv(users, scratch(spark))), NODEH,
-        dumps.read_gpu_alloc(spark, _dump(step_rows, gpu, ",", scratch(spark))),
-        dumps.read_gpu_alloc(spark, _dump(job_rows, gpu, ",", scratch(spark))),
+        dumps.read_gpu_alloc(spark, step_dumps["gpu"]), dumps.read_gpu_alloc(spark, job_dumps["gpu"]),
     ).select("job_id", "sub_job_id", "exe_name", "user_name", "account", "nodes", "runtime", "ngpus")
 
 
 def _csv(rows: DataFrame, folder: str) -> str:
-    rows.write.option("header", True).csv(folder)
+    fit_reads(rows.sparkSession)
+    rows.write.options(**COMPRESSED).option("header", True).csv(folder)
     return folder
 
 

@@ -92,14 +92,21 @@ def join_by_job(rows: DataFrame, values: DataFrame, column: str, hot: HotKeys |
 
 
 def gpu_counts(allocations: DataFrame, jobs: bool = False) -> DataFrame:
-    """(job_id, sub_job_id, ngpus) from GPU dumps of steps or of whole jobs."""
+    """(src, job_id, sub_job_id, ngpus) from GPU dumps of steps or of whole jobs."""
+    return counted_gpus(allocated_gpus(allocations, jobs))
+
+
+def allocated_gpus(allocations: DataFrame, jobs: bool = False) -> DataFrame:
+    """GPUs of each entry of a dump, by source, job and step."""
     rows = with_job_ids(gpu_rows(allocations) if jobs else allocations)
     if jobs:
-        rows = rows.withColumn("sub_job_id", F.lit(NO_STEP_ID)).withColumn("src", F.lit(1))
-    else:
-        rows = rows.withColumn("src", F.lit(0))
-    return rows.groupBy("src", "job_id", "sub_job_id").agg(
-        F.max(gpu_count(F.col("allocation"))).alias("ngpus"))
+        rows = rows.withColumn("sub_job_id", F.lit(NO_STEP_ID))
+    return rows.select(F.lit(int(jobs)).alias("src"), "job_id", "sub_job_id", gpu_count(F.col("allocation")).alias("ngpus"))
+
+
+def counted_gpus(entries: DataFrame) -> DataFrame:
+    """The greatest count of each step or job. (Dumps joined beforehand are shuffled once, for a join as well.)"""
+    return entries.groupBy("src", "job_id", "sub_job_id").agg(F.max("ngpus").alias("ngpus"))
 
 
 def join_gpu(rows: DataFrame, counts: DataFrame, hot: HotKeys | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.functions.scalars import job_id_of
-from jobuse.operators.assemble import assemble_usage, gpu_counts, join_by_job, join_gpu, tag_jobs, tag_steps
+from jobuse.operators.assemble import allocated_gpus, assemble_usage, counted_gpus, join_by_job, join_gpu, tag_jobs, tag_steps
 from jobuse.operators.filters import first_steps, kept_states, of_project, real_steps
 from jobuse.operators.hotkeys import hot_keys
 from jobuse.operators.identity import anonymous_users, unidentified_report
@@ -36,10 +36,10 @@ def usage_records(steps: DataFrame, jobs: DataFrame, users: DataFrame, cfg: Usag
     rows = join_by_job(assemble_usage(step_rows, job_rows, mode, hot_jobs if mode == "anti" else hot), users, "user_name", hot)
     if gpu_steps is None:
         return rows
-    counts = gpu_counts(real_steps(gpu_steps))
+    entries = allocated_gpus(real_steps(gpu_steps))
     if gpu_jobs is not None:
-        counts = counts.unionByName(gpu_counts(gpu_jobs, jobs=True))
-    return join_gpu(rows, counts, hot)
+        entries = entries.unionByName(allocated_gpus(gpu_jobs, jobs=True))
+    return join_gpu(rows, counted_gpus(entries), hot)
 
 
 def records_of_tables(steps: DataFrame, jobs: DataFrame, users: DataFrame, time: str = "started",

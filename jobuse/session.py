@@ -94,6 +94,23 @@ def fit_shuffles(spark: SparkSession, size: int) -> None:
         spark.conf.set(first, str(parts))
 
 
+READ_BYTES = 4 << 20        # bytes of files to a task: of compressed text, some 30 MB of lines (a file that cannot be cut is one task)
+
+
+def fit_reads(spark: SparkSession) -> None:
+    """Let a task read no more compressed text than it may plain text; a session set finer stays as it is."""
+    name = "spark.sql.files.maxPartitionBytes"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > READ_BYTES:
+        spark.conf.set(name, str(READ_BYTES))
+
+
+def made_folder(spark: SparkSession, path: str) -> str:
+    """``path``, as an empty folder if there is none (nothing is written for a folder without rows)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy.
 

@@ -6,10 +6,11 @@ import os
 import pytest
 
 from catalog import fixtures as fx
-from catalog.queries import NODEH, QUERIES, bucketed, colocated, facts
+from catalog.queries import GPU_LAYOUT, NODEH, QUERIES, STEP_LAYOUT, _dumps, bucketed, colocated, facts
 from jobuse import session
 from jobuse.operators import stats
 from jobuse.operators.classify import definition_index
+from jobuse.plans import runs
 from jobuse.sources import tables
 from pyspark.sql import functions as F
 
@@ -95,3 +96,35 @@ def test_tasks_do_not_grow_with_the_input(spark):
     assert other.conf.get(size) == "8m" and int(other.conf.get(parts)) == 1024
     assert [tables.bucket_count(n << 20) for n in (1, 128, 1024, 6144)] == [8, 8, 64, 384]
     assert session.input_bytes(spark, list(fx.table_paths(SF, fx.FX_SCHED).values())) == os.path.getsize(f"{SF}/orders.parquet")
+
+
+def test_gpu_counts_are_shuffled_once(spark):
+    """Counts of steps and of jobs together: one shuffle serves counting and joining."""
+    steps = spark.createDataFrame([], ", ".join(f"{c} string" for c in STEP_LAYOUT[0]))
+    gpus = spark.createDataFrame([], ", ".join(f"{c} string" for c in GPU_LAYOUT[0]))
+    users = spark.createDataFrame([], "job_id bigint, user_name string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        without, with_gpus = (plan_of(runs.usage_records(steps, steps, users, NODEH, *some)).count("Exchange hashpartitioning")
+                              for some in ([], [gpus, gpus]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert with_gpus - without == 2
+
+
+def test_dumps_are_made_in_one_pass(spark):
+    """Both dumps of the same rows, compressed and in files of bounded rows, and folders for no rows."""
+    rows = fx.steps(spark, SF).withColumns({"job_id_raw": F.concat_ws(".", "job_id", "sub_job_id"), "allocation": F.lit("gres/gpu=1"),
+                                            "max_rss": F.lit(None).cast("string"), "mean_rss": F.lit("0")})
+    folders = _dumps(rows, entries=STEP_LAYOUT, gpu=GPU_LAYOUT)
+    for kind, (columns, sep) in {"entries": STEP_LAYOUT, "gpu": GPU_LAYOUT}.items():
+        lines = rows.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
+        read = spark.read.text(folders[kind])
+        assert read.columns == ["value"] and sorted(r[0] for r in read.collect()) == sorted(r[0] for r in lines.collect())
+        plain = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0]
+        assert session.input_bytes(spark, [folders[kind]]) < plain / 2
+    assert os.path.dirname(folders["entries"]) == os.path.dirname(folders["gpu"])
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == session.READ_BYTES
+    empty = _dumps(rows.limit(0), entries=STEP_LAYOUT, gpu=GPU_LAYOUT)
+    assert [spark.read.text(path).count() for path in empty.values()] == [0, 0]
