@@ -342,21 +342,51 @@ def _quartile_columns() -> list[Column]:
             + [F.col(f"wq{k}") for k in QUARTERS])
 
 
-def _sums() -> list[Column]:
-    """What is added up over the cells of a label."""
+def _sums(low: str = "lo", high: str = "hi") -> list[Column]:
+    """What is added up over the cells of a label, besides its members."""
     return [
-        F.min("lo").alias("min"), F.max("hi").alias("max"), F.sum("n").alias("jobs"),
-        F.coalesce(_added("w"), _zero()).alias("w"), F.coalesce(_added("e"), _zero()).alias("e"),
-        F.sum("users").alias("users"), F.sum("projects").alias("projects"), F.max("own").alias("own")]
+        F.min(low).alias("min"), F.max(high).alias("max"), F.sum("n").alias("jobs"),
+        F.coalesce(_added("w"), _zero()).alias("w"), F.coalesce(_added("e"), _zero()).alias("e")]
+
+
+def _counted() -> list[Column]:
+    """The members of a label, which its cells have counted, and whether it is some row's own."""
+    return [F.sum("users").alias("users"), F.sum("projects").alias("projects"), F.max("own").alias("own")]
 
 
 def _exact_quartiles(cells: DataFrame) -> DataFrame:
     """Sums and quartiles when a cell is a single value."""
     picked = running(cells, "cell", _LABEL).groupBy(*_LABEL).agg(
-        *_sums(), *rank_picks("cell"), *weight_picks("cell"))
+        *_sums(), *_counted(), *rank_picks("cell"), *weight_picks("cell"))
     return picked.select("*", *[interpolated(k).alias(f"q{k}") for k in QUARTERS])
 
 
+def short_labels(facts: DataFrame, report: Report, key: str) -> DataFrame:
+    """Sums and quartiles of labels that have few rows each, from one shuffle of the rows.
+
+    Equal ``key`` means one task, and a label must not have two keys; rows without one take no
+    part. A key's rows, and so a label's, must be few: those of a hot key or label belong into a
+    ``Cube``. Rows have at most one label each. Values are not cut into cells first, as
+    nearly every row of a short label is a cell of its own; rows of one value in any order give
+    the same order statistics. The members of a label that carries its user are those of ``user``.
+    """
+    given = "_n" in facts.columns
+    sums = SUMS if given else ["use_s", "energy_j"]
+    rows = facts.select(key, *[c.alias(name) for name, c in report.source.items()], F.col("project_id").alias("_project"),
+                        F.col(report.measure.column).cast("double").alias("cell"), *sums).filter(F.col(key).isNotNull()).repartition(key)
+    if not given:
+        rows = rows.withColumns({"_n": F.lit(1).cast("bigint")}).select("*", *parts_of("use_s", "w"), *parts_of("energy_j", "e"))
+    labelled = report.labeller(rows).withColumn("label", F.get("labels", F.lit(0))["label"]).filter(F.col("label").isNotNull())
+    keys = [key, "label"]
+    grouped = labelled.groupBy(*keys, "cell", F.col("user").alias("_user"), "_project").agg(
+        F.sum("_n").alias("n"), sum_of_parts("w").alias("w"), sum_of_parts("e").alias("e"))
+    members = [F.size(F.collect_set(f"_{m}")).cast("bigint").alias(f"{m}s") for m in ("user", "project")]
+    picked = running(grouped, "cell", keys, bounded=True).groupBy(*keys).agg(
+        *_sums("cell", "cell"), *members, F.lit(True).alias("own"), *rank_picks("cell"), *weight_picks("cell"))
+    return picked.select(F.lit(CATEGORY).alias("grp"), *[c for c in picked.columns if c != key],
+                         *[interpolated(k).alias(f"q{k}") for k in QUARTERS])
+
+
 def _sliced_quartiles(cells: DataFrame) -> DataFrame:
     """Quartiles when a cell is a slice of the range: the middle of the values that the crossed slices hold.
 
@@ -442,12 +472,21 @@ def _from_cube(cube: Cube, reports: list[Report], divisor: float) -> list[DataFr
     return [_table(c, q, divisor) for c, q in zip(cells, quartiles)]
 
 
-def _table(cells: DataFrame, quartiles: DataFrame | None, divisor: float) -> DataFrame:
-    """The distribution from the cells, and the quartiles where cells are not single values."""
+def distribution_beside(facts: DataFrame, report: Report, short: DataFrame, divisor: float) -> DataFrame:
+    """The distribution of a report on sizes, with labels added that ``short_labels`` has made (as a written table).
+
+    Rows of those labels are among the facts, where they count for ``Overall`` and have no label.
+    """
+    return _table(cut(Cube(base_rows(facts, [report]), [report]).cells(report)), None, divisor, short)
+
+
+def _table(cells: DataFrame, quartiles: DataFrame | None, divisor: float, more: DataFrame | None = None) -> DataFrame:
+    """The distribution from the cells, and the quartiles where cells are not single values (``more`` rows have both)."""
     if quartiles is None:
         rows = _exact_quartiles(cells)
+        rows = rows if more is None else rows.unionByName(more)
     else:
-        rows = cells.groupBy(*_LABEL).agg(*_sums()).join(quartiles, _LABEL, "left")
+        rows = cells.groupBy(*_LABEL).agg(*_sums(), *_counted()).join(quartiles, _LABEL, "left")
     overall = cells.filter(F.col("grp") == OVERALL).agg(F.struct(
         F.coalesce(_added("all_w"), _zero()).cast("double").alias("w"),
         F.coalesce(_added("all_e"), _zero()).cast("double").alias("e")).alias("t"))

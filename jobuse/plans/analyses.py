@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from contextlib import nullcontext
 from dataclasses import dataclass, replace
@@ -14,6 +15,7 @@ from jobuse.operators import stats
 from jobuse.operators.classify import (
     UNKNOWN, contained_values, definition_index, pick, with_classes)
 from jobuse.operators.filters import is_full_node, without_labels
+from jobuse.operators.hotkeys import hot_keys
 from jobuse.operators.identity import SPLIT_SOFTWARE, anonymous_users, exe_use, significant_exes, split_by_user
 from jobuse.operators.joins import lookup
 from jobuse.session import cut, stored, written
@@ -144,6 +146,7 @@ def area_labels(areas: DataFrame, analysis: Analysis) -> Labeller:
 
 
 SPREAD = 1024       # keys over which rows are dealt that look no user up
+KEY = "_key"        # what rows of labels that carry the user lie by
 
 
 def carries_user(dictionary: Dictionary) -> Column:
@@ -152,20 +155,24 @@ def carries_user(dictionary: Dictionary) -> Column:
     return F.col("big").isNotNull() | F.coalesce(software.isin(SPLIT_SOFTWARE), F.lit(False))
 
 
+def _user_key(user: Column) -> Column:
+    """A user as a key that is never NULL."""
+    return F.coalesce(F.concat(F.lit("="), user), F.lit("null"))
+
+
 def _who(rows: DataFrame, users: DataFrame | None, cfg: UsageConfig, carries: Column) -> DataFrame:
     """Add the name that the ``user`` of rows whose label carries it is shown under.
 
-    All others have no user: they are dealt by a hash of their columns, or they would be one key.
+    Rows that lie by ``KEY`` are joined where they lie. Among others are rows without a user:
+    they are dealt by a hash of their columns, or they would be one key.
     """
     if not cfg.anonymise:
         return rows.withColumn("who", F.col("user"))
-
-    def key(user: Column) -> Column:
-        return F.coalesce(F.concat(F.lit("="), user), F.lit("null"))
-
-    named = users.select(key(F.col("user_name")).alias("_u"), F.col("anon_user").alias("who"))
+    named = users.select(_user_key(F.col("user_name")).alias("_u"), F.col("anon_user").alias("who"))
+    if KEY in rows.columns:
+        return rows.join(named, F.col(KEY) == F.col("_u"), "left").drop("_u")
     dealt = F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("string")
-    looked_up = rows.withColumn("_k", F.when(carries, key(F.col("user"))).otherwise(dealt))
+    looked_up = rows.withColumn("_k", F.when(carries, _user_key(F.col("user"))).otherwise(dealt))
     return looked_up.join(named, F.col("_k") == F.col("_u"), "left").drop("_k", "_u")
 
 
@@ -291,12 +298,42 @@ def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         if users is None and cfg.anonymise:
             users = anonymous_users(rows if own_users else all_facts)
         rows = split_sources(rows, dictionary, cut(exe_use(rows)), cfg)
+        if cfg.anonymise and analysis.match == "equality" and measure.upper is None:
+            return _split_by_key(rows, measure, users, analysis, cfg, dictionary)
         source = {name: F.col(name) for name in ("code", "big", "user")}
         report = stats.Report(source, measure, split_labels(dictionary, users, analysis, cfg),
                               is_full_node(cfg) if analysis.full_node(cfg) else None)
         return stats.distributions(rows, [report], cfg.use_divisor, is_stored=True)[0]
 
 
+def _split_by_key(rows: DataFrame, measure: stats.Measure, users: DataFrame | None, analysis: Analysis, cfg: UsageConfig,
+                  dictionary: Dictionary) -> DataFrame:
+    """Sizes by labels that carry an anonymous user, nearly all of which have few rows.
+
+    These are shuffled once, by user (that settles the label, whose end ``_user{i}`` is the user's
+    own), and everything else happens where they lie. All rows of a cube are those of other
+    labels, and of hot users; so are those of users with a label that the dictionary has as a name.
+    """
+    carries = carries_user(dictionary)
+    rows = rows.withColumn(KEY, F.when(carries, _user_key(F.col("user"))))
+    few = [k for k in hot_keys(rows.filter(F.col(KEY).isNotNull()), KEY).parts if k is not None]
+    # At most as many users as names are in the dictionary, and as keys may be hot.
+    alike = [end for name in dictionary.names for end in re.findall(r"_(user\d+)$", name)]
+    few_users = users.filter(_user_key(F.col("user_name")).isin(few) | F.col("anon_user").isin(alike))
+    few = [r["k"] for r in few_users.select(_user_key(F.col("user_name")).alias("k")).collect()]
+    apart = F.col(KEY).isNotNull() & ~F.col(KEY).isin(few)
+    source = {name: F.col(name) for name in ("code", "big", "user")}
+    short = written(stats.short_labels(
+        rows.withColumn(KEY, F.when(apart, F.col(KEY))), stats.Report(source, measure, split_labels(dictionary, users, analysis, cfg)), KEY))
+
+    def labeller(grouped: DataFrame) -> DataFrame:
+        labelled = split_labels(dictionary, F.broadcast(few_users), analysis, cfg)(grouped)
+        return labelled.withColumn("labels", F.when(F.col("apart"), stats.no_labels()).otherwise(F.col("labels")))
+
+    masked = {name: F.when(~apart, c) for name, c in source.items()}
+    return stats.distribution_beside(rows, stats.Report(masked | {"apart": apart}, measure, labeller), short, cfg.use_divisor)
+
+
 def report_table(dist: DataFrame, analysis: Analysis, cfg: UsageConfig,
                  weighted: bool = False) -> DataFrame:
     """The report's columns, by use, largest first."""

@@ -2,15 +2,16 @@
 
 import datetime as dt
 import os
+import re
 
 import pytest
 
 from catalog import fixtures as fx
-from catalog.queries import GPU_LAYOUT, NODEH, QUERIES, STEP_LAYOUT, _dumps, bucketed, colocated, facts
+from catalog.queries import GPU_LAYOUT, NODEH, QUERIES, SPLIT, STEP_LAYOUT, _dumps, bucketed, colocated, facts
 from jobuse import session
 from jobuse.operators import stats
 from jobuse.operators.classify import definition_index
-from jobuse.plans import runs
+from jobuse.plans import analyses, runs
 from jobuse.sources import tables
 from pyspark.sql import functions as F
 
@@ -128,3 +129,29 @@ def test_dumps_are_made_in_one_pass(spark):
     assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == session.READ_BYTES
     empty = _dumps(rows.limit(0), entries=STEP_LAYOUT, gpu=GPU_LAYOUT)
     assert [spark.read.text(path).count() for path in empty.values()] == [0, 0]
+
+
+def test_labels_with_users_are_shuffled_once(spark, monkeypatch):
+    """Rows of labels that carry the user are neither cut into cells that are written, nor shuffled again."""
+    base, plans, rows_cut, cut, short_labels = facts(spark, SF), [], [], session.cut, stats.short_labels
+
+    def counted(df):
+        rows_cut.append(df.count())
+        return cut(df)
+
+    def watched(*args):
+        plans.append(plan_of(short_labels(*args)))
+        return short_labels(*args)
+
+    monkeypatch.setattr(stats, "cut", counted)
+    monkeypatch.setattr(stats, "short_labels", watched)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = analyses.report(base, "CodeSize", SPLIT, dictionary=fx.dictionary())
+        labels = report.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert labels > 500 and sum(rows_cut) < labels
+    exchanges = [x for x in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plans[0]) if "_key" in x or "label" in x]
+    assert len(exchanges) == 1 and "," not in exchanges[0]

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from jobuse.config import UsageConfig
 from jobuse.functions import scalars as s
-from jobuse.operators import assemble, classify, filters, identity, joins, matrix, rollup
-from jobuse.operators.hotkeys import HotKeys
+from jobuse.operators import assemble, classify, filters, identity, joins, matrix, rollup, stats
+from jobuse.operators.hotkeys import HotKeys, hot_keys
 from jobuse.plans import analyses
 from jobuse.plans.facts import energy_facts, usage_facts
 from jobuse.sources.definitions import Dictionary
@@ -368,6 +368,46 @@ def test_users_split_only_the_labels_that_carry_them(spark):
     assert got["Overall"] == 308 and got["Unknown"] == 1
 
 
+def uneven_facts(spark):
+    """Users with many rows and with few, missing values everywhere, and names that make labels alike."""
+    rng = random.Random(7)
+    exes = ["a.out", "python3", "mine", "mine_x", "casino", "tiny", "zz"]
+    users = ["big", "zoe", "amy", "x_zoe", None, "y", *(f"u{i}" for i in range(40))]
+    rows = [(0, i % 70, str(i), rng.choice(exes), "big" if rng.random() < .4 else rng.choice(users), rng.choice(["z1", "z2", None]),
+             rng.choice([None, 1.0, 2.0, 5.0, 16.0, 300.0]), rng.choice([None, 0.0, 90.0, 3600.0, 1e7, .25]), rng.choice([None, 5.0, 1e9]))
+            for i in range(1500)]
+    return spark.createDataFrame(rows, "src int, job_id bigint, sub_job_id string, exe_name string, user_name string, project_id string, "
+                                       "cores double, use_s double, energy_j double")
+
+
+@pytest.mark.parametrize("anonymise", [True])
+def test_labels_apart_are_those_of_the_cube(spark, monkeypatch, anonymise):
+    """A label has the same row whether its rows are few and lie together or go through the cube; equal texts are one label."""
+    facts, cfg = uneven_facts(spark), UsageConfig(shared_node=True, user_split=True, anonymise=anonymise)
+    codes = Dictionary.of(*[(d.name, d.pattern) for d in DICT.definitions], ("a.out_user3", "zz"), ("a.out_zoe", "tiny"), ("mine_user1", "nothing"))
+    grouped = stats.pregrouped(facts, ["exe_name", "user_name", "project_id", "cores"], identity.first_seen())
+    found = []
+    for rows, keys in ((facts, lambda rows, key: HotKeys(key, {r[0]: 2 for r in rows.select(key).distinct().collect()})),
+                       (facts, lambda rows, key: HotKeys(key, {})), (grouped, hot_keys)):
+        monkeypatch.setattr(analyses, "hot_keys", keys)
+        found.append(analyses.distribution_of(rows, analyses.USAGE_ANALYSES["CodeSize"], cfg, dictionary=codes).collect())
+    first, *others = [sorted(map(tuple, rows), key=str) for rows in found]
+    assert len({r[1] for r in first}) == len(first) > 60 and all(rows == first for rows in others)
+    # Against a plain count: rows by label, and how many users and projects are among them.
+    big = {"mine", "mine_x"}
+    names = {None: None} | {r.user_name: r.anon_user if anonymise else r.user_name for r in identity.anonymous_users(facts).collect()}
+    members = {}
+    for r in facts.collect():
+        who = names[r.user_name]
+        base = {"a.out": "a.out", "python3": "Python", "casino": "Casino", "zz": "a.out_user3", "tiny": "a.out_zoe"}.get(r.exe_name, r.exe_name)
+        carried = base in ("a.out", "Python") or base in big
+        if carried and who is None:
+            continue
+        members.setdefault(f"{base}_{who}" if carried else base, []).append((r.user_name, r.project_id))
+    at = {r["label"]: (r["jobs"], r["users"], r["projects"]) for r in found[1] if r["label"] != "Overall"}
+    assert at == {k: (len(v), len({u for u, _ in v} - {None}), len({p for _, p in v} - {None})) for k, v in members.items()}
+
+
 def test_user_split_matched_inside_names(spark):
     rows = [("python3", f"u{i:02d}", 1) for i in range(12)] + [("tiny", "u00", .01)]
     cfg = UsageConfig(family="energy", user_split=True)
