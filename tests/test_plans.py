@@ -155,3 +155,22 @@ def test_labels_with_users_are_shuffled_once(spark, monkeypatch):
     assert labels > 500 and sum(rows_cut) < labels
     exchanges = [x for x in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plans[0]) if "_key" in x or "label" in x]
     assert len(exchanges) == 1 and "," not in exchanges[0]
+
+
+def test_lines_are_shuffled_twice(spark):
+    """By part and by order; customers join the orders, and steps lie by job id afterwards."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(fx.steps(spark, SF))
+        assert plan_of(fx.steps(spark, SF).groupBy("job_id").count()).count("Exchange") == plan.count("Exchange")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and "lineitem.parquet" in line)
+    depth, over = re.search(r"\w", lines[at]).start(), []
+    for line in lines[at - 1::-1]:
+        if re.search(r"\w", line).start() < depth:
+            depth = re.search(r"\w", line).start()
+            over.append(line)
+    assert [re.search(r"\((\w+)", line)[1] for line in over if "Exchange" in line] == ["l_partkey", "l_orderkey"]
