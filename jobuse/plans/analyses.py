@@ -146,7 +146,7 @@ def area_labels(areas: DataFrame, analysis: Analysis) -> Labeller:
 
 
 SPREAD = 1024       # keys over which rows are dealt that look no user up
-KEY = "_key"        # what rows of labels that carry the user lie by
+KEY = "_key"        # what rows of labels that carry the user lie by: the user, or the label
 
 
 def carries_user(dictionary: Dictionary) -> Column:
@@ -298,7 +298,7 @@ def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
         if users is None and cfg.anonymise:
             users = anonymous_users(rows if own_users else all_facts)
         rows = split_sources(rows, dictionary, cut(exe_use(rows)), cfg)
-        if cfg.anonymise and analysis.match == "equality" and measure.upper is None:
+        if analysis.match == "equality" and measure.upper is None:
             return _split_by_key(rows, measure, users, analysis, cfg, dictionary)
         source = {name: F.col(name) for name in ("code", "big", "user")}
         report = stats.Report(source, measure, split_labels(dictionary, users, analysis, cfg),
@@ -308,26 +308,36 @@ def _split_distribution(facts: DataFrame, analysis: Analysis, cfg: UsageConfig,
 
 def _split_by_key(rows: DataFrame, measure: stats.Measure, users: DataFrame | None, analysis: Analysis, cfg: UsageConfig,
                   dictionary: Dictionary) -> DataFrame:
-    """Sizes by labels that carry an anonymous user, nearly all of which have few rows.
+    """Sizes by labels that carry the user, nearly all of which have few rows.
 
-    These are shuffled once, by user (that settles the label, whose end ``_user{i}`` is the user's
-    own), and everything else happens where they lie. All rows of a cube are those of other
-    labels, and of hot users; so are those of users with a label that the dictionary has as a name.
+    These are shuffled once, by user where users are anonymous (that settles the label,
+    whose end ``_user{i}`` is the user's own) and by label otherwise, and everything else happens
+    where they lie. All rows of a cube are those of other labels, and of hot users or labels;
+    so are those with the text of a label that carries no user, which are one label.
     """
-    carries = carries_user(dictionary)
-    rows = rows.withColumn(KEY, F.when(carries, _user_key(F.col("user"))))
+    names, carries = [*dictionary.names, UNKNOWN], carries_user(dictionary)
+    label = split_label(dictionary, cfg)
+    key = _user_key(F.col("user")) if cfg.anonymise else label
+    if not cfg.anonymise:
+        rows = rows.withColumn("who", F.col("user"))
+    rows = rows.withColumn(KEY, F.when(carries, key))
     few = [k for k in hot_keys(rows.filter(F.col(KEY).isNotNull()), KEY).parts if k is not None]
-    # At most as many users as names are in the dictionary, and as keys may be hot.
-    alike = [end for name in dictionary.names for end in re.findall(r"_(user\d+)$", name)]
-    few_users = users.filter(_user_key(F.col("user_name")).isin(few) | F.col("anon_user").isin(alike))
-    few = [r["k"] for r in few_users.select(_user_key(F.col("user_name")).alias("k")).collect()]
+    few_users = None
+    if cfg.anonymise:
+        # At most as many users as names are in the dictionary, and as keys may be hot.
+        alike = [end for name in names for end in re.findall(r"_(user\d+)$", name)]
+        few_users = users.filter(_user_key(F.col("user_name")).isin(few) | F.col("anon_user").isin(alike))
+        few = [r["k"] for r in few_users.select(_user_key(F.col("user_name")).alias("k")).collect()]
+        few_users = F.broadcast(few_users)
+    else:
+        few += names
     apart = F.col(KEY).isNotNull() & ~F.col(KEY).isin(few)
     source = {name: F.col(name) for name in ("code", "big", "user")}
     short = written(stats.short_labels(
         rows.withColumn(KEY, F.when(apart, F.col(KEY))), stats.Report(source, measure, split_labels(dictionary, users, analysis, cfg)), KEY))
 
     def labeller(grouped: DataFrame) -> DataFrame:
-        labelled = split_labels(dictionary, F.broadcast(few_users), analysis, cfg)(grouped)
+        labelled = split_labels(dictionary, few_users, analysis, cfg)(grouped)
         return labelled.withColumn("labels", F.when(F.col("apart"), stats.no_labels()).otherwise(F.col("labels")))
 
     masked = {name: F.when(~apart, c) for name, c in source.items()}

@@ -380,7 +380,7 @@ def uneven_facts(spark):
                                        "cores double, use_s double, energy_j double")
 
 
-@pytest.mark.parametrize("anonymise", [True])
+@pytest.mark.parametrize("anonymise", [True, False])
 def test_labels_apart_are_those_of_the_cube(spark, monkeypatch, anonymise):
     """A label has the same row whether its rows are few and lie together or go through the cube; equal texts are one label."""
     facts, cfg = uneven_facts(spark), UsageConfig(shared_node=True, user_split=True, anonymise=anonymise)
